@@ -31,22 +31,29 @@ SPAN = 50
 GRAM = 24
 REACH = SPAN - GRAM + 1
 WIDTH = SPAN + REACH - 1
-SLICE = 1 << 20
+SLICE = 1 << 17
 GROUP_BYTES = 8 << 20
 U = np.uint64
+#: Masks that keep the first 0 to 8 symbols of a big-endian word.
+SHIFT = np.array([0, *((1 << 64) - (1 << 8 * (8 - k)) for k in range(1, 9))], np.uint64)
 MIX = [U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F), U(0x165667B19E3779F9), U(0xD6E8FEB86659FD93)]
 
 
 def word_at(buf: np.ndarray, kind: str) -> np.ndarray:
-    """The 8 bytes from each offset as one integer; ``buf`` has 7 spare bytes."""
-    return np.lib.stride_tricks.as_strided(np.ascontiguousarray(buf), (len(buf) - 7, 8), (1, 1)).copy().view(kind)[:, 0]
+    """The 8 bytes from each offset as one integer; the last 7 bytes start none."""
+    n = len(buf) - 7
+    out = np.empty((-(-n // 8), 8), np.uint64)
+    spare = np.concatenate([buf, np.zeros(16, np.uint8)])
+    for k in range(8):
+        out[:, k] = spare[k : k + 8 * len(out)].view(kind)
+    return out.reshape(-1)[:n]
 
 
 def anchors(buf: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Runs of windows that elect the same anchor: first window, number of windows, 64-bit anchor hash.
 
     ``buf`` holds the documents end to end, ``ends`` their ends. Windows never cross an end. Runs are cut at
-    slices of 1 MiB, so that memory doesn't follow the length of a document.
+    slices of 128 KiB, so that memory doesn't follow the length of a document.
     """
     out = []
     starts = np.concatenate([[0], ends[:-1]])
@@ -98,6 +105,7 @@ class Group:
     """The documents of a group, end to end. A null doc_id has no order: its document neither removes nor loses."""
 
     def __init__(self, t: pa.Table):
+        t = t.sort_by([("doc_id", "ascending"), ("text", "ascending")])  # each pass must cut the same slices
         self.ids = t.column("doc_id")
         texts = [x or b"" for x in t.column("text").to_pylist()]
         self.ends = np.cumsum([len(x) for x in texts], dtype=np.int64)
@@ -127,32 +135,84 @@ class Group:
             part[np.arange(WIDTH)[None, :] >= (count[rows, None] + SPAN - 1)] = 0
             cut[rows, :WIDTH] = part
         cut[:, WIDTH] = count
-        rows = np.ascontiguousarray(cut).view(np.dtype((np.void, WIDTH + 1)))[:, 0]
-        _, pick, number = np.unique(rows, return_index=True, return_inverse=True)
+        pick, number = distinct(cut)
         least = np.full(len(pick), np.iinfo(np.int64).max)
         np.minimum.at(least, number, doc)
         return first, count, doc, number, cut[pick], least, (key[pick] >> U(32)).astype(np.int64)
 
 
+def distinct(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of a byte matrix: one row of each distinct kind, and each row's kind. Kinds are found by hash and compared."""
+    wide = np.zeros((len(rows), -(-rows.shape[1] // 8) * 8), np.uint8)
+    wide[:, : rows.shape[1]] = rows
+    words, h = wide.view("<u8"), np.zeros(len(rows), np.uint64)
+    for k in range(words.shape[1]):
+        h = (h ^ words[:, k]) * MIX[k % 2]
+        h ^= h >> U(32)
+    _, pick, number = np.unique(h, return_index=True, return_inverse=True)
+    if not (words[pick[number]] == words).all():
+        _, pick, number = np.unique(wide.view(np.dtype((np.void, wide.shape[1])))[:, 0], return_index=True, return_inverse=True)
+    return pick, number
+
+
 def keys(h: np.ndarray, buckets: int) -> np.ndarray:
     """Bucket in the upper half, 32 bits of the hash in the lower one."""
     return ((h >> U(32)) % U(buckets)) << U(32) | (h & U(0xFFFFFFFF))
 
 
-def suffix_array(text: np.ndarray, rest: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+def sort_words(big: np.ndarray, at: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    """The order of the suffixes ``at`` by their first 56 symbols, symbols past an end counting as 0.
+
+    Sorted by 8 symbols at a time; suffixes that are alone with their symbols so far, or share all 56 with
+    every other such, are settled.
+    """
+
+    def word(j: int, x: np.ndarray) -> np.ndarray:
+        left = np.clip(rest[x] - 8 * j, 0, 8)
+        keep = SHIFT[left]
+        return big[np.minimum(x + 8 * j, len(big) - 1)] & keep
+
+    first = word(0, at)
+    order = np.argsort(first, kind="stable")
+    new = np.concatenate([[True], np.diff(first[order]) != 0]) if len(at) else np.zeros(0, bool)
+    group = np.cumsum(new) - 1
+    places = np.arange(len(at))
+    for j in range(1, 7):
+        if not len(places):
+            break
+        start = np.flatnonzero(np.concatenate([[True], np.diff(group) != 0]))
+        size = np.diff(np.append(start, len(group)))
+        head = np.repeat(start, size)
+        x = at[order[places]]
+        words = word(j, x)
+        odd = words != words[head]
+        for k in range(j + 1, 7):
+            more = np.flatnonzero(~odd & (head != np.arange(len(x))))
+            y = word(k, x[more])
+            odd[more] = y != word(k, x[head[more]])
+        open_ = np.repeat(np.logical_or.reduceat(odd, start), size)
+        places, group, words = places[open_], group[open_], words[open_]
+        by = np.lexsort((words, group))
+        order[places] = order[places[by]]
+        group, words = group[by], words[by]
+        if len(group):
+            group = np.cumsum(np.concatenate([[True], (np.diff(group) != 0) | (np.diff(words) != 0)])) - 1
+    return order
+
+
+def suffix_array(text: np.ndarray, big: np.ndarray, rest: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """Offsets of the ``wanted`` suffixes of ``text`` in the order of their first SPAN symbols, in two stages.
 
-    ``text``: symbols from 1 up, 0 after each context; ``rest``: symbols up to that 0; 8 * 7 spare zeros at the end.
+    ``text``: symbols from 1 up, 0 after each context, 64 spare zeros; ``big``: its 8 symbols from each offset;
+    ``rest``: symbols up to the next 0.
     Stage 1 sorts the suffixes that are smaller than their successors. Stage 2 scans the buckets of first
     symbols in ascending order and appends each suffix that is larger than its successor to its bucket when that
     successor is met. Suffixes other than the wanted ones take part only where a wanted one is induced from them.
     """
     n = len(rest)
-    step = text[:n].astype(np.int16) - text[1 : n + 1]
     # The type of a run of equal symbols is that of its last one.
-    turn = np.flatnonzero((step != 0) | (rest == 0))
-    smaller = (step < 0) | (rest == 0)
-    smaller = smaller[turn][np.searchsorted(turn, np.arange(n))]
+    turn = np.flatnonzero((text[:n] != text[1 : n + 1]) | (rest == 0))
+    smaller = np.repeat((text[turn] < text[turn + 1]) | (rest[turn] == 0), np.diff(np.concatenate([[-1], turn])))
     active = np.zeros(n, bool)
     active[wanted] = True
     chain = wanted[~smaller[wanted]] + 1
@@ -160,13 +220,7 @@ def suffix_array(text: np.ndarray, rest: np.ndarray, wanted: np.ndarray) -> np.n
         active[chain] = True
         chain = chain[~smaller[chain]] + 1
     direct = np.flatnonzero(active & smaller)
-    big = word_at(text, ">u8").astype(np.uint64)
-    cols = []
-    for j in range(0, 56, 8):
-        left = np.clip(rest[direct] - j, 0, 8).astype(np.uint64)
-        keep = np.where(left == 0, U(0), ~U(0) << (U(8) * (U(8) - np.maximum(left, U(1)))))
-        cols.append(big[np.minimum(direct + j, len(big) - 1)] & keep)
-    order = direct[np.lexsort(cols[::-1])]
+    order = direct[sort_words(big, direct, rest)]
     heads = text[order]
     bound = np.searchsorted(heads, np.arange(257))
     pending: list[list[np.ndarray]] = [[] for _ in range(256)]
@@ -200,9 +254,8 @@ def suffix_array(text: np.ndarray, rest: np.ndarray, wanted: np.ndarray) -> np.n
     return sa[is_wanted[sa]]
 
 
-def common_prefixes(text: np.ndarray, sa: np.ndarray) -> np.ndarray:
+def common_prefixes(big: np.ndarray, sa: np.ndarray) -> np.ndarray:
     """Common prefix of each suffix with the one before it, up to SPAN symbols (which all lie before an end)."""
-    big = word_at(text, ">u8").astype(np.uint64)
     lcp = np.zeros(len(sa), np.int64)
     alive = np.arange(1, len(sa))
     for j in range(0, SPAN, 8):
@@ -223,30 +276,33 @@ def common_prefixes(text: np.ndarray, sa: np.ndarray) -> np.ndarray:
 
 def repeated(cut: np.ndarray, least: np.ndarray) -> np.ndarray:
     """Of each context (bytes, number of windows last; least doc): the windows, as bits, that start in an earlier document's context."""
-    count = cut[:, WIDTH].astype(np.int64)
+    count = cut[:, WIDTH].astype(np.int32)
     size = count + SPAN - 1
-    cols = np.arange(WIDTH + 1)[None, :]
-    body = np.where(cols < size[:, None], cut + np.uint8(1), np.uint8(0))
-    text = np.concatenate([body[cols <= size[:, None]], np.zeros(64, np.uint8)])
+    cols = np.arange(WIDTH + 1, dtype=np.int32)[None, :]
+    inside = cols <= size[:, None]
+    text = np.concatenate([np.where(cols < size[:, None], cut + np.uint8(1), np.uint8(0))[inside], np.zeros(64, np.uint8)])
     start = np.concatenate([[0], np.cumsum(size + 1)])
-    owner = np.repeat(np.arange(len(cut)), size + 1)
-    offset = np.arange(start[-1]) - start[owner]
-    rest = size[owner] - offset
-    wanted = np.flatnonzero(offset < count[owner])
-    sa = suffix_array(text, rest, wanted)
-    new = common_prefixes(text, sa) < SPAN
+    rest = (size[:, None] - cols)[inside]
+    owner = np.repeat(np.arange(len(cut)), count)
+    wanted = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count - start[:-1], count)
+    big = word_at(text, ">u8")
+    sa = suffix_array(text, big, rest, wanted)
+    new = common_prefixes(big, sa) < SPAN
     new[:1] = True
-    who = owner[sa]
+    number = np.zeros(len(rest), np.int32)
+    number[wanted] = owner
+    who = number[sa]
+    offset = (sa - start[who]).astype(np.int32)
     first = np.flatnonzero(new)
     floor = np.minimum.reduceat(least[who], first) if len(first) else least[:0]
     early = floor[np.cumsum(new) - 1] < least[who]
-    return np.bincount(who[early], weights=np.exp2(offset[sa[early]]), minlength=len(cut)).astype(np.uint64)
+    return np.bincount(who[early], weights=np.exp2(offset[early]), minlength=len(cut)).astype(np.uint64)
 
 
-def drop_repeats(docs: DataFrame, group_bytes: int = GROUP_BYTES) -> DataFrame:
+def drop_repeats(docs: DataFrame, group_bytes: int = GROUP_BYTES, with_kept: bool = True) -> DataFrame:
     """``docs(doc_id, text, ...)`` -> ``(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept)``, a row a row.
 
-    ``kept`` holds the remaining bytes. Null and empty texts: no bytes. Rows with one doc_id are one document, so
+    ``kept`` holds the remaining bytes (null unless ``with_kept``). Null and empty texts: no bytes. Rows with one doc_id are one document, so
     they don't remove from each other. A null doc_id has no order: such rows are kept whole and remove nothing.
     """
     spark = docs.sparkSession
@@ -328,7 +384,7 @@ def drop_repeats(docs: DataFrame, group_bytes: int = GROUP_BYTES) -> DataFrame:
         for i, hi in enumerate(group.ends.tolist()):
             out = gone[lo:hi]
             kept = group.buf[lo:hi][~out].tobytes()
-            rows.append((hi - lo, int(out.sum()), int(out[:1].sum() + (out[1:] & ~out[:-1]).sum()), hashlib.sha256(kept).hexdigest(), kept))
+            rows.append((hi - lo, int(out.sum()), int(out[:1].sum() + (out[1:] & ~out[:-1]).sum()), hashlib.sha256(kept).hexdigest(), kept if with_kept else None))
             lo = hi
         return pa.Table.from_arrays([group.ids.combine_chunks(), *(pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), list(DONE)[1:], strict=True))], schema=DONE)
 
