@@ -5,24 +5,81 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from taxoloom.llm import simhash, suffix
+from taxoloom.llm import chat, lines, mixing, packing, quality, simhash, suffix, urls, vectors, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"), ngram=3, radius=3)
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark, table(spark, sf_dir, "pages"), min_bytes=0).drop("payload")
+
+
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grouped = chat.segments(table(spark, sf_dir, "conversations"))
+    turns = chat.parse_transcripts(chat.transcripts(grouped), chat.fit_on(grouped))
+    return turns.select("conv_id", "segment", "turn", "role", F.char_length("text").cast("long").alias("n_chars"), F.md5("rendered").alias("rendered_md5"))
+
+
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), capacity=2048, end_id=1)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality.ledger(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    rows = quality.apply_policy(quality.apply_policy(rows, quality.BASE, into="base_kept"), quality.POLICIES[-1])
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "failures", (~F.col("base_kept")).alias("base_failed"), "kept")
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", "n_lines", "n_removed", F.md5("text").alias("text_md5"))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), max_repeats=2.0)
+    return rows.select("doc_id", "source", F.col("_epoch").alias("epoch"), F.col("_block").alias("block_key"), F.col("_row").alias("row_key"), F.round("_weight", 9).alias("weight"), F.round("_repeats", 9).alias("repeats"))
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix.drop_repeats(table(spark, sf_dir, "documents")).drop("kept")
+    return suffix.drop_repeats(table(spark, sf_dir, "documents"), with_kept=False).drop("kept")
 
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_warc": op2_warc,
+    "op3_chat": op3_chat,
+    "op4_url_filters": op4_url_filters,
+    "op5_embedding_dedup": op5_embedding_dedup,
+    "op6_packing": op6_packing,
+    "op7_quality_rules": op7_quality_rules,
+    "op8_line_dedup": op8_line_dedup,
+    "op9_mixing": op9_mixing,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op4_url_filters": urls.ORACLE,
+    "op7_quality_rules": quality.ORACLE,
+    "op8_line_dedup": lines.ORACLE,
+}
