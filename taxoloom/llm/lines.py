@@ -5,8 +5,9 @@ Lines are compared as lists of lower-cased words. A line goes if its words occur
 Earlier: by (doc_id, line number); null ids come last. Judged on the input, not on what is left.
 
 A line's deletion neighbourhood is itself and itself without one word. Two lines are within one edit exactly if
-one equals a variant of the other, or both give the same variant by deleting at the same place. So a
-bucket of equal variants needs its earliest line only: no pairs are made, however many lines share a variant.
+one equals a variant of the other, or both give the same variant by deleting at the same place. So all lines of a
+bucket of equal variants are near each other, and it needs its earliest line only: no pairs are made, however
+many lines share a variant. Variants are keyed by 64-bit hashes; the edit distance to the earliest is then verified.
 """
 
 from __future__ import annotations
@@ -15,7 +16,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from taxoloom.llm.common import materialize
-from taxoloom.llm.quality import words_of
 
 
 def place() -> Column:
@@ -23,56 +23,87 @@ def place() -> Column:
     return F.struct(F.col("doc_id").isNull().alias("nil"), "doc_id", "line_no", "th")
 
 
-def split_lines(docs: DataFrame) -> DataFrame:
-    """``(doc_id, th, line_no, words)``; ``th`` tells rows of one id apart by a hash of their text."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    lines = docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("th"), F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
-    return lines.select("doc_id", "th", "line_no", words_of(F.lower("line")).alias("words"))
-
-
-def halves(words: Column, n: Column) -> Column:
-    """Keys of which two lines within one edit share one: for the shorter's length m, the first m // 2 words or the last m - m // 2."""
-
-    def keys(m: Column) -> list[Column]:
-        h = F.floor(m / 2).cast("int")
-        return [F.xxhash64(m, F.lit(0), F.slice(words, F.lit(1), h)), F.xxhash64(m, F.lit(1), F.slice(words, n - (m - h) + 1, m - h))]
-
-    return F.array(*keys(n), *keys(n - 1))
-
-
-def near_lines(first: DataFrame, docs: DataFrame, fuzzy_words: int) -> DataFrame:
-    """``first(h, at, n, halves)`` of distinct lines -> ``h`` of those that have an earlier line within one edit."""
-    keyed = first.where(F.col("n") >= fuzzy_words).select("h", F.explode("halves").alias("half"))
-    shared = keyed.groupBy("half").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo <> hi").select("half")
-    wanted = keyed.join(shared, "half", "left_semi").select("h").distinct()
-    spots = first.join(wanted, "h", "left_semi").select("at.doc_id", "at.th", "at.line_no", "h", "at")
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    per_doc = spots.groupBy("doc_id", "th").agg(F.collect_list(F.struct("line_no", "h", "at")).alias("spots"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("d"), F.xxhash64(text).alias("t"), text.alias("text"))
-    found = per_doc.join(texts, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t"))).dropDuplicates(["doc_id", "th"])
-    found = found.withColumn("lines", F.split("text", "\n")).select(F.explode(F.transform("spots", lambda s: F.struct(s["h"].alias("h"), s["at"].alias("at"), F.get("lines", s["line_no"]).alias("line")))).alias("s"))
-    lines = materialize(found.select("s.h", "s.at", words_of(F.lower("s.line")).alias("words")), "lines")
-    size = F.size("words")
-    whole = lines.select("h", "at", size.alias("n"), F.lit(-1).alias("pos"), F.xxhash64(size, "words").alias("v"))
-    cut = F.transform(F.sequence(F.lit(0), size - 1), lambda i: F.struct(i.alias("pos"), F.xxhash64(size - 1, F.concat(F.slice("words", F.lit(1), i), F.slice("words", i + 2, size))).alias("v")))
-    less = lines.select("h", "at", (size - 1).alias("n"), F.explode(cut).alias("c")).select("h", "at", "n", "c.pos", "c.v")
-    # The earliest line of each variant: with its place of deletion (replaced words), of any place (inserted ones), and as a whole line.
-    some = less.groupBy("v", "n", "pos").agg(F.min(F.struct("at", "h")).alias("m"))
-    shorter = whole.select("v", "n", F.struct("at", "h").alias("m"))
-    longer = some.groupBy("v", "n").agg(F.min("m").alias("m"))
-    pairs = (
-        less.join(some, ["v", "n", "pos"])
-        .select("h", "at", "m")
-        .unionByName(less.join(shorter, ["v", "n"]).select("h", "at", "m"))
-        .unionByName(whole.join(longer, ["v", "n"]).select("h", "at", "m"))
-        .where("m.at < at")
-        .select("h", F.col("m.h").alias("other"))
-        .distinct()
-    )
-    a, b = lines.select("h", F.col("words").alias("x")), lines.select(F.col("h").alias("other"), F.col("words").alias("y"))
+def text_of() -> Column:
+    return F.coalesce(F.col("text").cast("string"), F.lit(""))
+
+
+def words_by_line(text: Column) -> Column:
+    """The lower-cased words of each line; other blanks become spaces first, as splitting at one character needs no pattern."""
+    return F.transform(F.split(F.regexp_replace(F.lower(text), r"[\x09\x0B-\x0D]", " "), "\n"), lambda s: F.array_remove(F.split(s, " "), ""))
+
+
+def split_lines(docs: DataFrame, fuzzy_words: int) -> DataFrame:
+    """``(doc_id, th, line_no, h, n, heads, tails)``; ``th`` tells rows of one id apart by a hash of their text.
+
+    Of two lines within one edit, with m words the shorter, one of two holds: their first m // 2 words are equal, or their
+    last m - m // 2. ``heads`` and ``tails`` hash these for m = n and m = n - 1 (null for lines too short to be near another).
+    """
+
+    def keys(w: Column) -> Column:
+        n = F.size(w)
+        low, high = F.floor((n - 1) / 2).cast("int"), F.floor(n / 2).cast("int")
+        head = lambda k: F.xxhash64(k, F.slice(w, F.lit(1), k))
+        tail = lambda k: F.xxhash64(k, F.slice(w, n - k + 1, k))
+        long = n >= fuzzy_words
+        return F.struct(
+            F.xxhash64(n, w).alias("h"),
+            n.alias("n"),
+            F.when(long, F.when(low == high, F.array(head(high))).otherwise(F.array(head(low), head(high)))).alias("heads"),
+            F.when(long, F.when(low == high, F.array(tail(n - high), tail(n - 1 - low))).otherwise(F.array(tail(n - high)))).alias("tails"),
+        )
+
+    lines = docs.select(F.col("doc_id").cast("long"), F.xxhash64(text_of()).alias("th"), F.posexplode(F.transform(words_by_line(text_of()), keys)).alias("line_no", "k"))
+    return lines.select("doc_id", "th", "line_no", "k.*")
+
+
+def near_lines(rows: DataFrame, first: DataFrame, docs: DataFrame, fuzzy_words: int) -> DataFrame:
+    """``h`` of the distinct lines that have an earlier line within one edit.
+
+    Only lines that share a head or a tail with another line emit variants, and only where the edit can then be.
+    """
+    sides = F.concat(F.transform("heads", lambda k: F.struct(F.lit(0).alias("side"), k.alias("k"))), F.transform("tails", lambda k: F.struct(F.lit(1).alias("side"), k.alias("k"))))
+    keyed = rows.where(F.col("n") >= fuzzy_words).select("h", F.explode(sides).alias("s")).select("h", "s.side", "s.k")
+    shared = keyed.groupBy("side", "k").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo <> hi").select("side", "k")
+    wanted = keyed.join(shared, ["side", "k"], "left_semi").groupBy("h").agg(F.bool_or(F.col("side") == 0).alias("head"), F.bool_or(F.col("side") == 1).alias("tail"))
+    spots = first.join(wanted, "h").select("at.doc_id", "at.th", "at.line_no", "h", "head", "tail")
+    per_doc = spots.groupBy("doc_id", "th").agg(F.collect_list(F.struct("line_no", "h", "head", "tail")).alias("spots"))
+    per_doc = per_doc.select(F.col("doc_id").alias("_doc"), F.col("th").alias("_th"), "spots")
+    found = docs.join(per_doc, same_doc()).dropDuplicates(["_doc", "_th"])
+    took = F.transform("spots", lambda s: F.struct(s.alias("s"), F.get("words", s["line_no"]).alias("w")))
+    found = found.withColumn("words", words_by_line(F.col("text"))).select("_doc", F.explode(took).alias("x"))
+    lines = found.select(F.col("x.s.h").alias("h"), F.struct(F.col("_doc").isNull().alias("nil"), F.col("_doc").alias("doc"), F.col("x.s.line_no").alias("line"), F.col("x.s.h").alias("h")).alias("at"), F.col("x.s.head").alias("head"), F.col("x.s.tail").alias("tail"), F.col("x.w").alias("w"))
+    lines = materialize(lines, "lines")
+    grown = chains(lines)
+    v = grown.select("h", "at", F.explode(variants()).alias("v"))
+    least = v.groupBy("v").agg(F.min("at").alias("m"), F.count("*").alias("c")).where("c > 1").select("v", "m")
+    pairs = v.join(least, "v").where("h <> m.h").select("h", F.col("m.h").alias("other")).distinct()
+    a, b = lines.select("h", F.col("w").alias("x")), lines.select(F.col("h").alias("other"), F.col("w").alias("y"))
     return pairs.join(a, "h").join(b, "other").where(within_one_edit(F.col("x"), F.col("y"))).select("h").distinct()
 
 
+def same_doc() -> Column:
+    return F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (F.col("_t") == F.col("_th"))
+
+
+def chains(lines: DataFrame) -> DataFrame:
+    """Adds hashes of all beginnings (``p``: of the first i words) and ends (``q``: of all but the first i), each made from the one before."""
+    zero = F.array(F.lit(0).cast("long"))
+    grow = lambda w: F.aggregate(w, zero, lambda a, x: F.array_append(a, F.xxhash64(F.element_at(a, -1), x)))
+    return lines.withColumn("p", grow(F.col("w"))).withColumn("q", F.reverse(grow(F.reverse("w")))).withColumn("n", F.size("w"))
+
+
+def variants() -> Column:
+    """Keys of a line's deletion neighbourhood: each word left out, and nothing left out at each place. Two lines share a key exactly
+    if one edit at that place makes them equal. A shared head puts the edit behind it, a shared tail before it."""
+    n = F.col("n")
+    lo = F.when(F.col("tail"), 0).otherwise(F.floor((n - 1) / 2).cast("int"))
+    hi = F.when(F.col("head"), n).otherwise(n - F.floor(n / 2).cast("int") + 1)
+    at = F.sequence(lo, F.least(hi, n))
+    whole = F.transform(at, lambda i: F.xxhash64(n, i, F.get("p", i), F.get("q", i)))
+    less = F.transform(F.filter(at, lambda i: i < n), lambda i: F.xxhash64(n - 1, i, F.get("p", i), F.get("q", i + 1)))
+    return F.concat(whole, less)
+
+
 def within_one_edit(x: Column, y: Column) -> Column:
     """Whether the shared first and last words leave one word at most of the longer list."""
 
@@ -90,29 +121,26 @@ def dedup_lines(docs: DataFrame, min_words: int = 3, fuzzy_words: int = 8) -> Da
     Lines of fewer than ``min_words`` words always stay. Texts keep their other lines as they were; a null text
     stays null. Rows of equal id and text are one document. Clashing extra columns ``n_lines`` and ``n_removed`` are replaced.
     """
-    rows = split_lines(docs)
-    n = F.size("words")
-    rows = rows.where(n >= min_words).select("doc_id", "th", "line_no", F.xxhash64(n, "words").alias("h"), n.alias("n"), F.when(n >= fuzzy_words, halves(F.col("words"), n)).alias("halves"))
-    first = materialize(rows.groupBy("h").agg(F.min(place()).alias("at"), F.first("n").alias("n"), F.first("halves").alias("halves")), "first")
-    near = near_lines(first, docs, fuzzy_words).withColumn("near", F.lit(True))
-    verdicts = first.select("h", "at").join(near, "h", "left")
+    rows = materialize(split_lines(docs, fuzzy_words).where(F.col("n") >= min_words), "rows")
+    first = materialize(rows.groupBy("h").agg(F.min(place()).alias("at")), "first")
+    keep = docs.drop("n_lines", "n_removed").withColumn("_t", F.xxhash64(text_of()))
+    near = near_lines(rows, first, keep, fuzzy_words).withColumn("near", F.lit(True))
     gone = (
-        split_lines(docs).where(n >= min_words).select("doc_id", "th", "line_no", F.xxhash64(n, "words").alias("h"))
-        .join(verdicts, "h")
+        rows.select("doc_id", "th", "line_no", "h")
+        .join(first.join(near, "h", "left"), "h")
         .where(F.col("near") | (place() != F.col("at")))
         .groupBy("doc_id", "th")
         .agg(F.collect_set("line_no").alias("gone"))
         .select(F.col("doc_id").alias("_doc"), F.col("th").alias("_th"), "gone")
     )
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    keep = docs.drop("n_lines", "n_removed")
-    joined = keep.withColumn("_t", F.xxhash64(text)).join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (F.col("_t") == F.col("_th")), "left")
+    text = text_of()
+    joined = keep.join(gone, same_doc(), "left")
     lines = F.split("text", "\n")
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
     # The lines are split once and taken by number.
     new = F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
     return joined.select(
-        *(F.when(F.col("gone").isNull(), F.col("text")).otherwise(new).alias("text") if c == "text" else F.col(c) for c in keep.columns),
+        *(F.when(F.col("gone").isNull(), F.col("text")).otherwise(new).alias("text") if c == "text" else F.col(c) for c in keep.columns if c != "_t"),
         F.size(F.split(text, "\n")).cast("long").alias("n_lines"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
     )

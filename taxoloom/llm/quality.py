@@ -9,12 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: The contract's word and symbol classes.
-BLANK = r"[\x20\x09-\x0D]+"
+OTHER_BLANKS = r"[\x09-\x0D]"
 SYMBOLS = r"[#*$%&|<>]"
 
 
 def words_of(text: Column) -> Column:
-    return F.filter(F.split(text, BLANK), lambda w: w != "")
+    """Other blanks become spaces first, as splitting at one character needs no pattern."""
+    return F.array_remove(F.split(F.regexp_replace(text, OTHER_BLANKS, " "), " "), "")
 
 
 def measure(docs: DataFrame) -> DataFrame:
