@@ -91,7 +91,7 @@ def dense_top(queries: DataFrame, corpus: DataFrame, k: int, exclude_self: bool
 
 def dense_block(rows: pa.Table, corpus: DataFrame, k: int, exclude_self: bool) -> DataFrame:
     ids = rows.column("query").to_numpy()
-    q = np.array(rows.column("vector").to_pylist(), np.float64).reshape(len(ids), -1)
+    q = np.array(rows.column("vector").to_pylist(), np.float64).reshape(len(ids), -1) if len(ids) else np.zeros((0, 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -43,4 +43,5 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 def window_counts(events: DataFrame, width: str = "1 hour", late: str = "2 hours") -> DataFrame:
     """Tumbling counts of an event stream with a watermark. An extra: the reference flow has no streams."""
-    return events.withWatermark("ts", late).groupBy(F.window("ts", width), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
+    timed = events.withColumn("ts", F.col("ts").cast("timestamp"))
+    return timed.withWatermark("ts", late).groupBy(F.window("ts", width), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
