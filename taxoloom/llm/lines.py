@@ -27,9 +27,11 @@ def text_of() -> Column:
     return F.coalesce(F.col("text").cast("string"), F.lit(""))
 
 
-def words_by_line(text: Column) -> Column:
-    """The lower-cased words of each line; other blanks become spaces first, as splitting at one character needs no pattern."""
-    return F.transform(F.split(F.regexp_replace(F.lower(text), r"[\x09\x0B-\x0D]", " "), "\n"), lambda s: F.array_remove(F.split(s, " "), ""))
+def plain_lines(text: Column) -> Column:
+    """Each line in lower case with single spaces between its words, and none at its ends. Most lines are so already."""
+    lines = F.split(F.regexp_replace(F.lower(text), r"[\x09\x0B-\x0D]", " "), "\n")
+    ragged = lambda s: s.contains("  ") | s.startswith(" ") | s.endswith(" ")
+    return F.transform(lines, lambda s: F.when(ragged(s), F.array_join(F.array_remove(F.split(s, " "), ""), " ")).otherwise(s))
 
 
 def split_lines(docs: DataFrame, fuzzy_words: int) -> DataFrame:
@@ -39,21 +41,15 @@ def split_lines(docs: DataFrame, fuzzy_words: int) -> DataFrame:
     last m - m // 2. ``heads`` and ``tails`` hash these for m = n and m = n - 1 (null for lines too short to be near another).
     """
 
-    def keys(w: Column) -> Column:
-        n = F.size(w)
-        low, high = F.floor((n - 1) / 2).cast("int"), F.floor(n / 2).cast("int")
-        head = lambda k: F.xxhash64(k, F.slice(w, F.lit(1), k))
-        tail = lambda k: F.xxhash64(k, F.slice(w, n - k + 1, k))
-        long = n >= fuzzy_words
-        return F.struct(
-            F.xxhash64(n, w).alias("h"),
-            n.alias("n"),
-            F.when(long, F.when(low == high, F.array(head(high))).otherwise(F.array(head(low), head(high)))).alias("heads"),
-            F.when(long, F.when(low == high, F.array(tail(n - high), tail(n - 1 - low))).otherwise(F.array(tail(n - high)))).alias("tails"),
-        )
-
-    lines = docs.select(F.col("doc_id").cast("long"), F.xxhash64(text_of()).alias("th"), F.posexplode(F.transform(words_by_line(text_of()), keys)).alias("line_no", "k"))
-    return lines.select("doc_id", "th", "line_no", "k.*")
+    lines = docs.select(F.col("doc_id").cast("long"), F.xxhash64(text_of()).alias("th"), F.posexplode(plain_lines(text_of())).alias("line_no", "s"))
+    blanks = F.octet_length("s") - F.octet_length(F.replace("s", F.lit(" "), F.lit("")))
+    lines = lines.withColumn("n", F.when(F.col("s") == "", 0).otherwise(blanks + 1))
+    cut = lambda k: F.expr(f"xxhash64({k}, substring_index(s, ' ', cast({k} as int)))")
+    low, high = "(n - 1) div 2", "n div 2"
+    heads = F.when(F.expr(f"{low} = {high}"), F.array(cut(high))).otherwise(F.array(cut(low), cut(high)))
+    tails = F.when(F.expr(f"{low} = {high}"), F.array(cut(f"(- n + {high})"), cut(f"(1 - n + {low})"))).otherwise(F.array(cut(f"(- n + {high})")))
+    long = F.col("n") >= fuzzy_words
+    return lines.select("doc_id", "th", "line_no", F.xxhash64("s").alias("h"), "n", F.when(long, heads).alias("heads"), F.when(long, tails).alias("tails"))
 
 
 def near_lines(rows: DataFrame, first: DataFrame, docs: DataFrame, fuzzy_words: int) -> DataFrame:
@@ -69,14 +65,17 @@ def near_lines(rows: DataFrame, first: DataFrame, docs: DataFrame, fuzzy_words:
     per_doc = spots.groupBy("doc_id", "th").agg(F.collect_list(F.struct("line_no", "h", "head", "tail")).alias("spots"))
     per_doc = per_doc.select(F.col("doc_id").alias("_doc"), F.col("th").alias("_th"), "spots")
     found = docs.join(per_doc, same_doc()).dropDuplicates(["_doc", "_th"])
-    took = F.transform("spots", lambda s: F.struct(s.alias("s"), F.get("words", s["line_no"]).alias("w")))
-    found = found.withColumn("words", words_by_line(F.col("text"))).select("_doc", F.explode(took).alias("x"))
+    took = F.transform("spots", lambda s: F.struct(s.alias("s"), F.split(F.get("words", s["line_no"]), " ").alias("w")))
+    found = found.withColumn("words", plain_lines(F.col("text"))).select("_doc", F.explode(took).alias("x"))
     lines = found.select(F.col("x.s.h").alias("h"), F.struct(F.col("_doc").isNull().alias("nil"), F.col("_doc").alias("doc"), F.col("x.s.line_no").alias("line"), F.col("x.s.h").alias("h")).alias("at"), F.col("x.s.head").alias("head"), F.col("x.s.tail").alias("tail"), F.col("x.w").alias("w"))
     lines = materialize(lines, "lines")
     grown = chains(lines)
-    v = grown.select("h", "at", F.explode(variants()).alias("v"))
-    least = v.groupBy("v").agg(F.min("at").alias("m"), F.count("*").alias("c")).where("c > 1").select("v", "m")
-    pairs = v.join(least, "v").where("h <> m.h").select("h", F.col("m.h").alias("other")).distinct()
+    v = materialize(grown.select("at", F.explode(variants()).alias("v")).select("v", "at.*"), "variants")
+    # Few variants are shared: they are counted first, and only theirs are compared.
+    common = v.groupBy("v").agg(F.count("*").alias("c")).where("c > 1").select("v")
+    met = v.join(common, "v", "left_semi").select("v", F.struct("nil", "doc", "line", "h").alias("at"))
+    met = materialize(met, "shared")
+    pairs = met.join(met.groupBy("v").agg(F.min("at").alias("m")), "v").where("at.h <> m.h").select("at.h", F.col("m.h").alias("other")).distinct()
     a, b = lines.select("h", F.col("w").alias("x")), lines.select(F.col("h").alias("other"), F.col("w").alias("y"))
     return pairs.join(a, "h").join(b, "other").where(within_one_edit(F.col("x"), F.col("y"))).select("h").distinct()
 
@@ -123,8 +122,10 @@ def dedup_lines(docs: DataFrame, min_words: int = 3, fuzzy_words: int = 8) -> Da
     """
     rows = materialize(split_lines(docs, fuzzy_words).where(F.col("n") >= min_words), "rows")
     first = materialize(rows.groupBy("h").agg(F.min(place()).alias("at")), "first")
-    keep = docs.drop("n_lines", "n_removed").withColumn("_t", F.xxhash64(text_of()))
-    near = near_lines(rows, first, keep, fuzzy_words).withColumn("near", F.lit(True))
+    columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    # All columns travel in one struct, so that none can clash with the names used here.
+    keep = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.xxhash64(text_of()).alias("_t"), F.struct(*columns).alias("_own"))
+    near = near_lines(rows, first, keep.select("doc_id", "text", "_t"), fuzzy_words).withColumn("near", F.lit(True))
     gone = (
         rows.select("doc_id", "th", "line_no", "h")
         .join(first.join(near, "h", "left"), "h")
@@ -133,15 +134,15 @@ def dedup_lines(docs: DataFrame, min_words: int = 3, fuzzy_words: int = 8) -> Da
         .agg(F.collect_set("line_no").alias("gone"))
         .select(F.col("doc_id").alias("_doc"), F.col("th").alias("_th"), "gone")
     )
-    text = text_of()
-    joined = keep.join(gone, same_doc(), "left")
-    lines = F.split("text", "\n")
+    joined = keep.select("doc_id", "_t", "_own").join(gone, same_doc(), "left")
+    text = F.col("_own.text")
+    lines = F.split(text, "\n")
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
-    # The lines are split once and taken by number.
     new = F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
+    breaks = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit("")))
     return joined.select(
-        *(F.when(F.col("gone").isNull(), F.col("text")).otherwise(new).alias("text") if c == "text" else F.col(c) for c in keep.columns if c != "_t"),
-        F.size(F.split(text, "\n")).cast("long").alias("n_lines"),
+        *(F.when(F.col("gone").isNull(), text).otherwise(new).alias(c) if c == "text" else F.col("_own")[c].alias(c) for c in columns),
+        F.coalesce(breaks + 1, F.lit(1)).cast("long").alias("n_lines"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
     )
 
