@@ -25,7 +25,10 @@ def measure(docs: DataFrame) -> DataFrame:
     no text is shuffled and the cost is n log n in its words.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    base = docs.withColumn("_words", words_of(text)).withColumn("_lines", F.filter(F.split(text, "\n"), lambda s: s.rlike(r"[^\x20\x09-\x0D]")))
+    # All columns travel in one struct, so that none can clash with the names used here.
+    base = docs.select(F.struct(*docs.columns).alias("_own"), text.alias("_text"))
+    text = F.col("_text")
+    base = base.withColumn("_words", words_of(text)).withColumn("_lines", F.filter(F.split(text, "\n"), lambda s: s.rlike(r"[^\x20\x09-\x0D]")))
     n = F.size("_words")
     windows = F.when(n >= 3, F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.struct(F.xxhash64(F.get("_words", i), F.get("_words", i + 1), F.get("_words", i + 2)).alias("h"), i.alias("i"))))
     base = base.withColumn("_sorted", F.array_sort(F.coalesce(windows, F.array().cast("array<struct<h:bigint,i:int>>"))))
@@ -34,8 +37,8 @@ def measure(docs: DataFrame) -> DataFrame:
     base = base.withColumn("_twice", F.array_sort(F.transform(twice, lambda x: x["i"])))
     t = F.col("_twice")
     covered = F.aggregate(F.transform(t, lambda i, k: F.least(F.lit(3), F.coalesce(F.get(t, k + 1) - i, F.lit(3)))), F.lit(0), lambda a, x: a + x)
-    return base.select(
-        *docs.columns,
+    # A generator keeps filters on the measurements from being moved below it, where they would repeat all of this.
+    all_of = F.struct(
         n.cast("long").alias("n_words"),
         F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
         F.regexp_count(text, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
@@ -43,6 +46,7 @@ def measure(docs: DataFrame) -> DataFrame:
         covered.cast("long").alias("n_repeat_words"),
         F.size("_lines").cast("long").alias("n_lines"),
     )
+    return base.select("_own", F.explode(F.array(all_of)).alias("_m")).select(*(F.col("_own")[c].alias(c) for c in docs.columns), "_m.*")
 
 
 @dataclass(frozen=True)
