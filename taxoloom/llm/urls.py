@@ -75,14 +75,14 @@ def tokens_of(url: Column) -> Column:
 def rule_index(urls: DataFrame, rules: list[HostRule | PatternRule]) -> DataFrame:
     """A row a rule: ``(no, verdict, host, path, pattern, token)``, ``token`` being its literal that
     fewest rows of ``urls(token)`` have (ties: the first literal in order)."""
-    spark = urls.sparkSession
-    schema = "no int, verdict string, host string, path string, pattern string, literals array<string>"
     rows = []
     for no, r in enumerate(rules):
         if not r.literals():
             raise ValueError(f"rule {no} has no literal token to be indexed by")
-        rows.append((no, r.verdict, r.host, r.path, None, r.literals()) if isinstance(r, HostRule) else (no, r.verdict, None, None, r.pattern, r.literals()))
-    table = spark.createDataFrame(rows, schema)
+        host = isinstance(r, HostRule)
+        values = {"no": no, "verdict": r.verdict, "host": r.host if host else None, "path": r.path if host else None, "pattern": None if host else r.pattern}
+        rows.append(F.struct(*(F.lit(v).cast("int" if k == "no" else "string").alias(k) for k, v in values.items()), F.array(*map(F.lit, r.literals())).alias("literals")))
+    table = urls.sparkSession.range(1).select(F.inline(F.array(*rows)))
     literal = table.select("no", F.explode("literals").alias("token")).distinct()
     hint = F.broadcast if small(rules) else (lambda df: df)
     seen = urls.join(hint(literal.select("token").distinct()), "token").groupBy("token").agg(F.count("*").alias("n"))
