@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -18,29 +19,50 @@ SEED = 42
 #: Rows of one window of the comparison, and of one bucket before it is split into pairs of parts.
 WINDOW, BUCKET = 512, 2048
 ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
+#: Shingles that are hashed at once.
+SLICE = 1 << 16
+BLANK = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def fingerprint(text: str | None, ngram: int = 3) -> int:
     """The 64-bit SimHash of the lower-cased (A-Z) words' shingles, repeats counted; 0 without words.
 
-    Fewer words than ``ngram`` make one shingle. Shingles are hashed in slices, so memory does not
-    follow the length of the text by more than its list of words.
+    Fewer words than ``ngram`` make one shingle. A long text is split and hashed in slices.
     """
-    words = (text or "").encode().lower().split()
-    if not words:
-        return 0
-    if len(words) < ngram:
-        return xxhash.xxh64_intdigest(b" ".join(words), SEED)
-    total, ones = 0, np.zeros(BITS, np.int64)
-    shingles = map(b" ".join, zip(*(words[i:] for i in range(ngram)), strict=False))
-    for at in range(0, len(words) - ngram + 1, 1 << 16):
-        n = min(1 << 16, len(words) - ngram + 1 - at)
-        h = np.fromiter((xxhash.xxh64_intdigest(next(shingles), SEED) for _ in range(n)), "<u8", n)
-        ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int32)
-        total += n
+    total, ones, words = 0, np.zeros(BITS, np.int64), []
+    for piece in pieces((text or "").encode()):
+        words += piece.lower().split()
+        for at in range(0, max(0, len(words) - ngram + 1), SLICE):
+            part = words[at : at + SLICE + ngram - 1]
+            grams = map(b" ".join, zip(*(part[i:] for i in range(ngram)), strict=False))
+            n = len(part) - ngram + 1
+            ones += counts(np.fromiter((xxhash.xxh64_intdigest(g, SEED) for g in grams), "<u8", n))
+            total += n
+        if len(words) >= ngram:
+            words = words[len(words) - ngram + 1 :]
+    if not total and words:
+        total, ones = 1, counts(np.array([xxhash.xxh64_intdigest(b" ".join(words), SEED)], "<u8"))
     return int(np.packbits(2 * ones > total, bitorder="little").view("<u8")[0])
 
 
+def counts(h: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each bit."""
+    return np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+
+
+def pieces(data: bytes, size: int = 4 << 20) -> Iterator[bytes]:
+    """Slices of about ``size`` bytes that end between words."""
+    at = 0
+    while at < len(data):
+        to = at + size
+        if to < len(data) and (m := BLANK.search(data, to)):
+            to = m.start()
+        elif to < len(data):
+            to = len(data)
+        yield data[at:to]
+        at = to
+
+
 def fingerprints(docs: DataFrame, ngram: int = 3) -> DataFrame:
     """``docs(doc_id, text)`` -> ``(doc_id, fp)``, a row a row; ``fp`` is the fingerprint as a signed long. Null and empty texts: 0."""
 

@@ -50,6 +50,18 @@ def test_fingerprint(text):
     assert simhash.fingerprint(text) == slow_fingerprint(text)
 
 
+def test_long_texts(monkeypatch):
+    rng = random.Random(1)
+    text = "".join(rng.choice(["aB ", "c\n", "long" * 9 + " ", "d"]) for _ in range(4000))
+    want = slow_fingerprint(text)
+    monkeypatch.setattr(simhash, "SLICE", 37)
+    whole = simhash.pieces
+    for size in (1, 50, 700):
+        monkeypatch.setattr(simhash, "pieces", lambda data: whole(data, size))
+        assert simhash.fingerprint(text) == want
+    assert b"".join(whole(text.encode(), 50)) == text.encode()
+
+
 @pytest.mark.parametrize("radius", [0, 1, 2, 3, 6])
 def test_close_pairs(radius):
     rng = np.random.default_rng(radius)
