@@ -20,10 +20,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated and nearly repeated lines go; ``n_chars`` follows. Documents left without a word go where lines were removed."""
-    out = lines.dedup_lines(docs)
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    out = lines.dedup_lines(docs.select("doc_id", "text", F.struct(*rest).alias("rest")))
     out = out.where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    length = F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
-    return out.withColumn("n_chars", length).select(*docs.columns)
+    length = F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("rest.n_chars"))
+    return out.select(*(length.alias(c) if c == "n_chars" else F.col(c) if c in ("doc_id", "text") else F.col("rest")[c].alias(c) for c in docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

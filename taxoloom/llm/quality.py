@@ -123,8 +123,8 @@ def ablations(rows: DataFrame, policy: Policy, rules: tuple[Rule, ...] = RULES)
 
 def filter_quality(docs: DataFrame, policy: Policy = POLICIES[-1]) -> DataFrame:
     """The rows that the policy keeps, with the columns of ``docs``. Null and empty texts have no words, so they go."""
-    kept = apply_policy(ledger(docs.select("*", *(F.col(c).alias(f"_own_{c}") for c in docs.columns if c in MEASURES))), policy).where("kept")
-    return kept.select(*(F.col(f"_own_{c}").alias(c) if c in MEASURES else F.col(c) for c in docs.columns))
+    rows = ledger(docs.select("text", F.struct(*docs.columns).alias("_all")))
+    return apply_policy(rows, policy, into="_kept").where("_kept").select(*(F.col("_all")[c].alias(c) for c in docs.columns))
 
 
 ORACLE = r"""

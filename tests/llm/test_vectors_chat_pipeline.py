@@ -165,3 +165,26 @@ def test_registry():
     assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 11)]
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)
     assert xxhash.xxh64_intdigest(b"a", 42) and mixing.CELLS
+
+
+NAMES = ["s", "cell", "g", "gone", "_t", "_doc", "h", "n", "fp", "rep", "n_words", "failures", "kept", "n_lines", "epochs", "copies", "whole", "lines", "words"]
+
+
+def test_stages_on_odd_tables(spark):
+    """Nulls in any column, blank and repeated rows, and columns named as the operators name theirs; then an empty table."""
+    rng = random.Random(0)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 8)))
+    text = lambda: "\n".join(" ".join(word() for _ in range(rng.randint(5, 30))) for _ in range(8))
+    base = [(i, rng.choice([text(), text(), None, "", " \n "]), rng.choice(["en", None]), rng.choice(["a", "b", None]), rng.choice([5, None])) for i in range(60)]
+    base += [(None, text(), "en", "a", 1), (None, None, None, None, None), (3, base[3][1], None, None, None), (3, text(), "en", "a", 2), base[7], base[7], (70, base[8][1], "en", "b", 1)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} string" for n in NAMES)
+    full = spark.createDataFrame([(*r, *NAMES) for r in base], schema)
+    for docs in (full, full.limit(0)):
+        for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            out = stage(spark, docs, SF)
+            got = out.collect()
+            if k < 4:
+                assert out.columns == docs.columns and out.dtypes == docs.dtypes
+                assert all(r[n] == n for r in got for n in NAMES)
+            docs = spark.createDataFrame(got, out.schema)
+        assert (sum(r.length for r in got) > 0) == (full.count() > 0 and len(got) > 0)
