@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -9,15 +10,30 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Words whose ids a worker remembers, and the longest word it remembers.
+#: Words, and runs of letters, whose ids a worker remembers, and the longest word it remembers.
 CACHE_WORDS, CACHE_CHARS = 600_000, 64
 
 
+#: Words of Latin-1 letters with marks behind: their ids are those of the letters in lower case, then of the marks.
+PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]*)")
+#: Texts of more characters are cut at blanks before they are encoded.
+LONG = 1 << 20
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies: printable bytes for themselves, the others from 256 up."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(shown)]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class Encoder:
-    """Ids of texts by a public tokenizer file whose tokens never cross white space.
+    """Ids of texts by a public tokenizer file that lower-cases, and whose tokens cross neither white space nor the
+    border between letters and marks.
 
-    Blanks, tabs and newlines split a text into words; each word's ids are looked up, and only new
-    words are encoded. Texts that may hold one of the file's special tokens are encoded as a whole.
+    Blanks, tabs and newlines split a text into words; each word's ids are looked up, and only new words are
+    encoded: runs of letters by the merges alone, other words by the whole tokenizer. Texts that may hold one of the
+    file's special tokens are encoded as a whole.
     """
 
     def __init__(self, path: str):
@@ -25,26 +41,73 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.kind = np.dtype("<u2") if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else np.dtype("<u4")
+        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.kind = np.dtype("<u2") if max(vocab.values()) < 1 << 16 else np.dtype("<u4")
+        self.merge = self.tokenizer.model.tokenize
+        self.letter = byte_letters()
         self.known: dict[str, bytes] = {"": b""}
+        self.runs: dict[str, bytes] = {"": b""}
+        probe = ["straße", "été", "ungetüm", "a"]
+        if [self.letters(w) for w in probe] != self.raw(probe):
+            raise ValueError(f"{path}: its words are more than merges of byte letters")
 
     def raw(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [[t] if any(s in t for s in self.special) else t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-        new = list({w for words in split for w in words if w not in self.known})
-        big = [w for w in new if len(w) > CACHE_CHARS]
-        long = dict(zip(big, self.raw(big), strict=True))
+    def letters(self, run: str) -> bytes:
+        """Ids of a run of lower-case letters."""
+        if not run.isascii():
+            run = "".join(map(self.letter.__getitem__, run.encode()))
+        return np.array([t.id for t in self.merge(run)], self.kind).tobytes()
+
+    def learn(self, words: list[str]) -> None:
         if len(self.known) > CACHE_WORDS:
             self.known = {"": b""}
-            new = list({w for words in split for w in words if w})
-        small = [w for w in new if len(w) <= CACHE_CHARS]
-        for lo in range(0, len(small), 20_000):
-            part = small[lo : lo + 20_000]
-            self.known.update(zip(part, self.raw(part), strict=True))
-        get = self.known.get
-        return [np.frombuffer(b"".join([long[w] if (x := get(w)) is None else x for w in words]), self.kind) for words in split]
+        if len(self.runs) > CACHE_WORDS:
+            self.runs = {"": b""}
+        match, runs, known, letters, odd = PLAIN.fullmatch, self.runs, self.known, self.letters, []
+        for w in words:
+            if (m := match(w)) is None:
+                odd.append(w)
+                continue
+            core, marks = m[1].lower(), m[2]
+            if (ids := runs.get(core)) is None:
+                ids = runs[core] = letters(core)
+            if marks:
+                if marks not in runs:
+                    runs[marks] = self.raw([marks])[0]
+                ids = ids + runs[marks]
+            known[w] = ids
+        known.update(zip(odd, self.raw(odd), strict=True))
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        out = []
+        for t in texts:
+            if any(s in t for s in self.special):
+                out.append(np.frombuffer(self.raw([t])[0], self.kind))
+            else:
+                out.append(np.concatenate([np.frombuffer(self.words(x.replace("\n", " ").replace("\t", " ").split(" ")), self.kind) for x in pieces(t)]))
+        return out
+
+    def words(self, words: list[str]) -> bytes:
+        found = list(map(self.known.get, words))
+        new = [i for i, x in enumerate(found) if x is None]
+        if new:
+            self.learn(list({words[i] for i in new}))
+            for i in new:
+                found[i] = self.known[words[i]]
+            for w in [words[i] for i in new if len(words[i]) > CACHE_CHARS]:
+                self.known.pop(w, None)
+        return b"".join(found)
+
+
+def pieces(text: str) -> list[str]:
+    """Slices of a long text that end at blanks."""
+    out, at = [], 0
+    while len(text) - at > LONG and (to := text.find(" ", at + LONG)) >= 0:
+        out.append(text[at:to])
+        at = to
+    return [*out, text[at:]]
 
 
 @lru_cache(maxsize=4)
@@ -77,7 +140,7 @@ def pack(lengths: list[int], capacity: int) -> list[list[tuple[int, int, int]]]:
     """Cut and pack items of the given lengths into bins: a list of (item, start, length) a bin.
 
     Items are cut at the capacity; the pieces go first-fit decreasing. The emptiest bins are then
-    dissolved into the gaps of the others, cut where they must be, so all bins but one end full.
+    dissolved into the gaps of the others, cut where they must be, so the gaps left are less than one bin in all.
     """
     bins = [[(i, s, capacity)] for i, n in enumerate(lengths) for s in range(0, n - capacity + 1, capacity)]
     rest = sorted(((n % capacity, i) for i, n in enumerate(lengths) if n % capacity), key=lambda x: (-x[0], x[1]))
