@@ -32,7 +32,7 @@ GRAM = 24
 REACH = SPAN - GRAM + 1
 WIDTH = SPAN + REACH - 1
 SLICE = 1 << 17
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 6 << 20
 U = np.uint64
 #: Masks that keep the first 0 to 8 symbols of a big-endian word.
 SHIFT = np.array([0, *((1 << 64) - (1 << 8 * (8 - k)) for k in range(1, 9))], np.uint64)
@@ -187,9 +187,8 @@ def sort_words(big: np.ndarray, at: np.ndarray, rest: np.ndarray) -> np.ndarray:
         words = word(j, x)
         odd = words != words[head]
         for k in range(j + 1, 7):
-            more = np.flatnonzero(~odd & (head != np.arange(len(x))))
-            y = word(k, x[more])
-            odd[more] = y != word(k, x[head[more]])
+            y = word(k, x)
+            odd |= y != y[head]
         open_ = np.repeat(np.logical_or.reduceat(odd, start), size)
         places, group, words = places[open_], group[open_], words[open_]
         by = np.lexsort((words, group))
@@ -259,7 +258,11 @@ def common_prefixes(big: np.ndarray, sa: np.ndarray) -> np.ndarray:
     lcp = np.zeros(len(sa), np.int64)
     alive = np.arange(1, len(sa))
     for j in range(0, SPAN, 8):
-        x = big[sa[alive] + j] ^ big[sa[alive - 1] + j]
+        if 2 * len(alive) > len(sa):
+            x = big[sa + j]
+            x = x[alive] ^ x[alive - 1]
+        else:
+            x = big[sa[alive] + j] ^ big[sa[alive - 1] + j]
         zero = x == 0
         lead = np.full(len(x), 8)
         some = x[~zero]
@@ -299,6 +302,16 @@ def repeated(cut: np.ndarray, least: np.ndarray) -> np.ndarray:
     return np.bincount(who[early], weights=np.exp2(offset[early]), minlength=len(cut)).astype(np.uint64)
 
 
+def repeated_in_all(cut: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """:func:`repeated` where contexts may be equal: equal ones are sorted as one with the least doc, and the others of them
+    repeat it in all their windows."""
+    pick, number = distinct(cut)
+    floor = np.full(len(pick), np.iinfo(np.int64).max)
+    np.minimum.at(floor, number, least)
+    every = (U(1) << cut[:, WIDTH].astype(np.uint64)) - U(1)
+    return np.where(least > floor[number], every, repeated(cut[pick], floor)[number])
+
+
 def drop_repeats(docs: DataFrame, group_bytes: int = GROUP_BYTES, with_kept: bool = True) -> DataFrame:
     """``docs(doc_id, text, ...)`` -> ``(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept)``, a row a row.
 
@@ -309,7 +322,7 @@ def drop_repeats(docs: DataFrame, group_bytes: int = GROUP_BYTES, with_kept: boo
     slim = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"))
     total = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = max(-(-total // group_bytes), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    buckets = groups
+    buckets = 2 * groups
     dealt = slim.withColumn("g", F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)))
 
     def offer(key, t):
@@ -354,7 +367,7 @@ def drop_repeats(docs: DataFrame, group_bytes: int = GROUP_BYTES, with_kept: boo
     def answer(key, t):
         cut = [np.frombuffer(x, np.uint8).reshape(-1, WIDTH + 1) for x in t.column("cut").to_pylist()]
         least = np.concatenate([np.frombuffer(x, "<i8") for x in t.column("least").to_pylist()])
-        bits = repeated(np.concatenate(cut), least)
+        bits = repeated_in_all(np.concatenate(cut), least)
         rows, at = [], 0
         for g, c, x in zip(t.column("g").to_pylist(), cut, t.column("number").to_pylist(), strict=True):
             own = bits[at : at + len(c)]
