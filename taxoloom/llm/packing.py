@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -58,7 +59,7 @@ class Encoder:
         """Ids of a run of lower-case letters."""
         if not run.isascii():
             run = "".join(map(self.letter.__getitem__, run.encode()))
-        return np.array([t.id for t in self.merge(run)], self.kind).tobytes()
+        return array(self.kind.char, [t.id for t in self.merge(run)]).tobytes()
 
     def learn(self, words: list[str]) -> None:
         if len(self.known) > CACHE_WORDS:
@@ -86,7 +87,7 @@ class Encoder:
             if any(s in t for s in self.special):
                 out.append(np.frombuffer(self.raw([t])[0], self.kind))
             else:
-                out.append(np.concatenate([np.frombuffer(self.words(x.replace("\n", " ").replace("\t", " ").split(" ")), self.kind) for x in pieces(t)]))
+                out.append(np.concatenate([np.frombuffer(self.words(parted(x).split(" ")), self.kind) for x in pieces(t)]))
         return out
 
     def words(self, words: list[str]) -> bytes:
@@ -101,6 +102,28 @@ class Encoder:
         return b"".join(found)
 
 
+def kinds() -> bytes:
+    """Latin-1 characters as ``a`` (letters, digits), a space (blanks), ``.`` (stops and commas) or ``!`` (all others)."""
+    kind = lambda c: "." if c in ".," else " " if c in " \n\t" else "a" if c.isascii() and c.isalnum() or c >= "\u00c0" and c.isalpha() else "!"
+    return "".join(kind(chr(i)) for i in range(256)).encode()
+
+
+KINDS = kinds()
+
+
+def parted(text: str) -> str:
+    """The text with spaces for other blanks. Latin-1 texts come in lower case, with stops and commas at words' ends as words
+    of their own, unless such a mark follows another one, with which it may share a token. That changes no id."""
+    text = text.replace("\n", " ").replace("\t", " ")
+    try:
+        shape = text.encode("latin-1").translate(KINDS)
+    except UnicodeEncodeError:
+        return text
+    if b"!. " in shape or b".. " in shape:
+        return text
+    return text.lower().replace(", ", " , ").replace(". ", " . ")
+
+
 def pieces(text: str) -> list[str]:
     """Slices of a long text that end at blanks."""
     out, at = [], 0
