@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from taxoloom.functions import text as tx
 from taxoloom.operators.ranking import keep_first
 
-# Labels with their properties, and edges with theirs (the last word of a node's list is what keys it first).
+# Labels with their properties (the key first), and edges with their ends and properties.
 NODES = {
     "ChuongTrinhDaoTao": ("ma_ctdt", "ten_ctdt", "bac_dao_tao", "phien_ban"),
     "NhomHocPhan": ("group_id", "ten_nhom", "loai_nhom", "so_tin_chi_yeu_cau"),

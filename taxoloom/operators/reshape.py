@@ -71,6 +71,12 @@ def entities(records: DataFrame) -> DataFrame:
     return rows.where("e.n > 0").select(F.concat_ws(":", "code", "e.entity_type").alias("entity_id"), "e.entity_type", "code", "source_file", "source_hash", "e.data", "e.n")
 
 
+def id_summary(df: DataFrame, by: list[str], key: str) -> DataFrame:
+    """Per group: how many rows and distinct keys, and whether each key occurs once."""
+    each = df.groupBy(*by, key).agg(F.count("*").alias("n"))
+    return each.groupBy(*by).agg(F.sum("n").alias("n_rows"), F.count("*").alias("n_keys"), F.bool_and(F.col("n") == 1).alias("is_unique"))
+
+
 def replace_source(existing: DataFrame, rebuilt: DataFrame, source: str = "source_file") -> DataFrame:
     """Rows of the sources that were rebuilt give way to the new ones."""
     return existing.join(rebuilt.select(source).distinct(), source, "left_anti").unionByName(rebuilt.select(*existing.columns))

@@ -30,24 +30,24 @@ def corpus_stats(lengths: DataFrame) -> DataFrame:
 
 def idf(post: DataFrame, stats: DataFrame, epsilon: float = 0.25) -> DataFrame:
     """``(term, df, idf)``; negative values become ``epsilon`` times the mean of the raw ones."""
-    df = post.groupBy("term").agg(F.count("*").alias("df"))
-    raw = df.crossJoin(F.broadcast(stats.select("n_docs"))).withColumn("raw", F.log((F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5)))
-    mean = raw.agg(F.avg("raw").alias("mean"))
-    return raw.crossJoin(F.broadcast(mean)).select("term", "df", F.when(F.col("raw") < 0, epsilon * F.col("mean")).otherwise(F.col("raw")).alias("idf"))
+    n = stats.select("n_docs").scalar()
+    raw = post.groupBy("term").agg(F.count("*").alias("df")).withColumn("raw", F.log((n - F.col("df") + 0.5) / (F.col("df") + 0.5)))
+    mean = raw.agg(F.avg("raw")).scalar()
+    return raw.select("term", "df", F.when(F.col("raw") < 0, epsilon * mean).otherwise(F.col("raw")).alias("idf"))
 
 
 def bm25(queries: DataFrame, post: DataFrame, k1: float = 1.5, b: float = 0.75, epsilon: float = 0.25) -> DataFrame:
     """``queries(query, text)`` against an index -> ``(query, doc, score)`` for pairs that share a term.
 
     Only postings of the queries' terms are scored (an equi join). Repeated query tokens count again.
-    The one-row statistics are broadcast; nothing that grows with the corpus is.
+    The one-row statistics are scalar subqueries; nothing that grows with the corpus is broadcast.
     """
     lengths = doc_lengths(post)
     stats = corpus_stats(lengths)
     asked = queries.select("query", F.explode(tx.tokenize("text")).alias("term")).groupBy("query", "term").agg(F.count("*").alias("qtf"))
-    weight = F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
+    weight = F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / stats.select("avgdl").scalar()))
     scored = post.join(asked.select("term").distinct(), "term", "left_semi").join(idf(post, stats, epsilon), "term").join(lengths, "doc")
-    scored = scored.crossJoin(F.broadcast(stats.select("avgdl"))).select("doc", "term", weight.alias("w"))
+    scored = scored.select("doc", "term", weight.alias("w"))
     return asked.join(scored, "term").groupBy("query", "doc").agg(F.sum(F.col("qtf") * F.col("w")).alias("score"))
 
 

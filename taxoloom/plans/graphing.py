@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from taxoloom import config
 from taxoloom.functions import text as tx
 from taxoloom.operators import evidence, graph, incremental, ranking, records, reshape, taxonomy
 from taxoloom.plans.registry import query
@@ -215,6 +214,16 @@ def html_label_table(t):
     return t.pages.select("page_id", readers.course_metadata(F.col("html"), F.lit("page")).alias("m")).select("page_id", "m.title", "m.code")
 
 
+@query("SELECT page_id, lower(regexp_extract(url, '([^/]+)/[^/]*$', 1)) AS stream FROM pages")
+def source_stream(t):
+    return t.pages.select("page_id", readers.stream_label(F.col("url")).alias("stream"))
+
+
+@query("SELECT p_brand, count(*) AS n_rows, count(DISTINCT p_type) AS n_keys, count(*) = count(DISTINCT p_type) AS is_unique FROM part GROUP BY p_brand")
+def id_summary(t):
+    return reshape.id_summary(t.part, ["p_brand"], "p_type")
+
+
 # --- graph ---
 @query("""SELECT 'region' AS label, r_regionkey::VARCHAR AS node_key, r_name AS name FROM region UNION ALL SELECT 'nation', n_nationkey::VARCHAR, n_name FROM nation UNION ALL SELECT 'customer', c_custkey::VARCHAR, c_name FROM customer UNION ALL SELECT 'part', p_brand, min(p_brand) FROM part GROUP BY p_brand""")
 def graph_nodes(t):

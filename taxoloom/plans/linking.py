@@ -194,7 +194,7 @@ def bm25_alt_labels(t):
     text = F.when(F.col("p_partkey") % 10 == 0, "").otherwise(F.concat_ws(" ", "p_name", "p_brand", "p_type"))
     p = retrieval.postings(t.part, "p_partkey", text)
     stats = retrieval.corpus_stats(retrieval.doc_lengths(p))
-    return retrieval.idf(p, stats).crossJoin(F.broadcast(stats)).select("term", "df", F.round("idf", 6).alias("idf"), "n_docs")
+    return retrieval.idf(p, stats).select("term", "df", F.round("idf", 6).alias("idf"), stats.select("n_docs").scalar().alias("n_docs"))
 
 
 DENSE = """dots AS (SELECT q.vec_id AS query, d.vec_id AS doc, round(list_sum(list_transform(list_zip(q.embedding, d.embedding), lambda x: x[1]::DOUBLE * x[2]::DOUBLE)), 6) AS score FROM embeddings q, embeddings d WHERE q.vec_id < 20),

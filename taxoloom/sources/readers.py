@@ -198,6 +198,11 @@ def course_metadata(html: Column, path: Column) -> Column:
     return F.struct(title.alias("title"), F.upper(F.coalesce(F.nullif(code, F.lit("")), F.nullif(stem, F.lit("")))).alias("code"))
 
 
+def stream_label(path: Column) -> Column:
+    """The stream of a source file: the name of its folder, in lower case."""
+    return F.lower(F.regexp_extract(path, r"([^/]+)/[^/]*$", 1))
+
+
 def metadata(spark: SparkSession, path: str) -> DataFrame:
     """Taxonomy metadata from JSON, a list of records or an object keyed by uri."""
     files = whole_files(spark, path, "*.json")
