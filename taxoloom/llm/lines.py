@@ -66,7 +66,7 @@ def near_lines(rows: DataFrame, first: DataFrame, docs: DataFrame, fuzzy_words:
     per_doc = per_doc.select(F.col("doc_id").alias("_doc"), F.col("th").alias("_th"), "spots")
     found = docs.join(per_doc, same_doc()).dropDuplicates(["_doc", "_th"])
     took = F.transform("spots", lambda s: F.struct(s.alias("s"), F.split(F.get("words", s["line_no"]), " ").alias("w")))
-    found = found.withColumn("words", plain_lines(F.col("text"))).select("_doc", F.explode(took).alias("x"))
+    found = found.select("_doc", "spots", once(plain_lines(F.col("text"))).alias("words")).select("_doc", F.explode(took).alias("x"))
     lines = found.select(F.col("x.s.h").alias("h"), F.struct(F.col("_doc").isNull().alias("nil"), F.col("_doc").alias("doc"), F.col("x.s.line_no").alias("line"), F.col("x.s.h").alias("h")).alias("at"), F.col("x.s.head").alias("head"), F.col("x.s.tail").alias("tail"), F.col("x.w").alias("w"))
     lines = materialize(lines, "lines")
     grown = chains(lines)
@@ -80,15 +80,21 @@ def near_lines(rows: DataFrame, first: DataFrame, docs: DataFrame, fuzzy_words:
     return pairs.join(a, "h").join(b, "other").where(within_one_edit(F.col("x"), F.col("y"))).select("h").distinct()
 
 
+def once(c: Column) -> Column:
+    """A generator of one row: ``c`` is computed once, and not again for each element of a lambda that uses it."""
+    return F.explode(F.array(c))
+
+
 def same_doc() -> Column:
     return F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (F.col("_t") == F.col("_th"))
 
 
 def chains(lines: DataFrame) -> DataFrame:
-    """Adds hashes of all beginnings (``p``: of the first i words) and ends (``q``: of all but the first i), each made from the one before."""
+    """Hashes of all beginnings (``p``: of the first i words) and ends (``q``: of all but the first i), each made from the one before."""
     zero = F.array(F.lit(0).cast("long"))
     grow = lambda w: F.aggregate(w, zero, lambda a, x: F.array_append(a, F.xxhash64(F.element_at(a, -1), x)))
-    return lines.withColumn("p", grow(F.col("w"))).withColumn("q", F.reverse(grow(F.reverse("w")))).withColumn("n", F.size("w"))
+    both = F.struct(grow(F.col("w")).alias("p"), F.reverse(grow(F.reverse("w"))).alias("q"), F.size("w").alias("n"))
+    return lines.select("at", "head", "tail", once(both).alias("c")).select("at", "head", "tail", "c.*")
 
 
 def variants() -> Column:
@@ -136,9 +142,9 @@ def dedup_lines(docs: DataFrame, min_words: int = 3, fuzzy_words: int = 8) -> Da
     )
     joined = keep.select("doc_id", "_t", "_own").join(gone, same_doc(), "left")
     text = F.col("_own.text")
-    lines = F.split(text, "\n")
-    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
-    new = F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
+    joined = joined.select("_own", "gone", once(F.when(F.col("gone").isNotNull(), F.split(text, "\n"))).alias("lines"))
+    left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
+    new = F.array_join(F.transform(left, lambda i: F.get("lines", i)), "\n")
     breaks = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit("")))
     return joined.select(
         *(F.when(F.col("gone").isNull(), text).otherwise(new).alias(c) if c == "text" else F.col("_own")[c].alias(c) for c in columns),
