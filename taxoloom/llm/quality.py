@@ -30,11 +30,15 @@ def measure(docs: DataFrame) -> DataFrame:
     text = F.col("_text")
     base = base.withColumn("_words", words_of(text)).withColumn("_lines", F.filter(F.split(text, "\n"), lambda s: s.rlike(r"[^\x20\x09-\x0D]")))
     n = F.size("_words")
-    windows = F.when(n >= 3, F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.struct(F.xxhash64(F.get("_words", i), F.get("_words", i + 1), F.get("_words", i + 2)).alias("h"), i.alias("i"))))
-    base = base.withColumn("_sorted", F.array_sort(F.coalesce(windows, F.array().cast("array<struct<h:bigint,i:int>>"))))
+    windows = F.when(n >= 3, F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.xxhash64(F.get("_words", i), F.get("_words", i + 1), F.get("_words", i + 2))))
+    base = base.withColumn("_windows", windows)
+    # Most texts repeat no window; only the others are sorted.
+    repeats = F.size(F.array_distinct("_windows")) < F.size("_windows")
+    placed = F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+    base = base.withColumn("_sorted", F.when(repeats, F.sort_array(placed)).otherwise(F.array().cast("array<struct<h:bigint,i:int>>")))
     s = F.col("_sorted")
     twice = F.filter(s, lambda x, k: (F.get(s, k - 1)["h"] == x["h"]) | (F.get(s, k + 1)["h"] == x["h"]))
-    base = base.withColumn("_twice", F.array_sort(F.transform(twice, lambda x: x["i"])))
+    base = base.withColumn("_twice", F.sort_array(F.transform(twice, lambda x: x["i"])))
     t = F.col("_twice")
     covered = F.aggregate(F.transform(t, lambda i, k: F.least(F.lit(3), F.coalesce(F.get(t, k + 1) - i, F.lit(3)))), F.lit(0), lambda a, x: a + x)
     # A generator keeps filters on the measurements from being moved below it, where they would repeat all of this.
