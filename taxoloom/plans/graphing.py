@@ -134,7 +134,7 @@ def resolved_of(t):
     return reshape.resolve(t.orders.select("o_orderkey", F.col("o_custkey").alias("k")), first, second, "k", "name")
 
 
-@query(f"WITH {RESOLVE} SELECT k % 10 AS bucket, count_if(status = 'resolved') AS n_resolved, count_if(status = 'fallback') AS n_fallback, count_if(status = 'unresolved') AS n_unresolved, count(*) AS n_all FROM r GROUP BY ALL")
+@query(f"WITH {RESOLVE} SELECT k % 10 AS bucket, count_if(status = 'resolved')::BIGINT AS n_resolved, count_if(status = 'fallback')::BIGINT AS n_fallback, count_if(status = 'unresolved')::BIGINT AS n_unresolved, count(*) AS n_all FROM r GROUP BY ALL")
 def resolve_fallback(t):
     return reshape.resolution_summary(resolved_of(t).withColumn("bucket", F.col("k") % 10), ["bucket"])
 
@@ -317,7 +317,7 @@ def taxonomy_roles(t):
     return out.select("conceptUri", "code", "role", F.col("matched_in_esco").alias("matched"))
 
 
-@query(f"WITH {TAX} SELECT occ AS occupation, count_if(kind = 'essential') AS essential, count_if(kind = 'optional') AS optional, count(*) AS total FROM rel GROUP BY occ")
+@query(f"WITH {TAX} SELECT occ AS occupation, count_if(kind = 'essential')::BIGINT AS essential, count_if(kind = 'optional')::BIGINT AS optional, count(*) AS total FROM rel GROUP BY occ")
 def relation_pivot(t):
     return taxonomy.relation_pivot(taxonomy_of(t)[1].withColumnRenamed("occupationUri", "occupation"), ["occupation"])
 
@@ -344,7 +344,7 @@ def skill_domains(t):
     return taxonomy.label_domains(rel, occ).select(F.col("skillUri").alias("skill"), "domain", F.array_join("codes", ",").alias("codes"))
 
 
-@query(f"""WITH {TAX}, r AS (SELECT skill, kind FROM rel WHERE occ IN (SELECT uri FROM occ WHERE code IN ('1', '2'))) SELECT skill, count_if(kind = 'essential') AS essential, count_if(kind = 'optional') AS optional, count(*) AS total, any_value(p_name) AS label FROM r JOIN part ON p_partkey::VARCHAR = skill GROUP BY skill""")
+@query(f"""WITH {TAX}, r AS (SELECT skill, kind FROM rel WHERE occ IN (SELECT uri FROM occ WHERE code IN ('1', '2'))) SELECT skill, count_if(kind = 'essential')::BIGINT AS essential, count_if(kind = 'optional')::BIGINT AS optional, count(*) AS total, any_value(p_name) AS label FROM r JOIN part ON p_partkey::VARCHAR = skill GROUP BY skill""")
 def taxonomy_subset(t):
     codes = t.nation.where("n_nationkey in (1, 2)").select(F.col("n_nationkey").cast("string").alias("code"))
     _, rel, skills = taxonomy.subset(codes, *taxonomy_of(t))
@@ -381,7 +381,7 @@ def cache_misses(t):
 
 
 # --- counts, order, sample ---
-@query("SELECT o_orderpriority AS course_code, count_if(l_returnflag = 'R') AS n_teaches, count_if(l_returnflag = 'A') AS n_supports, count(*) AS n_all FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL")
+@query("SELECT o_orderpriority AS course_code, count_if(l_returnflag = 'R')::BIGINT AS n_teaches, count_if(l_returnflag = 'A')::BIGINT AS n_supports, count(*) AS n_all FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL")
 def relation_counts(t):
     j = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
     return j.groupBy(F.col("o_orderpriority").alias("course_code")).agg(F.count_if(F.col("l_returnflag") == "R").alias("n_teaches"), F.count_if(F.col("l_returnflag") == "A").alias("n_supports"), F.count("*").alias("n_all"))
@@ -397,7 +397,7 @@ def seeded_sample(t):
     return ranking.sample_rows(t.part.select("p_partkey", "p_name"), 5, "p_partkey")
 
 
-@query("""SELECT o_orderpriority AS course_code, count(*) AS n_records, count_if(NOT contains(lower(p_type), 'standard')) AS n_skill, count_if(contains(lower(p_type), 'standard')) AS n_knowledge FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey GROUP BY ALL""")
+@query("""SELECT o_orderpriority AS course_code, count(*) AS n_records, count(*) FILTER (NOT contains(lower(p_type), 'standard')) AS n_skill, count(*) FILTER (contains(lower(p_type), 'standard')) AS n_knowledge FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey GROUP BY ALL""")
 def record_summary(t):
     j = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).join(t.part, F.col("l_partkey") == F.col("p_partkey"))
     return records.summary(j.select(F.col("o_orderpriority").alias("course_code"), F.when(tx.contains_any("p_type", ("standard",)), "knowledge").otherwise("skill").alias("concept_type")), ["course_code"])

@@ -366,7 +366,7 @@ def route_tiers(t):
     return routing.route(candidates_of(t)).select("course_code", "uri", "tier", "decision", "reject_reason", F.round("priority", 6).alias("priority"), "cap_rank")
 
 
-@query(f"WITH {ROUTE} SELECT course_code, concept_type, count_if(tier = 'PRIMARY') AS n_primary, count_if(tier = 'SECONDARY') AS n_secondary, count_if(tier = 'OPTIONAL') AS n_optional, count_if(decision = 'ACCEPT') AS n_accept, count(*) AS n_all FROM final GROUP BY ALL")
+@query(f"WITH {ROUTE} SELECT course_code, concept_type, count_if(tier = 'PRIMARY')::BIGINT AS n_primary, count_if(tier = 'SECONDARY')::BIGINT AS n_secondary, count_if(tier = 'OPTIONAL')::BIGINT AS n_optional, count_if(decision = 'ACCEPT')::BIGINT AS n_accept, count(*) AS n_all FROM final GROUP BY ALL")
 def tier_summary(t):
     return routing.tier_summary(routing.route(candidates_of(t)), ["course_code", "concept_type"])
 

@@ -10,7 +10,7 @@ from taxoloom.operators import ranking
 from taxoloom.plans.registry import query
 
 #: Lines of documents, numbered from 0.
-LINES = "lines AS (SELECT doc_id, i - 1 AS line_no, ls[i] AS line FROM (SELECT doc_id, ls, unnest(generate_series(1, len(ls))) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents)))"
+LINES = "lines AS (SELECT doc_id, (i - 1)::INT AS line_no, ls[i] AS line FROM (SELECT doc_id, ls, unnest(generate_series(1, len(ls))) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents)))"
 
 
 def lines_of(t):
