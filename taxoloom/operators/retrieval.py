@@ -15,17 +15,14 @@ from taxoloom.operators.ranking import max_by_key, rank, top_k
 
 
 def postings(docs: DataFrame, doc: str, text: Column) -> DataFrame:
-    """``(doc, term, tf)``."""
-    return docs.select(F.col(doc).alias("doc"), F.explode(tx.tokenize(text)).alias("term")).groupBy("doc", "term").agg(F.count("*").alias("tf"))
+    """``(doc, dl, term, tf)``; each posting carries its document's length, so that scoring needs no join for it."""
+    rows = docs.select(F.col(doc).alias("doc"), tx.tokenize(text).alias("tokens"))
+    return rows.select("doc", F.size("tokens").alias("dl"), F.explode("tokens").alias("term")).groupBy("doc", "dl", "term").agg(F.count("*").alias("tf"))
 
 
-def doc_lengths(post: DataFrame) -> DataFrame:
-    return post.groupBy("doc").agg(F.sum("tf").alias("dl"))
-
-
-def corpus_stats(lengths: DataFrame) -> DataFrame:
-    """One row: number of documents that have a term, and their mean length."""
-    return lengths.agg(F.count("*").alias("n_docs"), F.avg("dl").alias("avgdl"))
+def corpus_stats(docs: DataFrame, text: Column) -> DataFrame:
+    """One row: number of documents that have a term, and their mean length. No shuffle but that of partial sums."""
+    return docs.select(F.size(tx.tokenize(text)).alias("dl")).where("dl > 0").agg(F.count("*").alias("n_docs"), F.avg("dl").alias("avgdl"))
 
 
 def idf(post: DataFrame, stats: DataFrame, epsilon: float = 0.25) -> DataFrame:
@@ -36,24 +33,22 @@ def idf(post: DataFrame, stats: DataFrame, epsilon: float = 0.25) -> DataFrame:
     return raw.select("term", "df", F.when(F.col("raw") < 0, epsilon * mean).otherwise(F.col("raw")).alias("idf"))
 
 
-def bm25(queries: DataFrame, post: DataFrame, k1: float = 1.5, b: float = 0.75, epsilon: float = 0.25) -> DataFrame:
+def bm25(queries: DataFrame, post: DataFrame, stats: DataFrame, k1: float = 1.5, b: float = 0.75, epsilon: float = 0.25) -> DataFrame:
     """``queries(query, text)`` against an index -> ``(query, doc, score)`` for pairs that share a term.
 
     Only postings of the queries' terms are scored (an equi join). Repeated query tokens count again.
     The one-row statistics are scalar subqueries; nothing that grows with the corpus is broadcast.
     """
-    lengths = doc_lengths(post)
-    stats = corpus_stats(lengths)
     asked = queries.select("query", F.explode(tx.tokenize("text")).alias("term")).groupBy("query", "term").agg(F.count("*").alias("qtf"))
     weight = F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / stats.select("avgdl").scalar()))
-    scored = post.join(asked.select("term").distinct(), "term", "left_semi").join(idf(post, stats, epsilon), "term").join(lengths, "doc")
+    scored = post.join(asked.select("term").distinct(), "term", "left_semi").join(idf(post, stats, epsilon), "term")
     scored = scored.select("doc", "term", weight.alias("w"))
     return asked.join(scored, "term").groupBy("query", "doc").agg(F.sum(F.col("qtf") * F.col("w")).alias("score"))
 
 
-def bm25_top(queries: DataFrame, post: DataFrame, k: int) -> DataFrame:
+def bm25_top(queries: DataFrame, post: DataFrame, stats: DataFrame, k: int) -> DataFrame:
     """The first ``k`` documents of each query; non-positive scores go after the cut."""
-    scored = bm25(queries, post).withColumn("score", F.round("score", 6))
+    scored = bm25(queries, post, stats).withColumn("score", F.round("score", 6))
     return top_k(scored, ["query"], [F.col("score").desc(), F.col("doc")], k).where("score > 0")
 
 
@@ -159,9 +154,9 @@ def mention_map(df: DataFrame, by: list[str]) -> DataFrame:
     return lists.groupBy(*by).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("evidence_id", "mentions")))).alias("evidence_mentions"))
 
 
-def hybrid(queries: DataFrame, post: DataFrame, vectors: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
+def hybrid(queries: DataFrame, post: DataFrame, stats: DataFrame, vectors: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
     """Both channels' hits in one table ``(query, channel, uri, score, rank)``."""
-    a = bm25_top(queries, post, k).select("query", F.lit("bm25").alias("channel"), F.col("doc").alias("uri"), "score", "rank")
+    a = bm25_top(queries, post, stats, k).select("query", F.lit("bm25").alias("channel"), F.col("doc").alias("uri"), "score", "rank")
     b = dense_top(vectors, corpus, k).select("query", F.lit("dense").alias("channel"), F.col("doc").alias("uri"), "score", "rank")
     return a.unionByName(b)
 

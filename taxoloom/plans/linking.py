@@ -166,24 +166,27 @@ def post_of(t):
     return retrieval.postings(t.documents, "doc_id", F.col("text"))
 
 
+def stats_of(t):
+    return retrieval.corpus_stats(t.documents, F.col("text"))
+
+
 def asked(t):
     return t.benchmark.select(F.col("item_id").alias("query"), "text")
 
 
 @query(f"WITH {POST} SELECT doc, term, tf FROM post")
 def bm25_postings(t):
-    return post_of(t)
+    return post_of(t).drop("dl")
 
 
 @query(f"WITH {POST}, {STAT} SELECT term, df, round(idf, 6) AS idf FROM idf")
 def bm25_idf(t):
-    p = post_of(t)
-    return retrieval.idf(p, retrieval.corpus_stats(retrieval.doc_lengths(p))).select("term", "df", F.round("idf", 6).alias("idf"))
+    return retrieval.idf(post_of(t), stats_of(t)).select("term", "df", F.round("idf", 6).alias("idf"))
 
 
 @query(f"WITH {POST}, {STAT}, {BM25} SELECT query, doc, score, rank::INT AS rank FROM lex")
 def bm25_topk(t):
-    return retrieval.bm25_top(asked(t), post_of(t), 10)
+    return retrieval.bm25_top(asked(t), post_of(t), stats_of(t), 10)
 
 
 ALT = r"""tok AS (SELECT p_partkey AS doc, unnest(regexp_split_to_array(lower(CASE WHEN p_partkey % 10 = 0 THEN '' ELSE p_name || ' ' || p_brand || ' ' || p_type END), '\s+')) AS term FROM part), post AS (SELECT doc, term, count(*) AS tf FROM tok WHERE term <> '' GROUP BY ALL)"""
@@ -193,7 +196,7 @@ ALT = r"""tok AS (SELECT p_partkey AS doc, unnest(regexp_split_to_array(lower(CA
 def bm25_alt_labels(t):
     text = F.when(F.col("p_partkey") % 10 == 0, "").otherwise(F.concat_ws(" ", "p_name", "p_brand", "p_type"))
     p = retrieval.postings(t.part, "p_partkey", text)
-    stats = retrieval.corpus_stats(retrieval.doc_lengths(p))
+    stats = retrieval.corpus_stats(t.part, text)
     return retrieval.idf(p, stats).select("term", "df", F.round("idf", 6).alias("idf"), stats.select("n_docs").scalar().alias("n_docs"))
 
 
@@ -225,7 +228,7 @@ BOTH = f"{POST}, {STAT}, {BM25}, {DENSE}, hits AS (SELECT query, 'bm25' AS chann
 def hits_of(t):
     corpus = t.embeddings.select(F.col("vec_id").alias("doc"), F.col("embedding").alias("vector"))
     vectors = t.embeddings.where("vec_id < 20").select(F.col("vec_id").alias("query"), F.col("embedding").alias("vector"))
-    return retrieval.hybrid(asked(t), post_of(t), vectors, corpus, 10)
+    return retrieval.hybrid(asked(t), post_of(t), stats_of(t), vectors, corpus, 10)
 
 
 @query(f"WITH {BOTH} SELECT query, channel, uri, score, rank::INT AS rank FROM hits")
@@ -441,7 +444,7 @@ def concept_edges(t):
 c AS (SELECT (SELECT count(*) FROM hit) AS tp, (SELECT count(*) FROM lex) AS n_pred, (SELECT count(*) FROM gold) AS n_gold), f AS (SELECT query, min(rank) AS r FROM hit GROUP BY query)
 SELECT tp, n_pred, n_gold, round(tp / n_pred, 6) AS precision, round(tp / n_gold, 6) AS recall, round(2 * tp / (n_pred + n_gold), 6) AS f1, round((SELECT avg(coalesce(1 / r, 0)) FROM (SELECT DISTINCT query FROM gold) LEFT JOIN f USING (query)), 6) AS mrr FROM c""")
 def eval_metrics(t):
-    found = retrieval.bm25_top(asked(t), post_of(t), 10)
+    found = retrieval.bm25_top(asked(t), post_of(t), stats_of(t), 10)
     # The benchmark has a fixed number of short items; they are matched against all documents.
     gold = t.documents.join(t.benchmark.select("item_id", F.col("text").alias("needle")).hint("broadcast"), F.col("text").contains(F.col("needle"))).select(F.col("item_id").alias("query"), F.col("doc_id").alias("doc"))
     out = records.evaluate(found, gold, "query", "doc")

@@ -19,6 +19,13 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    @property
+    def documents(self) -> DataFrame:
+        """Long texts in fewer parts than there are cores are dealt out first: a row group is the least a scan can split."""
+        df = self.spark.read.parquet(f"{self.sf_dir}/documents.parquet")
+        cores = self.spark.sparkContext.defaultParallelism
+        return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
 
 def query(sql: str | None = None):
     """Register ``f(tables) -> DataFrame`` under its name."""

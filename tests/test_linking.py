@@ -11,22 +11,22 @@ from taxoloom.operators import evidence, ranking, records, retrieval, routing
 
 def test_bm25_formula(spark):
     docs = spark.createDataFrame([(1, "cat dog"), (2, "cat cat fish fish"), (3, "bird sky sea"), (4, ""), (5, "sun moon")], "d long, t string")
-    post = retrieval.postings(docs, "d", F.col("t"))
-    got = {(r.query, r.doc): r.score for r in retrieval.bm25(spark.createDataFrame([(9, "Cat cat fish")], "query long, text string"), post).collect()}
+    post, stats = retrieval.postings(docs, "d", F.col("t")), retrieval.corpus_stats(docs, F.col("t"))
+    got = {(r.query, r.doc): r.score for r in retrieval.bm25(spark.createDataFrame([(9, "Cat cat fish")], "query long, text string"), post, stats).collect()}
     n, avg = 4, (2 + 4 + 3 + 2) / 4
     idf = lambda df: math.log((n - df + 0.5) / (df + 0.5))
     w = lambda i, tf, dl: i * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * dl / avg))
     cat = idf(2) if idf(2) >= 0 else None
     assert cat == 0 and got[9, 2] == pytest.approx(2 * w(cat, 2, 4) + w(idf(1), 2, 4))
     assert got[9, 1] == pytest.approx(0)
-    top = retrieval.bm25_top(spark.createDataFrame([(9, "cat fish")], "query long, text string"), post, 5).collect()
+    top = retrieval.bm25_top(spark.createDataFrame([(9, "cat fish")], "query long, text string"), post, stats, 5).collect()
     assert [(r.doc, r["rank"]) for r in top] == [(2, 1)]
 
 
 def test_negative_idf_floor(spark):
     docs = spark.createDataFrame([(i, "the x" + str(i)) for i in range(4)], "d long, t string")
     p = retrieval.postings(docs, "d", F.col("t"))
-    got = {r.term: r.idf for r in retrieval.idf(p, retrieval.corpus_stats(retrieval.doc_lengths(p))).collect()}
+    got = {r.term: r.idf for r in retrieval.idf(p, retrieval.corpus_stats(docs, F.col("t"))).collect()}
     raw = [math.log(0.5 / 4.5)] + [math.log(3.5 / 1.5)] * 4
     assert got["the"] == pytest.approx(0.25 * sum(raw) / 5)
 
