@@ -71,7 +71,7 @@ def truncate_tokens(c: Column | str, n: int) -> Column:
 def tokenize(c: Column | str, lower: bool = True) -> Column:
     """White-space tokens, repeats and punctuation kept."""
     text = F.coalesce(col(c), F.lit(""))
-    return F.filter(F.split(F.lower(text) if lower else text, SPACES), lambda t: t != "")
+    return F.array_remove(F.split(F.lower(text) if lower else text, SPACES), "")
 
 
 def split_sentences(c: Column | str, longer_than: int = 10) -> Column:

@@ -17,7 +17,9 @@ from taxoloom.operators.ranking import max_by_key, rank, top_k
 def postings(docs: DataFrame, doc: str, text: Column) -> DataFrame:
     """``(doc, dl, term, tf)``; each posting carries its document's length, so that scoring needs no join for it."""
     rows = docs.select(F.col(doc).alias("doc"), tx.tokenize(text).alias("tokens"))
-    return rows.select("doc", F.size("tokens").alias("dl"), F.explode("tokens").alias("term")).groupBy("doc", "dl", "term").agg(F.count("*").alias("tf"))
+    # An outer explode: for an inner one Spark would filter on the size of the tokens first, and so tokenise twice.
+    terms = rows.select("doc", F.size("tokens").alias("dl"), F.explode_outer("tokens").alias("term")).where("term is not null")
+    return terms.groupBy("doc", "dl", "term").agg(F.count("*").alias("tf"))
 
 
 def corpus_stats(docs: DataFrame, text: Column) -> DataFrame:
