@@ -144,13 +144,19 @@ def canonical(role: str, text: str) -> str:
     return f"<|im_start|>{role}\n{text.replace('<|', '< |')}<|im_end|>"
 
 
-def segments(conversations: DataFrame, turns: int = 64) -> DataFrame:
+def segments(conversations: DataFrame, turns: int = 64, most: int = 1024) -> DataFrame:
     """``(conv_id, segment, turns)``: runs of ``turns`` turn numbers of a conversation, so no group follows the length of one.
 
-    Equal rows count once; turns without a number are dealt by a hash of their text, in the order of their text.
+    Equal rows count once; turns without a number are dealt by a hash of their text, in the order of their text. A run of over
+    ``most`` rows (many rows of one number) is dealt by a hash of the text into runs of its own, numbered below ``-2 ** 16``.
     """
     segment = F.coalesce(F.floor(F.col("turn") / turns), -1 - F.pmod(F.xxhash64("text"), F.lit(1 << 16)))
     rows = conversations.select("conv_id", segment.cast("long").alias("segment"), "turn", "role", "text").distinct()
+    large = rows.groupBy("conv_id", "segment").agg(F.count("*").alias("_n")).where(F.col("_n") > most)
+    large = large.select(F.col("conv_id").alias("_c"), F.col("segment").alias("_s"), F.ceil(F.col("_n") / F.lit(most / 2)).alias("_k"))
+    rows = rows.join(large, F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("segment") == F.col("_s")), "left")
+    own = -(1 << 16) - 1 - F.pmod(F.xxhash64("segment", F.pmod(F.xxhash64("text"), F.col("_k"))), F.lit(1 << 40))
+    rows = rows.withColumn("segment", F.when(F.col("_k").isNull(), F.col("segment")).otherwise(own))
     return rows.groupBy("conv_id", "segment").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
 
 

@@ -101,6 +101,13 @@ def test_chat_held_out(spark):
     assert chat.parse_transcripts(chat.transcripts(chat.segments(test.limit(0))), model).count() == 0
 
 
+def test_segments_are_bounded(spark):
+    rows = [(1, 0, "user", f"t{i}") for i in range(100)] + [(1, 70, "user", "x"), (None, 0, "user", "y"), (2, None, "user", "z")]
+    got = chat.segments(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), most=20).collect()
+    assert max(len(r.turns) for r in got) <= 30 and sum(len(r.turns) for r in got) == len(rows)
+    assert {(r.conv_id, r.segment) for r in got} >= {(1, 1), (None, 0)} and len({(r.conv_id, r.segment) for r in got}) == len(got)
+
+
 def test_chat_edges():
     model = chat.fit([chat.render_raw(str(i), [("user", "hi there?"), ("assistant", "well\nyes")])[:2] for i in range(60)])
     assert chat.parse(model, None) == chat.parse(model, " \n") == []
