@@ -1,4 +1,4 @@
-"""A training-corpus pipeline: quality rules, line deduplication, SimHash near-duplicates, mixing, packing.
+"""A training-corpus pipeline: quality rules, line deduplication, near-duplicates, mixing, packing.
 
 Each stage takes all that its predecessor kept. All but the last return the columns of ``documents``.
 """
@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from taxoloom.llm import lines, mixing, packing, quality, simhash
+from taxoloom.llm import lines, mixing, packing, quality, shingles
 from taxoloom.llm.common import materialize
 from taxoloom.llm.queries import tokenizer_path
 
@@ -28,8 +28,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays."""
-    return simhash.dedup(docs, ngram=5, radius=3)
+    """One document of each group stays: links are five-word shingle sets with a Jaccard similarity of 0.8 or more."""
+    return shingles.dedup(docs, ngram=5, similarity=0.8)
 
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +50,7 @@ STAGES = [
     ("packing", sequence_packing),
 ]
 
-#: SimHash fingerprints, the search for the exponent and the tokenizer can't be written in SQL; the tests use brute force.
+#: Hashed shingles, the search for the exponent and the tokenizer can't be written in SQL; the tests use brute force.
 ORACLE_SQL = None
 
 
