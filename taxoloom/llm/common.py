@@ -2,12 +2,31 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Of the hashes of shingles.
+SEED = 42
+BLANK = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def pieces(data: bytes, size: int = 4 << 20) -> Iterator[bytes]:
+    """Slices of about ``size`` bytes that end between words."""
+    at = 0
+    while at < len(data):
+        to = at + size
+        if to < len(data) and (m := BLANK.search(data, to)):
+            to = m.start()
+        elif to < len(data):
+            to = len(data)
+        yield data[at:to]
+        at = to
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor sees: ``spark.checkpoint.dir``.
@@ -70,7 +89,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             .distinct()
         )
         new = materialize(new, "edges")
-        mark = tuple(new.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1_000_003), F.sum(F.col("b") % 1_000_033)).first())
+        mark = tuple(new.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1_000_003), F.sum(F.xxhash64("b") % 1_000_033)).first())
         forget(now)
         now = new
         if mark == before:

@@ -1,4 +1,9 @@
-"""Near duplicates by the true similarity of shingle sets: an exact join by prefixes, no sketch decides."""
+"""Sets of word shingles: which texts can be alike, and which are.
+
+Of two sets with a Jaccard similarity of ``s`` or more, either holds at least ``s`` times its own size of hashes that the
+other one holds too. So a text with more hashes of its own than that is settled without a comparison, and for the others a
+hash among their rarest leads to each partner.
+"""
 
 from __future__ import annotations
 
@@ -8,17 +13,20 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from taxoloom.llm.common import connected_components, forget, materialize
-from taxoloom.llm.simhash import SEED, pieces
+from taxoloom.llm.common import SEED, pieces
 
 #: Guards products of the threshold with whole numbers against rounding.
 EPS = 1e-9
-#: Bits of a set's parity map, in words of 64.
-WORDS = 4
-MAP = [f"w{i}" for i in range(WORDS)]
+#: Bytes of text that a group holds on average.
+GROUP_BYTES = 6 << 20
+#: Words of a fingerprint, and what turns a hash into its further words.
+WORDS = 2
+MIX = np.uint64(0x9E3779B97F4A7C15)
+LOW = np.uint64(0xFFFFFFFF)
+HALF = np.uint64(32)
 
 
 def shingles(text: str | None, ngram: int = 5) -> np.ndarray:
@@ -36,108 +44,122 @@ def shingles(text: str | None, ngram: int = 5) -> np.ndarray:
     return np.unique(np.concatenate(parts)) if parts else np.zeros(0, "<u8")
 
 
-def parity(s: np.ndarray) -> np.ndarray:
-    """A bit for each residue: whether the set holds an odd number of its hashes. Two maps differ in no more bits than their sets in hashes."""
-    odd = (np.bincount((s % np.uint64(64 * WORDS)).astype(np.int64), minlength=64 * WORDS) & 1).astype(np.uint8)
-    return np.packbits(odd, bitorder="little").view("<i8")
+def sketch(s: np.ndarray) -> np.ndarray:
+    """The SimHash of a set of hashes, ``WORDS`` words long: the majority of the hashes at each bit, then of the hashes mixed."""
+    out = []
+    for _ in range(WORDS):
+        bits = np.unpackbits(np.ascontiguousarray(s, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        out.append(np.packbits(2 * bits.sum(axis=0, dtype=np.int64) > len(s), bitorder="little").view("<u8")[0])
+        s = (s ^ s >> HALF) * MIX
+        s ^= s >> np.uint64(29)
+    return np.array(out, np.uint64)
 
 
-def marks(docs: DataFrame, ngram: int, similarity: float) -> DataFrame:
-    """``docs(doc_id, text)`` -> ``(doc_id, cls, n, w0.., prefix)``: equal sets share ``cls``; ``prefix`` holds the least hashes.
+def radius(similarity: float, bits: int = 64 * WORDS) -> int:
+    """Bits in which the fingerprints of two sets of that similarity differ: the mean and six deviations.
 
-    Two sets of at least ``similarity`` share a hash of both prefixes: past the prefix, too few are left.
+    The cosine of two sets is at least 2 s / (1 + s). A pair of the least similarity goes unseen once in some 1e8 pairs (1e5, where
+    one has only four shingles, for ties); a more similar pair more seldom.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sets = [shingles(t, ngram) for t in b.column("text").to_pylist()]
-            cls = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64)
-            least = [s[: len(s) - math.ceil(similarity * len(s) - EPS) + 1].view(np.int64) for s in sets]
-            ends = np.cumsum([0, *map(len, least)], dtype=np.int32)
-            prefix = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*least, np.zeros(0, np.int64)])))
-            size = pa.array(np.array([len(s) for s in sets], np.int32))
-            maps = np.array([parity(s) for s in sets], np.int64).reshape(-1, WORDS)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(cls), size, *(pa.array(m) for m in maps.T.copy()), prefix], ["doc_id", "cls", "n", *MAP, "prefix"])
-
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, cls long, n int, " + "".join(f"{w} long, " for w in MAP) + "prefix array<long>")
-
-
-def sets_of(docs: DataFrame, ngram: int) -> DataFrame:
-    """``docs(doc_id, text)`` -> ``(cls, hashes)``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for t in b.column("text").to_pylist():
-                s = shingles(t, ngram)
-                cls = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED)], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(cls), pa.array([s.view(np.int64)], pa.list_(pa.int64()))], ["cls", "hashes"])
-
-    return docs.select(F.col("text").cast("string")).mapInArrow(run, "cls long, hashes array<long>")
-
-
-def met(x: DataFrame, y: DataFrame, similarity: float, also: Column) -> DataFrame:
-    """Prefix entries that share a hash -> ``(a, b, src, dst)``: classes that can be alike, and their least ids.
-
-    Judged by sizes and parity maps; then by how many hashes the prefixes share and how many can follow. A common hash
-    up to the end of the shorter-reaching prefix lies in both, so what is not counted lies past the last that is.
+    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return min(bits - 1, math.ceil(bits * p + 6 * math.sqrt(bits * p * (1 - p))))
+
+
+class Group:
+    """The texts of a group by class (equal sets), and their hashes in the order of buckets."""
+
+    def __init__(self, t: pa.Table, ngram: int, buckets: int):
+        self.classes: dict[bytes, list[int]] = {}
+        self.sets: list[np.ndarray] = []
+        for i, text in enumerate(t.column("text")):
+            s = shingles(text.as_py(), ngram)
+            key = xxhash.xxh3_128_digest(s.tobytes())
+            if key not in self.classes:
+                self.classes[key] = []
+                self.sets.append(s)
+            self.classes[key].append(i)
+        every = np.concatenate([*self.sets, np.zeros(0, "<u8")])
+        # Bucket in the upper half, 32 bits of the hash in the lower one.
+        self.keys, self.at, self.count = np.unique((every >> HALF) % np.uint64(buckets) << HALF | every & LOW, return_inverse=True, return_counts=True)
+        bucket = (self.keys >> HALF).astype(np.int64)
+        cut = np.flatnonzero(np.diff(bucket)) + 1
+        self.start = np.concatenate([[0], cut]) if len(bucket) else cut
+        self.end = np.append(cut, len(bucket)) if len(bucket) else cut
+        self.bucket = bucket[self.start]
+
+
+def slices(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    """Bytes of ``data[a:b]`` for each a, b of adjoining slices."""
+    ends = np.concatenate([start[:1], end]).astype(np.int64) * data.itemsize
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data))]).cast(pa.binary())
+
+
+def candidates(docs: DataFrame, ngram: int, similarity: float, group_bytes: int = GROUP_BYTES) -> DataFrame:
+    """``docs(doc_id, th, text)`` -> ``(doc_id, th, cls, n, fp, take, tokens)`` of the rows that can be alike another one.
+
+    Rows with equal sets share ``cls``, 16 bytes of a hash. Of each class and group one row has ``tokens``: the set's hashes that
+    more than one class holds, rarest first; the first ``take`` lead to all partners. ``n`` is the size of the whole set.
+    Groups count each of their hashes once, whatever number of their texts has it, so that a hash that all texts hold comes
+    in one entry a group; what goes back is four bits a hash.
     """
-    na, nb = F.col("a.n"), F.col("b.n")
-    sizes = F.least(na, nb) >= similarity * F.greatest(na, nb) - EPS
-    differ = sum((F.bit_count(F.col(f"a.{w}").bitwiseXOR(F.col(f"b.{w}"))) for w in MAP), F.lit(0))
-    maps = differ <= (1 - similarity) / (1 + similarity) * (na + nb) + EPS
-    rows = x.alias("a").join(y.alias("b"), "token").where((F.col("a.cls") > F.col("b.cls")) & also & sizes & maps)
-    rows = rows.groupBy(F.col("a.cls").alias("a"), F.col("b.cls").alias("b"), F.col("a.rep").alias("src"), F.col("b.rep").alias("dst"), na.alias("na"), nb.alias("nb"))
-    pairs = rows.agg(F.count("*").alias("c"), F.max("a.pos").alias("i"), F.max("b.pos").alias("j"))
-    past = lambda n: F.ceil(similarity * F.col(n) - EPS) - 1
-    follow = F.least(F.col("na") - F.col("i") - 1, F.col("nb") - F.col("j") - 1, F.greatest(past("na"), past("nb")))
-    return pairs.where(F.col("c") + follow >= similarity / (1 + similarity) * (F.col("na") + F.col("nb")) - EPS).select("a", "b", "src", "dst")
-
-
-def verified(pairs: DataFrame, docs: DataFrame, ngram: int, similarity: float) -> DataFrame:
-    """``pairs(a, b, src, dst)`` of classes and their least ids -> ``(src, dst)`` of those whose sets are alike."""
-    need = pairs.select(F.col("src").alias("doc_id")).unionAll(pairs.select("dst")).distinct()
-    sets = materialize(sets_of(docs.join(need, "doc_id", "left_semi"), ngram).dropDuplicates(["cls"]), "sets")
-    both = pairs.join(sets.select(F.col("cls").alias("a"), F.col("hashes").alias("x")), "a").join(sets.select(F.col("cls").alias("b"), F.col("hashes").alias("y")), "b")
+    spark = docs.sparkSession
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    groups = max(-(-total // group_bytes), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    dealt = docs.select("doc_id", "th", "text", F.pmod(F.xxhash64("doc_id", "th"), F.lit(groups)).alias("g"))
+
+    def offer(key, t):
+        x = Group(t, ngram, groups)
+        g = pa.array(np.full(len(x.start), key[0].as_py()))
+        count = slices(np.minimum(x.count, 255).astype(np.uint8), x.start, x.end)
+        return pa.table([pa.array(x.bucket), g, slices((x.keys & LOW).astype("<u4"), x.start, x.end), count], names=["b", "g", "low", "count"])
+
+    def tally(key, t):
+        """In how many classes a hash is, as the number of binary digits, counting classes of each group for themselves."""
+        low = [np.frombuffer(x, "<u4") for x in t.column("low").to_pylist()]
+        one = np.concatenate([np.frombuffer(x, np.uint8) for x in t.column("count").to_pylist()])
+        _, at = np.unique(np.concatenate(low), return_inverse=True)
+        df = np.bincount(at, weights=one)
+        level = np.minimum(np.floor(np.log2(df)), 15).astype(np.uint8)[at]
+        ends = np.cumsum([0, *map(len, low)]).tolist()
+        rows = [(g, b, np.packbits(level[i:j, None] >> np.arange(3, -1, -1, dtype=np.uint8) & 1).tobytes()) for g, b, i, j in zip(t.column("g").to_pylist(), t.column("b").to_pylist(), ends, ends[1:], strict=False) if level[i:j].any()]
+        return pa.Table.from_pylist([dict(zip(("g", "b", "level"), r, strict=True)) for r in rows], TOLD)
+
+    def pick(key, t, told):
+        if not t.num_rows:
+            return FOUND.empty_table()
+        x = Group(t, ngram, groups)
+        level = np.zeros(len(x.keys), np.uint8)
+        place = dict(zip(x.bucket.tolist(), zip(x.start.tolist(), x.end.tolist(), strict=True), strict=True))
+        for b, packed in zip(told.column("b").to_pylist(), told.column("level").to_pylist(), strict=True):
+            i, j = place[b]
+            level[i:j] = np.packbits(np.unpackbits(np.frombuffer(packed, np.uint8), count=4 * (j - i)).reshape(-1, 4), axis=1)[:, 0] >> 4
+        out, lo = [], 0
+        doc, th = t.column("doc_id").to_pylist(), t.column("th").to_pylist()
+        for (cls, rows), s in zip(x.classes.items(), x.sets, strict=True):
+            own = level[x.at[lo : lo + len(s)]]
+            lo += len(s)
+            shared, least = int((own > 0).sum()), math.ceil(similarity * len(s) - EPS)
+            if shared < least and len(rows) < 2:
+                continue
+            some = own > 0
+            tokens = s[some][np.lexsort((s[some], own[some]))].view(np.int64)
+            take = max(0, shared - least + 1)
+            for k, i in enumerate(rows):
+                out.append((doc[i], th[i], cls, len(s), sketch(s).view(np.int64) if not k else None, take, tokens if not k else None))
+        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(list(zip(*out, strict=True)) or [()] * 7, FOUND, strict=True)], schema=FOUND)
+
+    offers = dealt.groupBy("g").applyInArrow(offer, "b long, g long, low binary, count binary")
+    told = offers.groupBy("b").applyInArrow(tally, "g long, b long, level binary")
+    return dealt.groupBy("g").cogroup(told.groupBy("g")).applyInArrow(pick, "doc_id long, th long, cls binary, n int, fp array<long>, take int, tokens array<long>")
+
+
+TOLD = pa.schema([("g", pa.int64()), ("b", pa.int64()), ("level", pa.binary())])
+FOUND = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("cls", pa.binary()), ("n", pa.int32()), ("fp", pa.list_(pa.int64())), ("take", pa.int32()), ("tokens", pa.list_(pa.int64()))])
+
+
+def alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """``pairs(a, b)`` of classes in ``sets(cls, n, tokens)`` -> those of at least ``similarity``. What two sets have in common is in both ``tokens``."""
+    x = sets.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("x"))
+    y = sets.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("y"))
     common = F.size(F.array_intersect("x", "y"))
-    return both.where(common >= similarity * (F.size("x") + F.size("y") - common) - EPS).select("src", "dst")
-
-
-def groups(docs: DataFrame, ngram: int = 5, similarity: float = 0.8) -> DataFrame:
-    """``docs(doc_id, text)`` -> ``(doc_id, component_id)``: the least id that links of at least ``similarity`` (Jaccard) reach.
-
-    Every pair that is alike is linked or joined through others. First each set meets the least one that shares a
-    hash of its prefix, which joins large groups by rows in proportion; then all pairs that are still apart meet.
-    """
-    known = materialize(marks(docs, ngram, similarity), "marks")
-    reps = materialize(known.groupBy("cls").agg(F.min("doc_id").alias("rep"), *(F.min(c).alias(c) for c in ("n", *MAP)), F.min_by("prefix", "doc_id").alias("prefix")), "sets")
-    tokens = reps.select("cls", "rep", "n", *MAP, F.posexplode("prefix").alias("pos", "token"))
-    shared = materialize(tokens.groupBy("token").count().where("count > 1").select("token"), "shared")
-    held = materialize(tokens.join(shared, "token", "left_semi"), "held")
-
-    least = held.groupBy("token").agg(F.min_by(F.struct("cls", "rep", "n", *MAP, "pos"), "cls").alias("m")).select("token", "m.*")
-    pairs = materialize(met(held, least, similarity, F.lit(True)), "pairs")
-    first = materialize(verified(pairs, docs, ngram, similarity), "alike")
-
-    joined = connected_components(first)
-    named = held.join(joined, held.rep == joined.node, "left").select("token", "cls", "rep", "n", *MAP, "pos", F.coalesce("component", "rep").alias("c"))
-    apart = named.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("token")
-    named = materialize(named.join(apart, "token", "left_semi"), "apart")
-    pairs = materialize(met(named, named, similarity, F.col("a.c") != F.col("b.c")), "pairs")
-    second = verified(pairs, docs, ngram, similarity)
-
-    forget(held)
-    comp = connected_components(first.unionAll(second))
-    ids = reps.select("cls", "rep").join(comp, F.col("rep") == F.col("node"), "left").select("cls", F.coalesce("component", "rep").alias("component_id"))
-    return known.select("doc_id", "cls").join(ids, "cls").select("doc_id", "component_id")
-
-
-def dedup(docs: DataFrame, ngram: int = 5, similarity: float = 0.8) -> DataFrame:
-    """Keep one document of each group, that with the smallest doc_id, with all columns of ``docs``.
-
-    Documents without a word and those with a null id are kept as they are. Repeated rows of the kept id stay one row.
-    """
-    worded = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]") & F.col("doc_id").isNotNull()
-    found = groups(docs.where(worded), ngram, similarity)
-    keep = found.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.where(worded).join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where(~worded))
+    return pairs.join(x, "a").join(y, "b").where(common >= similarity * (F.col("na") + F.col("nb") - common) - EPS).select("a", "b")

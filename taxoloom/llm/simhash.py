@@ -2,26 +2,24 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from taxoloom.llm.common import connected_components, materialize
+from taxoloom.llm import shingles
+from taxoloom.llm.common import SEED, connected_components, forget, materialize, pieces
 
 BITS = 64
-SEED = 42
 #: Rows of one window of the comparison, and of one bucket before it is split into pairs of parts.
 WINDOW, BUCKET = 512, 2048
 ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
 #: Shingles that are hashed at once.
 SLICE = 1 << 16
-BLANK = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def fingerprint(text: str | None, ngram: int = 3) -> int:
@@ -50,19 +48,6 @@ def counts(h: np.ndarray) -> np.ndarray:
     return np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
 
 
-def pieces(data: bytes, size: int = 4 << 20) -> Iterator[bytes]:
-    """Slices of about ``size`` bytes that end between words."""
-    at = 0
-    while at < len(data):
-        to = at + size
-        if to < len(data) and (m := BLANK.search(data, to)):
-            to = m.start()
-        elif to < len(data):
-            to = len(data)
-        yield data[at:to]
-        at = to
-
-
 def fingerprints(docs: DataFrame, ngram: int = 3) -> DataFrame:
     """``docs(doc_id, text)`` -> ``(doc_id, fp)``, a row a row; ``fp`` is the fingerprint as a signed long. Null and empty texts: 0."""
 
@@ -75,15 +60,15 @@ def fingerprints(docs: DataFrame, ngram: int = 3) -> DataFrame:
 
 
 def close_pairs(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs i < j of ``fps`` (uint64) that differ in ``radius`` bits or fewer.
+    """Index pairs i < j of ``fps`` (uint64, one or more words a row) that differ in ``radius`` bits or fewer.
 
     Bit planes hold one bit of 64 fingerprints a word. A query is XORed against a plane at a time;
     the differences are added into vertical counters by carry-save, which start so that the count
     ``radius + 1`` overflows. Every 8 planes, words in which all 64 lanes have overflowed are abandoned.
     """
     m, words = len(fps), -(-len(fps) // 64)
-    bits = np.unpackbits(np.ascontiguousarray(fps, "<u8").view(np.uint8).reshape(m, 8), axis=1, bitorder="little")
-    lanes = np.zeros((words * 64, BITS), np.uint8)
+    bits = np.unpackbits(np.ascontiguousarray(fps, "<u8").view(np.uint8).reshape(m, -1), axis=1, bitorder="little")
+    lanes = np.zeros((words * 64, bits.shape[1]), np.uint8)
     lanes[:m] = bits
     planes = np.packbits(np.ascontiguousarray(lanes.T), axis=1, bitorder="little").view("<u8")
     masks = np.where(bits.T, ONES, np.uint64(0))
@@ -96,7 +81,7 @@ def close_pairs(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     width = max(1, (radius + 1 - 1).bit_length())
     start = (1 << width) - 1 - radius
     counters = [np.full(len(q), ONES if start >> b & 1 else 0, np.uint64) for b in range(width)]
-    for b in range(BITS):
+    for b in range(len(planes)):
         if b % 8 == 0:
             alive = over != ONES
             if not alive.any():
@@ -133,8 +118,7 @@ def cells(reps: DataFrame, radius: int, n: int, bucket: int = BUCKET) -> DataFra
 
     The bits are cut into blocks of which two fingerprints within ``radius`` share all but
     ``radius``; a table ``t`` keys on one choice of those. More blocks make narrower keys as ``n`` grows.
-    A bucket of over ``bucket`` rows is cut into parts by hash, and every two parts meet in a cell
-    of their own, so that no cell grows with the data and no pair is lost.
+    Hot buckets are cut, see :func:`cut`.
     """
     blocks = next(b for b in range(radius + 1, BITS + 1) if n >> sum(BITS * (i + 1) // b - BITS * i // b for i in range(b - radius)) <= 64 or b > radius + 4)
     edge = [BITS * i // blocks for i in range(blocks + 1)]
@@ -143,17 +127,22 @@ def cells(reps: DataFrame, radius: int, n: int, bucket: int = BUCKET) -> DataFra
         mask = sum(((1 << (edge[i + 1] - edge[i])) - 1) << edge[i] for i in kept)
         mask -= (1 << 64) * (mask >> 63)
         tables.append(F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(mask).cast("long")).alias("key")))
-    dealt = reps.select(F.explode(F.array(*tables)).alias("x"), "fp", "rep").select("x.t", "x.key", "fp", "rep")
-    hot = dealt.groupBy("t", "key").count().where(F.col("count") > bucket)
-    hot = hot.select("t", "key", F.ceil(F.col("count") / F.lit(bucket / 2)).cast("int").alias("parts"))
-    part = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
+    return cut(reps.select(F.explode(F.array(*tables)).alias("x"), "fp", "rep").select("x.t", "x.key", "fp", "rep"), ["t", "key"], F.xxhash64("fp"), bucket)
+
+
+def cut(dealt: DataFrame, by: list[str], h: Column, bucket: int = BUCKET) -> DataFrame:
+    """Adds ``i, j``: the rows of a bucket (equal in ``by``) that are to be compared share them.
+
+    A bucket of over ``bucket`` rows is cut into parts by the hash ``h``, and every two parts meet in a cell
+    of their own, so that no cell grows with the data and no pair is lost.
+    """
+    hot = dealt.groupBy(*by).count().where(F.col("count") > bucket)
+    hot = hot.select(*by, F.ceil(F.col("count") / F.lit(bucket / 2)).cast("int").alias("parts"))
+    part = F.pmod(h, F.col("parts")).cast("int")
     pairs = F.transform(F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: j != part), lambda j: F.struct(F.least(j, part).alias("i"), F.greatest(j, part).alias("j")))
     single = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))
-    return (
-        dealt.join(hot, ["t", "key"], "left")
-        .select("t", "key", F.explode(F.when(F.col("parts").isNull(), single).otherwise(pairs)).alias("c"), "fp", "rep")
-        .select("t", "key", "c.i", "c.j", "fp", "rep")
-    )
+    rest = [c for c in dealt.columns if c not in by]
+    return dealt.join(hot, by, "left").select(*by, F.explode(F.when(F.col("parts").isNull(), single).otherwise(pairs)).alias("_cell"), *rest).select(*by, "_cell.i", "_cell.j", *rest)
 
 
 def links(reps: DataFrame, radius: int = 3, bucket: int = BUCKET, window: int = WINDOW) -> DataFrame:
@@ -164,48 +153,50 @@ def links(reps: DataFrame, radius: int = 3, bucket: int = BUCKET, window: int =
     n = reps.count()
     dealt = cells(reps, radius, n, bucket).repartition("t", "key", "i", "j").sortWithinPartitions("t", "key", "i", "j")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        rows = 0
-        for b in batches:
-            held.append(b)
-            rows += b.num_rows
-            if rows >= 8 * window:
-                t = pa.Table.from_batches(held)
-                yield from compare(t, last := starts(t)[-1])
-                held, rows = t.slice(last).combine_chunks().to_batches(), t.num_rows - last
-        if rows:
-            t = pa.Table.from_batches(held)
-            yield from compare(t, t.num_rows)
+    def compare(t: pa.Table) -> pa.RecordBatch:
+        """A spanning forest. What is within the radius in a window, though not in a cell, is a true link as well."""
+        a, b = close_pairs(t.column("fp").to_numpy().view(np.uint64), radius)
+        rep, label = t.column("rep").to_numpy(), forest(a, b, t.num_rows)
+        child = np.flatnonzero(label != np.arange(t.num_rows))
+        return pa.RecordBatch.from_arrays([pa.array(rep[child]), pa.array(rep[label[child]])], ["src", "dst"])
+
+    return dealt.mapInArrow(lambda x: windows(x, ["t", "key", "i", "j"], window, compare), "src long, dst long")
+
+
+def windows(batches: Iterator[pa.RecordBatch], by: list[str], window: int, compare: Callable[[pa.Table], pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``compare`` of windows of sorted rows: whole cells (rows equal in ``by``), several to a window where they are small."""
 
     def starts(t: pa.Table) -> np.ndarray:
         new = np.zeros(t.num_rows, bool)
         new[0] = True
-        for c in ("t", "key", "i", "j"):
+        for c in by:
             x = t.column(c).to_numpy()
             new[1:] |= x[1:] != x[:-1]
         return np.flatnonzero(new)
 
-    def compare(t: pa.Table, end: int) -> Iterator[pa.RecordBatch]:
-        """Windows hold whole cells; what else is within the radius in a window is a true link as well."""
-        fp, rep = t.column("fp").to_numpy().view(np.uint64), t.column("rep").to_numpy()
-        cut = [s for s in starts(t).tolist() if s < end] + [end]
+    def compared(t: pa.Table, end: int) -> Iterator[pa.RecordBatch]:
+        cells = [s for s in starts(t).tolist() if s < end] + [end]
         at = 0
-        while at < len(cut) - 1:
+        while at < len(cells) - 1:
             to = at + 1
-            while to < len(cut) - 1 and cut[to + 1] - cut[at] <= window:
+            while to < len(cells) - 1 and cells[to + 1] - cells[at] <= window:
                 to += 1
-            lo, hi = cut[at], cut[to]
+            if cells[to] - cells[at] > 1 and (out := compare(t.slice(cells[at], cells[to] - cells[at]))).num_rows:
+                yield out
             at = to
-            if hi - lo < 2:
-                continue
-            a, b = close_pairs(fp[lo:hi], radius)
-            if len(a):
-                label = forest(a, b, hi - lo)
-                child = np.flatnonzero(label != np.arange(hi - lo))
-                yield pa.RecordBatch.from_arrays([pa.array(rep[lo:hi][child]), pa.array(rep[lo:hi][label[child]])], ["src", "dst"])
 
-    return dealt.mapInArrow(run, "src long, dst long")
+    held: list[pa.RecordBatch] = []
+    rows = 0
+    for b in batches:
+        held.append(b)
+        rows += b.num_rows
+        if rows >= 8 * window:
+            t = pa.Table.from_batches(held)
+            yield from compared(t, last := int(starts(t)[-1]))
+            held, rows = t.slice(last).combine_chunks().to_batches(), t.num_rows - last
+    if rows:
+        t = pa.Table.from_batches(held)
+        yield from compared(t, t.num_rows)
 
 
 def simhash_groups(docs: DataFrame, ngram: int = 3, radius: int = 3) -> DataFrame:
@@ -224,13 +215,70 @@ def simhash_groups(docs: DataFrame, ngram: int = 3, radius: int = 3) -> DataFram
     )
 
 
-def dedup(docs: DataFrame, ngram: int = 5, radius: int = 3) -> DataFrame:
-    """Keep one document of each group, that with the smallest doc_id, with all columns of ``docs``.
+def near(by: Column, other: Column, most: int) -> Column:
+    """Whether two fingerprints (arrays of longs) differ in ``most`` bits or fewer."""
+    return F.aggregate(F.zip_with(by, other, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda a, x: a + x) <= most
+
 
-    Documents without a word and those with a null id are kept as they are. Repeated rows of the kept id stay one row.
+def similar_groups(docs: DataFrame, ngram: int = 5, similarity: float = 0.8) -> DataFrame:
+    """``docs(doc_id, th, text)`` -> ``(doc_id, th, cls, group)`` of the rows that can be alike others: rows of one ``group`` are.
+
+    Links are true similarities of shingle sets (Jaccard) of ``similarity`` or more. Blocks of 64-bit fingerprints can't find these:
+    they differ in ten bits, and in 16 or more at times, which leaves blocks of three bits. So candidates share a rare shingle
+    (:mod:`taxoloom.llm.shingles`); their wide fingerprints are compared bit-sliced, within the radius of that similarity; and those left
+    are verified. First each class meets the least one that it shares a shingle with, which joins large groups by rows in
+    proportion; then only classes that are still apart meet. A hot bucket is cut into cells.
+    """
+    most = shingles.radius(similarity)
+    rows = materialize(shingles.candidates(docs, ngram, similarity), "candidates")
+    sets = materialize(rows.where("tokens is not null").groupBy("cls").agg(F.min_by(F.struct("n", "fp", "take", "tokens"), F.struct("doc_id", "th")).alias("s")).select("cls", "s.*"), "sets")
+    entries = sets.where("take > 0").select("cls", "n", "fp", F.explode(F.slice("tokens", F.lit(1), F.col("take"))).alias("token"))
+    shared = entries.groupBy("token").agg(F.count("*").alias("c"), F.min_by(F.struct("cls", "n", "fp"), "cls").alias("m")).where("c > 1")
+    met = materialize(entries.join(shared, "token").select("token", "cls", "n", "fp", "m"), "entries")
+    sizes = F.least("n", "m.n") >= similarity * F.greatest("n", "m.n") - shingles.EPS
+    star = met.where((F.col("cls") > F.col("m.cls")) & sizes & near(F.col("fp"), F.col("m.fp"), most))
+    first = materialize(shingles.alike(star.select(F.col("cls").alias("a"), F.col("m.cls").alias("b")).distinct(), sets, similarity), "alike")
+    joined = connected_components(first.toDF("src", "dst"))
+    named = met.join(joined, met.cls == joined.node, "left").select("token", "cls", "n", "fp", F.coalesce("component", "cls").alias("c"))
+    apart = named.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("token")
+    dealt = cut(materialize(named.join(apart, "token", "left_semi"), "apart"), ["token"], F.xxhash64("cls"))
+    dealt = dealt.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+
+    def compare(t: pa.Table) -> pa.RecordBatch:
+        fp = t.column("fp").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(t.num_rows, -1)
+        a, b = close_pairs(fp, most)
+        n, c = t.column("n").to_numpy(), t.column("c").combine_chunks().dictionary_encode().indices.to_numpy()
+        good = (c[a] != c[b]) & (np.minimum(n[a], n[b]) >= similarity * np.maximum(n[a], n[b]) - shingles.EPS)
+        cls = t.column("cls").combine_chunks()
+        return pa.RecordBatch.from_arrays([cls.take(pa.array(a[good])), cls.take(pa.array(b[good]))], ["a", "b"])
+
+    found = dealt.mapInArrow(lambda x: windows(x, ["token", "i", "j"], WINDOW, compare), "a binary, b binary")
+    pairs = found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    second = materialize(shingles.alike(pairs, sets, similarity), "alike")
+    comp = connected_components(first.unionAll(second).toDF("src", "dst"))
+    out = rows.select("doc_id", "th", "cls").join(comp, F.col("cls") == F.col("node"), "left")
+    return out.select("doc_id", "th", "cls", F.coalesce("component", "cls").alias("group"))
+
+
+def dedup(docs: DataFrame, ngram: int = 5, similarity: float = 0.8) -> DataFrame:
+    """Keep one row of each group of near duplicates (:func:`similar_groups`), with all columns of ``docs``.
+
+    The row with the smallest doc_id stays; where one id has several texts of a group, that whose text has the smallest hash.
+    Texts that are not alike stay, also if they share an id. Of rows with equal ids and texts one stays. Rows
+    without a word and those with a null id are kept as they are. No column's name can clash: only ``doc_id`` and ``text`` are read.
     """
     worded = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]") & F.col("doc_id").isNotNull()
-    groups = simhash_groups(docs.where(worded), ngram, radius)
-    keep = groups.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.where(worded).join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where(~worded))
+    keyed = docs.where(worded).select(F.struct(*docs.columns).alias("own"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("th"), F.col("text").cast("string").alias("text"))
+    found = materialize(similar_groups(distinct_rows(keyed.select("doc_id", "th", "text"), ["doc_id", "th"]), ngram, similarity), "groups")
+    least = found.groupBy("group").agg(F.min(F.struct("doc_id", "th")).alias("first"))
+    gone = found.join(least, "group").where(F.struct("doc_id", "th") != F.col("first")).select("doc_id", "th").distinct()
+    kept = distinct_rows(keyed.drop("text"), ["doc_id", "th"]).join(gone, ["doc_id", "th"], "left_anti")
+    return kept.select("own.*").unionByName(docs.where(~worded))
+
+
+def distinct_rows(rows: DataFrame, key: list[str]) -> DataFrame:
+    """One of the rows of each key. Keys that recur are looked for first, without the rows' texts, as they are few."""
+    again = materialize(rows.groupBy(*key).agg(F.count("*").alias("c")).where("c > 1").select(*key), "again")
+    if again.isEmpty():
+        return rows
+    return rows.join(again, key, "left_anti").unionByName(rows.join(again, key, "left_semi").dropDuplicates(key))
