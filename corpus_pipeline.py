@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from taxoloom.llm import lines, mixing, packing, quality, shingles
+from taxoloom.llm import lines, mixing, packing, quality, simhash
 from taxoloom.llm.common import materialize
 from taxoloom.llm.queries import tokenizer_path
 
@@ -29,7 +29,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays: links are five-word shingle sets with a Jaccard similarity of 0.8 or more."""
-    return shingles.dedup(docs, ngram=5, similarity=0.8)
+    return simhash.dedup(docs, ngram=5, similarity=0.8)
 
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
