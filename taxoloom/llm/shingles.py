@@ -22,8 +22,10 @@ from taxoloom.llm.common import SEED, pieces
 EPS = 1e-9
 #: Bytes of text that a group holds on average.
 GROUP_BYTES = 6 << 20
-#: Words of a fingerprint, and what turns a hash into its further words.
-WORDS = 2
+#: Words of a fingerprint, and what turns a hash into its further words. The wider, the less do texts of lesser similarity pass.
+WORDS = 16
+#: Sets of fewer hashes have a wider radius, for ties.
+SMALL = 32
 MIX = np.uint64(0x9E3779B97F4A7C15)
 LOW = np.uint64(0xFFFFFFFF)
 HALF = np.uint64(32)
@@ -55,13 +57,13 @@ def sketch(s: np.ndarray) -> np.ndarray:
     return np.array(out, np.uint64)
 
 
-def radius(similarity: float, bits: int = 64 * WORDS) -> int:
+def radius(similarity: float, small: bool = False, bits: int = 64 * WORDS) -> int:
     """Bits in which the fingerprints of two sets of that similarity differ: the mean and six deviations.
 
-    The cosine of two sets is at least 2 s / (1 + s). A pair of the least similarity goes unseen once in some 1e8 pairs (1e5, where
-    one has only four shingles, for ties); a more similar pair more seldom.
+    The cosine of two sets is at least 2 s / (1 + s). A pair of the least similarity goes unseen once in a million or less, a
+    more similar pair more seldom.
     """
-    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    p = math.acos(2 * similarity / (1 + similarity)) / math.pi + 0.06 * small
     return min(bits - 1, math.ceil(bits * p + 6 * math.sqrt(bits * p * (1 - p))))
 
 

@@ -131,7 +131,7 @@ def cells(reps: DataFrame, radius: int, n: int, bucket: int = BUCKET) -> DataFra
 
 
 def cut(dealt: DataFrame, by: list[str], h: Column, bucket: int = BUCKET) -> DataFrame:
-    """Adds ``i, j``: the rows of a bucket (equal in ``by``) that are to be compared share them.
+    """Adds ``i, j``, which the rows of a bucket (equal in ``by``) that are to be compared share, and ``part``.
 
     A bucket of over ``bucket`` rows is cut into parts by the hash ``h``, and every two parts meet in a cell
     of their own, so that no cell grows with the data and no pair is lost.
@@ -142,7 +142,7 @@ def cut(dealt: DataFrame, by: list[str], h: Column, bucket: int = BUCKET) -> Dat
     pairs = F.transform(F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: j != part), lambda j: F.struct(F.least(j, part).alias("i"), F.greatest(j, part).alias("j")))
     single = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))
     rest = [c for c in dealt.columns if c not in by]
-    return dealt.join(hot, by, "left").select(*by, F.explode(F.when(F.col("parts").isNull(), single).otherwise(pairs)).alias("_cell"), *rest).select(*by, "_cell.i", "_cell.j", *rest)
+    return dealt.join(hot, by, "left").select(*by, F.explode(F.when(F.col("parts").isNull(), single).otherwise(pairs)).alias("_cell"), F.coalesce(part, F.lit(0)).alias("part"), *rest).select(*by, "_cell.i", "_cell.j", "part", *rest)
 
 
 def links(reps: DataFrame, radius: int = 3, bucket: int = BUCKET, window: int = WINDOW) -> DataFrame:
@@ -151,7 +151,7 @@ def links(reps: DataFrame, radius: int = 3, bucket: int = BUCKET, window: int =
     A window's links come as a spanning forest, so a group of m near copies gives m - 1 rows, not m * m.
     """
     n = reps.count()
-    dealt = cells(reps, radius, n, bucket).repartition("t", "key", "i", "j").sortWithinPartitions("t", "key", "i", "j")
+    dealt = cells(reps, radius, n, bucket).drop("part").repartition("t", "key", "i", "j").sortWithinPartitions("t", "key", "i", "j")
 
     def compare(t: pa.Table) -> pa.RecordBatch:
         """A spanning forest. What is within the radius in a window, though not in a cell, is a true link as well."""
@@ -170,7 +170,7 @@ def windows(batches: Iterator[pa.RecordBatch], by: list[str], window: int, compa
         new = np.zeros(t.num_rows, bool)
         new[0] = True
         for c in by:
-            x = t.column(c).to_numpy()
+            x = t.column(c).to_numpy(zero_copy_only=False)
             new[1:] |= x[1:] != x[:-1]
         return np.flatnonzero(new)
 
@@ -215,7 +215,7 @@ def simhash_groups(docs: DataFrame, ngram: int = 3, radius: int = 3) -> DataFram
     )
 
 
-def near(by: Column, other: Column, most: int) -> Column:
+def near(by: Column, other: Column, most: Column) -> Column:
     """Whether two fingerprints (arrays of longs) differ in ``most`` bits or fewer."""
     return F.aggregate(F.zip_with(by, other, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda a, x: a + x) <= most
 
@@ -229,30 +229,39 @@ def similar_groups(docs: DataFrame, ngram: int = 5, similarity: float = 0.8) ->
     are verified. First each class meets the least one that it shares a shingle with, which joins large groups by rows in
     proportion; then only classes that are still apart meet. A hot bucket is cut into cells.
     """
-    most = shingles.radius(similarity)
+    wide, most = shingles.radius(similarity, True), shingles.radius(similarity)
     rows = materialize(shingles.candidates(docs, ngram, similarity), "candidates")
     sets = materialize(rows.where("tokens is not null").groupBy("cls").agg(F.min_by(F.struct("n", "fp", "take", "tokens"), F.struct("doc_id", "th")).alias("s")).select("cls", "s.*"), "sets")
     entries = sets.where("take > 0").select("cls", "n", "fp", F.explode(F.slice("tokens", F.lit(1), F.col("take"))).alias("token"))
     shared = entries.groupBy("token").agg(F.count("*").alias("c"), F.min_by(F.struct("cls", "n", "fp"), "cls").alias("m")).where("c > 1")
     met = materialize(entries.join(shared, "token").select("token", "cls", "n", "fp", "m"), "entries")
     sizes = F.least("n", "m.n") >= similarity * F.greatest("n", "m.n") - shingles.EPS
-    star = met.where((F.col("cls") > F.col("m.cls")) & sizes & near(F.col("fp"), F.col("m.fp"), most))
+    star = met.where((F.col("cls") > F.col("m.cls")) & sizes & near(F.col("fp"), F.col("m.fp"), F.when(F.least("n", "m.n") < shingles.SMALL, wide).otherwise(most)))
     first = materialize(shingles.alike(star.select(F.col("cls").alias("a"), F.col("m.cls").alias("b")).distinct(), sets, similarity), "alike")
     joined = connected_components(first.toDF("src", "dst"))
     named = met.join(joined, met.cls == joined.node, "left").select("token", "cls", "n", "fp", F.coalesce("component", "cls").alias("c"))
     apart = named.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("token")
-    dealt = cut(materialize(named.join(apart, "token", "left_semi"), "apart"), ["token"], F.xxhash64("cls"))
-    dealt = dealt.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+    # A pair with a small set meets among the small ones, whose sizes reach up to those of the sets that can be alike one.
+    sorts = F.filter(F.array(F.when(F.col("n") < shingles.SMALL / similarity + 1, True), F.when(F.col("n") >= shingles.SMALL, False)), lambda x: x.isNotNull())
+    apart = materialize(named.join(apart, "token", "left_semi").withColumn("small", F.explode(sorts)), "apart")
+    by = ["token", "small", "i", "j"]
+    dealt = cut(apart, ["token", "small"], F.xxhash64("cls")).drop("part").repartition(*by).sortWithinPartitions(*by)
 
     def compare(t: pa.Table) -> pa.RecordBatch:
+        """A window's pairs, but for those of one component and of one cell with another."""
+        t = t.combine_chunks()
         fp = t.column("fp").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(t.num_rows, -1)
-        a, b = close_pairs(fp, most)
-        n, c = t.column("n").to_numpy(), t.column("c").combine_chunks().dictionary_encode().indices.to_numpy()
-        good = (c[a] != c[b]) & (np.minimum(n[a], n[b]) >= similarity * np.maximum(n[a], n[b]) - shingles.EPS)
+        n, small = t.column("n").to_numpy(), t.column("small").to_numpy(zero_copy_only=False)
+        a, b = close_pairs(fp, wide if small.any() else most)
+        c, token = t.column("c").combine_chunks().dictionary_encode().indices.to_numpy(), t.column("token").to_numpy()
+        good = (c[a] != c[b]) & (token[a] == token[b]) & (small[a] == small[b]) & (np.minimum(n[a], n[b]) >= similarity * np.maximum(n[a], n[b]) - shingles.EPS)
+        if small.any():
+            far = np.bitwise_count(fp[a] ^ fp[b]).sum(axis=1)
+            good &= np.where(small[a], np.minimum(n[a], n[b]) < shingles.SMALL, far <= most)
         cls = t.column("cls").combine_chunks()
         return pa.RecordBatch.from_arrays([cls.take(pa.array(a[good])), cls.take(pa.array(b[good]))], ["a", "b"])
 
-    found = dealt.mapInArrow(lambda x: windows(x, ["token", "i", "j"], WINDOW, compare), "a binary, b binary")
+    found = dealt.mapInArrow(lambda x: windows(x, by, WINDOW, compare), "a binary, b binary")
     pairs = found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     second = materialize(shingles.alike(pairs, sets, similarity), "alike")
     comp = connected_components(first.unionAll(second).toDF("src", "dst"))

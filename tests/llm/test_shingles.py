@@ -88,13 +88,14 @@ def test_shingles():
 
 
 def test_radius_holds_what_is_alike():
-    """Random sets of the least similarity, small and large: none beyond the radius; unrelated sets are."""
-    rng, most = np.random.default_rng(0), shingles.radius(0.8)
+    """Random sets of the least similarity, small and large: none beyond the radius; sets of a similarity of a half are."""
+    rng, most, wide = np.random.default_rng(0), shingles.radius(0.8), shingles.radius(0.8, True)
     differ = lambda x, y: int(np.bitwise_count(shingles.sketch(np.sort(x)) ^ shingles.sketch(np.sort(y))).sum())
-    for n in (5, 10, 50, 500):
-        for _ in range(300):
+    for n in (5, 10, 40, 41, 50, 500):
+        for _ in range(200):
             s = rng.integers(0, 1 << 63, 2 * n, dtype=np.uint64)
-            same = 4 * n // 5
-            assert differ(s[:n], s[:same]) <= most
-    far = [differ(rng.integers(0, 1 << 63, 200, dtype=np.uint64), rng.integers(0, 1 << 63, 200, dtype=np.uint64)) > most for _ in range(300)]
-    assert np.mean(far) > 0.99
+            same = -(-4 * n // 5)
+            assert differ(s[:n], s[:same]) <= (wide if same < shingles.SMALL else most)
+    for _ in range(200):
+        s = rng.integers(0, 1 << 63, 400, dtype=np.uint64)
+        assert differ(s[:300], s[100:]) > most
