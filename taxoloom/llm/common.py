@@ -64,6 +64,25 @@ def forget(df: DataFrame) -> None:
             hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def spread(rows: DataFrame, most: int = 1000) -> DataFrame:
+    """Adds ``h``, a hash of the row, and ``copy``, which numbers equal rows where there are more than ``most``, so that ``(h, copy)`` deals
+    out any table evenly. Both follow from the rows alone, so a task that is run again gives each row the same.
+
+    Rows that recur so often are looked for first, by their hashes; they are counted, and dealt out again from their counts.
+    """
+    keyed = rows.withColumn("h", F.xxhash64(*rows.columns))
+    hot = materialize(keyed.groupBy("h").agg(F.count("*").alias("c")).where(F.col("c") > most).select("h"), "hot")
+    plain = keyed.withColumn("copy", F.lit(0).cast("long"))
+    if hot.isEmpty():
+        forget(hot)
+        return plain
+    runs = keyed.join(hot, "h", "left_semi").groupBy(*keyed.columns).agg(F.count("*").alias("c"))
+    runs = runs.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("c") - 1) / most)))).repartition("h", "run")
+    copies = F.sequence(F.col("run") * most, F.least((F.col("run") + 1) * most, F.col("c")) - 1)
+    again = runs.select(*keyed.columns, F.explode(copies).alias("copy"))
+    return plain.join(hot, "h", "left_anti").select(*again.columns).unionByName(again)
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """``edges(src, dst)`` -> ``(node, component)`` with the smallest reachable id, for every node of an edge.
 

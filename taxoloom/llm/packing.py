@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from taxoloom.llm.common import spread
+
 #: Words, and runs of letters, whose ids a worker remembers, and the longest word it remembers.
 CACHE_WORDS, CACHE_CHARS = 600_000, 64
 
@@ -19,6 +21,8 @@ CACHE_WORDS, CACHE_CHARS = 600_000, 64
 PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]*)")
 #: Texts of more characters are cut at blanks before they are encoded.
 LONG = 1 << 20
+#: Bytes of text that a group holds on average.
+GROUP_BYTES = 3 << 20
 
 
 def byte_letters() -> dict[int, str]:
@@ -186,17 +190,18 @@ def pack(lengths: list[int], capacity: int) -> list[list[tuple[int, int, int]]]:
     return bins + bins_left
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 1, group_docs: int = 1024, seed: int = 0) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 1, group_bytes: int = GROUP_BYTES, seed: int = 0) -> DataFrame:
     """``docs(doc_id, text, ...)`` -> pieces ``(doc_id, start, length, ids, doc_tokens, sequence_id, offset)``.
 
     ``ids``: little-endian unsigned 32-bit ids. Each document ends in ``end_id``; null and empty texts
-    are that id alone. Groups hold about ``group_docs`` rows, chosen by a hash of id and text, and are packed
+    are that id alone. Groups hold about ``group_bytes`` of text, chosen by a hash of the row, and are packed
     independently: a group is packed the same wherever it runs. ``sequence_id`` has the group in its upper half.
-    Rows with equal or null ids are packed row by row.
+    Rows with equal or null ids are packed row by row; equal rows in quantity spread over groups. A text of any length is in one
+    group, encoded in slices. Other columns are not read. An empty table gives no rows.
     """
-    groups = max(1, -(-docs.count() // group_docs))
     slim = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    dealt = slim.withColumn("g", F.pmod(F.xxhash64("doc_id", "text", F.lit(seed)), F.lit(groups)))
+    groups = max(1, -(-(slim.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0) // group_bytes))
+    dealt = spread(slim).select("doc_id", "text", F.pmod(F.xxhash64("h", "copy", F.lit(seed)), F.lit(groups)).alias("g"))
 
     def run(key, t):
         t = t.sort_by([("doc_id", "ascending"), ("text", "ascending")])

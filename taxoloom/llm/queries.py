@@ -27,9 +27,9 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grouped = chat.segments(table(spark, sf_dir, "conversations"))
-    turns = chat.parse_transcripts(chat.transcripts(grouped), chat.fit_on(grouped))
-    return turns.select("conv_id", "segment", "turn", "role", F.char_length("text").cast("long").alias("n_chars"), F.md5("rendered").alias("rendered_md5"))
+    rows = table(spark, sf_dir, "conversations")
+    turns = chat.parse_transcripts(chat.transcripts(rows), chat.fit_on(rows))
+    return turns.select("conv_id", "turn", "role", F.char_length("text").cast("long").alias("n_chars"), F.md5("rendered").alias("rendered_md5"))
 
 
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,8 +57,12 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), max_repeats=2.0)
-    return rows.select("doc_id", "source", F.col("_epoch").alias("epoch"), F.col("_block").alias("block_key"), F.col("_row").alias("row_key"), F.round("_weight", 9).alias("weight"), F.round("_repeats", 9).alias("repeats"))
+    """Two mixes: no source read more than twice as often as the least repeated one, nothing dropped; and, of as many tokens as there are, one of an entropy of 2 nats."""
+    docs, out = table(spark, sf_dir, "documents").select("doc_id", "text", "source"), []
+    for variant, rule in (("repeats", {"max_repeats": 2.0}), ("entropy", {"max_repeats": None, "entropy": 2.0, "epochs": 1.0})):
+        rows = mixing.mix(docs, **rule)
+        out.append(rows.select(F.lit(variant).alias("variant"), "own.doc_id", "own.source", "epoch", F.col("block").alias("block_key"), F.col("row").alias("row_key"), F.round("weight", 9).alias("weight"), F.round("repeats", 9).alias("repeats")))
+    return out[0].unionByName(out[1])
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

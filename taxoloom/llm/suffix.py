@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from taxoloom.llm.common import spread
+
 SPAN = 50
 #: Bytes of an anchor. A window holds SPAN - GRAM + 1 of them; two in REACH + 1 positions become anchors.
 GRAM = 24
@@ -119,14 +121,14 @@ class Group:
         known = ~self.null[row] if len(row) else np.zeros(0, bool)
         return first[known], count[known], h[known], self.doc[row[known]]
 
-    def contexts(self, shared: np.ndarray, buckets: int) -> tuple[np.ndarray, ...]:
+    def contexts(self, shared: np.ndarray, offers_to: int, buckets: int) -> tuple[np.ndarray, ...]:
         """Of the runs whose anchors are ``shared``: first window, windows, doc, context number; and of each
         distinct context: its bytes with the number of windows last, least doc, bucket."""
         first, count, h, doc = self.runs()
-        key = keys(h, buckets)
+        key = keys(h, offers_to)
         at = np.minimum(np.searchsorted(shared, key), max(0, len(shared) - 1))
         hit = shared[at] == key if len(shared) else np.zeros(len(key), bool)
-        first, count, doc, key = first[hit], count[hit], doc[hit], key[hit]
+        first, count, doc, h = first[hit], count[hit], doc[hit], h[hit]
         padded = np.concatenate([self.buf, np.zeros(WIDTH, np.uint8)])
         cut = np.zeros((len(first), WIDTH + 1), np.uint8)
         for lo in range(0, len(first), 1 << 15):
@@ -138,7 +140,7 @@ class Group:
         pick, number = distinct(cut)
         least = np.full(len(pick), np.iinfo(np.int64).max)
         np.minimum.at(least, number, doc)
-        return first, count, doc, number, cut[pick], least, (key[pick] >> U(32)).astype(np.int64)
+        return first, count, doc, number, cut[pick], least, (keys(h[pick], buckets) >> U(32)).astype(np.int64)
 
 
 def distinct(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -316,18 +318,21 @@ def drop_repeats(docs: DataFrame, group_bytes: int = GROUP_BYTES, with_kept: boo
     """``docs(doc_id, text, ...)`` -> ``(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept)``, a row a row.
 
     ``kept`` holds the remaining bytes (null unless ``with_kept``). Null and empty texts: no bytes. Rows with one doc_id are one document, so
-    they don't remove from each other. A null doc_id has no order: such rows are kept whole and remove nothing.
+    they don't remove from each other. A null doc_id has no order: such rows are kept whole and remove nothing. Equal rows in
+    quantity spread over groups; a text of any length is in one group, read in slices. Other columns are not read. An empty
+    table gives no rows.
     """
     spark = docs.sparkSession
     slim = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"))
     total = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = max(-(-total // group_bytes), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    buckets = 2 * groups
-    dealt = slim.withColumn("g", F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)))
+    # A bucket of anchors (4 bytes each) serves several groups; contexts (78 bytes, and far more while they are sorted) get more buckets.
+    offers_to, buckets = max(groups // 4, int(spark.conf.get("spark.sql.shuffle.partitions"))), 2 * groups
+    dealt = spread(slim).select("doc_id", "text", F.pmod(F.xxhash64("h", "copy"), F.lit(groups)).alias("g"))
 
     def offer(key, t):
         _, _, h, doc = Group(t).runs()
-        k = keys(h, buckets)
+        k = keys(h, offers_to)
         order = np.argsort(k, kind="stable")
         k, doc = k[order], doc[order]
         first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if len(k) else np.zeros(0, np.int64)
@@ -358,7 +363,7 @@ def drop_repeats(docs: DataFrame, group_bytes: int = GROUP_BYTES, with_kept: boo
     def ask(key, t, got):
         if not t.num_rows:
             return ASK.empty_table()
-        *_, cut, least, bucket = Group(t).contexts(load(got), buckets)
+        *_, cut, least, bucket = Group(t).contexts(load(got), offers_to, buckets)
         order = np.argsort(bucket, kind="stable")
         at = [0, *(np.flatnonzero(np.diff(bucket[order])) + 1).tolist(), len(order)] if len(order) else [0]
         rows = [(int(bucket[o[0]]), key[0].as_py(), o.astype("<u4").tobytes(), least[o].astype("<i8").tobytes(), cut[o].tobytes()) for a, b in zip(at, at[1:], strict=False) for o in [order[a:b]]]
@@ -381,7 +386,7 @@ def drop_repeats(docs: DataFrame, group_bytes: int = GROUP_BYTES, with_kept: boo
             return DONE.empty_table()
         group = Group(t)
         is_answer = got.column("bits").is_valid()
-        first, count, doc, number, _, least, _ = group.contexts(load(got.filter(got.column("low").is_valid())), buckets)
+        first, count, doc, number, _, least, _ = group.contexts(load(got.filter(got.column("low").is_valid())), offers_to, buckets)
         bits = np.zeros(len(least), np.uint64)
         told = got.filter(is_answer)
         for n, b in zip(told.column("number").to_pylist(), told.column("bits").to_pylist(), strict=True):

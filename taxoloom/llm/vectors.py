@@ -8,24 +8,29 @@ towards each member, then outwards as long as links are found. Links are verifie
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
-from taxoloom.llm.common import connected_components, materialize
-from taxoloom.llm.simhash import forest
+from taxoloom.llm.common import connected_components, forget, materialize
+from taxoloom.llm.simhash import cut, forest
 
 
 @dataclass(frozen=True)
 class Index:
-    """``sample``: classes on which centres are fitted and recall is audited (the bound of what the driver gathers)."""
+    """``sample``: classes on which centres are fitted, in all and again in each first-level cluster; ``audit``: a share of 1 in so
+    many classes is asked for its links by brute force; ``centres``: clusters of one level at most (there are two levels beyond)."""
 
     sample: int = 8192
-    audit: int = 256
+    audit: int = 50
+    enough: int = 30
+    centres: int = 2048
     shard: int = 1000
     most: int = 4000
     overlap: int = 3
@@ -189,7 +194,7 @@ def owned(shards: np.ndarray, part: np.ndarray, a: np.ndarray, b: np.ndarray, cl
     for lo in range(0, len(a), 1 << 16):
         x, y = shards[a[lo : lo + (1 << 16)]], shards[b[lo : lo + (1 << 16)]]
         common = (x[:, :, None] == y[:, None, :]).any(axis=2) & (x >= 0)
-        out[lo : lo + (1 << 16)] = np.where(common, x, np.iinfo(np.int32).max).min(axis=1) == cluster
+        out[lo : lo + (1 << 16)] = np.where(common, x, np.iinfo(np.int64).max).min(axis=1) == cluster
     if i != j:
         p, q = part[a], part[b]
         other = np.where(p == i, j, i)
@@ -197,125 +202,241 @@ def owned(shards: np.ndarray, part: np.ndarray, a: np.ndarray, b: np.ndarray, cl
     return out
 
 
-def classes(vectors: DataFrame) -> DataFrame:
-    """``vectors(vec_id, embedding)`` -> ``(cid, v, dim, rep, n)`` of distinct usable vectors."""
+def usable(vectors: DataFrame) -> DataFrame:
+    """``(vec_id, h, v)`` of the vectors that can link: ``v`` in double precision, ``h`` its hash."""
     v = F.col("embedding").cast("array<double>")
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
-    return (
-        vectors.select(F.col("vec_id").cast("long"), v.alias("v"))
-        .where(F.coalesce(fine, F.lit(False)))
-        .groupBy(F.xxhash64("v").alias("cid"), "v")
-        .agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"))
-        .withColumn("dim", F.size("v"))
-    )
+    # Negative zeros are zeros.
+    rows = vectors.select(F.col("vec_id").cast("long"), v.alias("embedding")).where(F.coalesce(fine, F.lit(False)))
+    return rows.select("vec_id", F.transform("embedding", lambda x: x + F.lit(0.0)).alias("v")).withColumn("h", F.xxhash64("v"))
 
 
-def shards(points: DataFrame, p: Index, overlap: int) -> DataFrame:
-    """``(cluster, i, j, part, cid, v, n, shards)``: rows of a cell share the first three.
+def classes(vectors: DataFrame) -> DataFrame:
+    """``vectors(vec_id, embedding)`` -> ``(cid, h, v, dim, rep, n)`` of distinct usable vectors, as a table.
 
-    A cluster of over ``most`` rows is cut into parts by hash; each two parts make a cell.
+    ``cid`` is a number given on writing, so that no two classes share one, whatever their hashes.
     """
-    n = points.count()
-    k = max(1, min(-(-n * overlap // p.shard), p.sample // 4))
-    sample = points.orderBy(F.xxhash64("cid"), "cid").select("v").limit(p.sample).toArrow()
-    c = centres(unit(matrix(sample.column("v"))), k).astype(np.float32)
+    grouped = usable(vectors).groupBy("h", "v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")).withColumn("dim", F.size("v"))
+    return materialize(grouped.withColumn("cid", F.monotonically_increasing_id()), "classes")
+
+
+def sampled(points: DataFrame, n: int) -> np.ndarray:
+    return unit(matrix(points.orderBy("h", "v").select("v").limit(n).toArrow().column("v")))
+
+
+def nearest(rows: DataFrame, c: np.ndarray, overlap: int) -> DataFrame:
+    """Adds ``shards``: the ``overlap`` nearest of the centres ``c``."""
+    c, own = c.astype(np.float32), rows.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
                 s = unit(matrix(b.column("v"))).astype(np.float32) @ c.T
                 top = np.sort(np.argpartition(-s, min(overlap, len(c)) - 1, axis=1)[:, : min(overlap, len(c))], axis=1)
-                yield pa.RecordBatch.from_arrays([*(b.column(x) for x in ("cid", "v", "n")), pa.array(top.astype(np.int32).tolist(), pa.list_(pa.int32()))], ["cid", "v", "n", "shards"])
+                yield pa.RecordBatch.from_arrays([*(b.column(x) for x in own), pa.array(top.astype(np.int64).tolist(), pa.list_(pa.int64()))], [*own, "shards"])
 
-    near = materialize(points.select("cid", "v", "n").mapInArrow(run, "cid long, v array<double>, n long, shards array<int>"), "near")
-    members = near.select(F.explode("shards").alias("cluster"), "cid", "v", "n", "shards")
-    hot = members.groupBy("cluster").count().where(F.col("count") > p.most).select("cluster", F.ceil(F.col("count") / F.lit(p.most / 2)).cast("int").alias("parts"))
-    part = F.coalesce(F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int"), F.lit(0))
-    pairs = F.transform(F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: j != part), lambda j: F.struct(F.least(j, part).alias("i"), F.greatest(j, part).alias("j")))
-    single = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))
-    dealt = members.join(hot, "cluster", "left").withColumn("part", part)
-    return dealt.select("cluster", F.explode(F.when(F.col("parts").isNull(), single).otherwise(pairs)).alias("c"), "part", "cid", "v", "n", "shards").select("cluster", "c.i", "c.j", "part", "cid", "v", "n", "shards")
+    return rows.mapInArrow(run, "cid long, h long, v array<double>, n long, shards array<long>")
 
 
-def links(points: DataFrame, threshold: float, p: Index, overlap: int) -> DataFrame:
-    """Of classes of one dimension: ``(cid, links, root)`` a class and shard; ``links`` counts other vectors, ``root`` is a class that links reach."""
-    cells = materialize(shards(points, p, overlap), "cells")
+def nearest_of_two_levels(points: DataFrame, k: int, p: Index, overlap: int) -> DataFrame:
+    """As :func:`nearest`, with up to ``centres`` first-level clusters, each of which has centres of its own, fitted on a sample of its members.
 
-    def graph(key, t):
-        ids = t.column("cid").to_numpy()
-        order = np.argsort(ids)
-        x = unit(matrix(t.column("v"))).astype(np.float32)[order]
-        ids = ids[order]
-        return pa.table({"cid": pa.array(ids), "nbrs": pa.array([ids[a].tolist() for a in build(x, p)], pa.list_(pa.int64()))})
+    A vector is compared with the centres of its two nearest first-level clusters; the nearest ``overlap`` of all of these are its shards.
+    """
+    top = min(p.centres, int(np.ceil(np.sqrt(k))))
+    inner = -(-k // top)
+    first = materialize(nearest(points.select("cid", "h", "v", "n"), centres(sampled(points, p.sample), top), 2), "first")
+    members = first.select(F.explode("shards").alias("t"), "cid", "h", "v", "n")
+    order = Window.partitionBy("t").orderBy("h", "cid")
+    drawn = members.withColumn("r", F.row_number().over(order)).where(F.col("r") <= min(p.sample, 8 * inner))
 
-    key = ["cluster", "i", "j"]
-    lists = cells.groupBy(*key).applyInArrow(graph, "cid long, nbrs array<long>")
-    united = lists.groupBy("cid").agg(F.array_distinct(F.flatten(F.collect_list("nbrs"))).alias("nbrs"))
+    def fit(key, t):
+        c = centres(unit(matrix(t.sort_by([("h", "ascending"), ("cid", "ascending")]).column("v"))), inner)
+        return pa.table({"t": pa.array([key[0].as_py()]), "centres": pa.array([c.ravel().tolist()], pa.list_(pa.float64()))})
+
+    fitted = drawn.groupBy("t").applyInArrow(fit, "t long, centres array<double>")
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out, t = [], b.column("t").to_numpy()
+            v = unit(matrix(b.column("v"))) if b.num_rows else np.zeros((0, 1))
+            for i, j in zip(s := [0, *(np.flatnonzero(np.diff(t)) + 1).tolist()], [*s[1:], len(t)], strict=True):
+                if i < j:
+                    c = np.array(b.column("centres")[i].as_py()).reshape(-1, v.shape[1])
+                    near = v[i:j] @ c.T
+                    pick = np.argsort(-near, axis=1, kind="stable")[:, :overlap]
+                    out += [[{"s": -float(near[r, x]), "k": int(t[i]) * inner + int(x)} for x in row] for r, row in enumerate(pick)]
+            yield pa.RecordBatch.from_arrays([b.column("cid"), pa.array(out, pa.list_(pa.struct([("s", pa.float64()), ("k", pa.int64())])))], ["cid", "near"])
+
+    seen = members.select("t", "cid", "v").join(fitted, "t").sortWithinPartitions("t").mapInArrow(best, "cid long, near array<struct<s: double, k: long>>")
+    picked = seen.groupBy("cid").agg(F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, overlap).alias("near"))
+    own = F.transform("near", lambda x: x["k"])
+    return first.drop("shards").join(picked.select("cid", F.concat(own, F.array_repeat(F.lit(-1).cast("long"), overlap - F.size(own))).alias("shards")), "cid")
+
+
+def shards(points: DataFrame, p: Index, overlap: int) -> DataFrame:
+    """``(cluster, i, j, part, cid, v, n, shards)``: rows of a cell share the first three.
+
+    There are as many clusters as make ``shard`` members each. A cluster of over ``most`` rows is cut into parts by hash; each two
+    parts make a cell.
+    """
+    n = points.count()
+    k = max(1, -(-n * overlap // p.shard))
+    if k <= p.centres:
+        near = nearest(points.select("cid", "h", "v", "n"), centres(sampled(points, p.sample), k), overlap)
+    else:
+        near = nearest_of_two_levels(points, k, p, overlap)
+    return in_cells(materialize(near, "near"), p)
+
+
+def in_cells(near: DataFrame, p: Index) -> DataFrame:
+    members = near.select(F.explode("shards").alias("cluster"), "cid", "h", "v", "n", "shards").where("cluster >= 0")
+    return cut(members, ["cluster"], F.xxhash64("h", "cid"), p.most).drop("h")
+
+
+KEY = ["cluster", "i", "j"]
+
+
+def linked(cells: DataFrame, threshold: float, find: Callable[[np.ndarray, pa.Table], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
+    """``(cid, links, root)`` a class and cell; ``links`` counts other vectors, ``root`` is a class that links reach.
+
+    ``find`` gives the pairs of a cell's unit vectors that may be links; they are verified, and counted in one cell each.
+    """
 
     def look(key, t):
-        ids = t.column("cid").to_numpy()
-        order = np.argsort(ids)
-        v, ids = matrix(t.column("v"))[order], ids[order]
-        lists = t.column("nbrs").combine_chunks().take(pa.array(order))
-        flat, size = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
-        at = np.minimum(np.searchsorted(ids, flat), len(ids) - 1)
-        mine = ids[at] == flat
-        adjacency = np.split(at[mine], np.cumsum(np.bincount(np.repeat(np.arange(len(ids)), size)[mine], minlength=len(ids)))[:-1])
-        a, b = search(unit(v).astype(np.float32), adjacency, threshold, p)
+        t = t.sort_by("cid")
+        ids, v = t.column("cid").to_numpy(), matrix(t.column("v"))
+        a, b = find(unit(v).astype(np.float32), t)
         good = verified(v, a, b, threshold)
         a, b = a[good], b[good]
-        own = matrix(t.column("shards")).astype(np.int32)[order]
-        part = t.column("part").to_numpy()[order]
+        own, part = matrix(t.column("shards")).astype(np.int64), t.column("part").to_numpy()
         good = owned(own, part, a, b, *(k.as_py() for k in key))
         a, b = a[good], b[good]
-        n = t.column("n").to_numpy()[order]
+        n = t.column("n").to_numpy()
         count = np.zeros(len(ids), np.int64)
         np.add.at(count, a, n[b])
         np.add.at(count, b, n[a])
         some = np.flatnonzero(count)
         return pa.table({"cid": ids[some], "links": count[some], "root": ids[forest(a, b, len(ids))][some]})
 
-    return cells.join(united, "cid").groupBy(*key).applyInArrow(look, "cid long, links long, root long")
+    return cells.groupBy(*KEY).applyInArrow(look, "cid long, links long, root long")
+
 
+def links(cells: DataFrame, threshold: float, p: Index) -> DataFrame:
+    """Links found by searching the united graph of the cells' graphs."""
 
-def audit(points: DataFrame, found: DataFrame, threshold: float, p: Index) -> float:
-    """Recall of links, by comparing a sample of ``audit`` classes with all classes by brute force."""
-    ask = points.orderBy(F.xxhash64("cid", F.lit(1)), "cid").select("cid", "v").limit(p.audit).toArrow()
-    if not ask.num_rows:
-        return 1.0
-    q, ids = matrix(ask.column("v")), ask.column("cid").to_numpy()
+    def graph(key, t):
+        t = t.sort_by("cid")
+        ids = t.column("cid").to_numpy()
+        near = build(unit(matrix(t.column("v"))).astype(np.float32), p)
+        return pa.table({"cid": pa.array(ids), "nbrs": pa.array([ids[a].tolist() for a in near], pa.list_(pa.int64()))})
+
+    def find(x: np.ndarray, t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        ids, lists = t.column("cid").to_numpy(), t.column("nbrs").combine_chunks()
+        flat, size = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
+        at = np.minimum(np.searchsorted(ids, flat), len(ids) - 1)
+        mine = ids[at] == flat
+        adjacency = np.split(at[mine], np.cumsum(np.bincount(np.repeat(np.arange(len(ids)), size)[mine], minlength=len(ids)))[:-1])
+        return search(x, adjacency, threshold, p)
+
+    lists = cells.groupBy(*KEY).applyInArrow(graph, "cid long, nbrs array<long>")
+    united = lists.groupBy("cid").agg(F.array_distinct(F.flatten(F.collect_list("nbrs"))).alias("nbrs"))
+    return linked(cells.join(united, "cid"), threshold, find)
+
+
+def all_links(points: DataFrame, threshold: float, p: Index) -> DataFrame:
+    """Links of all pairs, in cells of bounded size: the exact way where the index falls short."""
+
+    def find(x: np.ndarray, t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        out = [np.zeros((2, 0), np.int64)]
+        for lo in range(0, len(x), 256):
+            a, b = np.nonzero(x[lo : lo + 256] @ x.T >= np.float32(threshold - 1e-4))
+            out.append(np.stack([a + lo, b])[:, a + lo < b])
+        return tuple(np.concatenate(out, axis=1))
+
+    every = points.select("cid", "h", "v", "n", F.array(F.col("dim").cast("long")).alias("shards"))
+    return linked(in_cells(every, p), threshold, find)
+
+
+#: Bytes of query vectors that go to every task at once.
+QUERY_BYTES = 32 << 20
+
+
+def audit(points: DataFrame, found: DataFrame, threshold: float, p: Index) -> float | None:
+    """The lesser of the recall of links and of the mean recall of the classes that have some, by comparing 1 class in ``audit`` with
+    all classes by brute force, in blocks of queries. While few of these have links four times as many are asked; None if none has any.
+    """
+    share, n = p.audit, points.count()
+    while True:
+        asked = points.where(F.pmod(F.xxhash64(F.lit(1), "h", "cid"), F.lit(share)) == 0)
+        width = asked.agg(F.count("*") * F.max("dim")).first()[0] or 0
+        blocks = max(1, -(-8 * width // QUERY_BYTES))
+        parts = [answers(points, asked.where(F.pmod(F.xxhash64(F.lit(2), "h", "cid"), F.lit(blocks)) == i), threshold) for i in range(blocks)]
+        true = parts[0]
+        for x in parts[1:]:
+            true = true.unionAll(x)
+        true = true.groupBy("cid").agg(F.sum("links").alias("real")).where("real > 0")
+        got = found.groupBy("cid").agg(F.sum("links").alias("got"))
+        had = F.coalesce("got", F.lit(0))
+        row = true.join(got, "cid", "left").agg(F.sum("real"), F.sum(had), F.avg(had / F.col("real")), F.count("*")).first()
+        if share == 1 or not n or row[3] >= p.enough:
+            return min(row[1] / row[0], row[2]) if row[0] else None
+        share = max(1, share // 4)
+
+
+def answers(points: DataFrame, asked: DataFrame, threshold: float) -> DataFrame:
+    """``(cid, links)``: of the asked classes, links with the classes of each batch."""
+    ask = asked.select("cid", "dim", "v").toArrow()
+    known = {}
+    for d in set(ask.column("dim").to_pylist()):
+        own = ask.filter(pc.equal(ask.column("dim"), d))
+        known[d] = unit(matrix(own.column("v"))), own.column("cid").to_numpy()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if b.num_rows:
-                near = (unit(matrix(b.column("v"))) @ unit(q).T >= threshold) & (b.column("cid").to_numpy()[:, None] != ids[None, :])
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(near.T @ b.column("n").to_numpy())], ["cid", "links"])
-
-    true = points.mapInArrow(run, "cid long, links long").groupBy("cid").agg(F.sum("links").alias("true"))
-    got = found.groupBy("cid").agg(F.sum("links").alias("got"))
-    row = true.join(got, "cid", "left").agg(F.sum("true"), F.sum("got")).first()
-    return (row[1] or 0) / row[0] if row[0] else 1.0
+            for d in set(b.column("dim").to_pylist()) & set(known):
+                own, (q, ids) = b.filter(pc.equal(b.column("dim"), d)), known[d]
+                x, cid, n = unit(matrix(own.column("v"))), own.column("cid").to_numpy(), own.column("n").to_numpy()
+                for lo in range(0, len(q), 256):
+                    some = ids[lo : lo + 256]
+                    near = (q[lo : lo + 256] @ x.T >= threshold) & (cid[None, :] != some[:, None])
+                    yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(near @ n)], ["cid", "links"])
+
+    return points.select("cid", "dim", "v", "n").mapInArrow(run, "cid long, links long")
+
+
+def found_links(points: DataFrame, threshold: float, p: Index, recall: float, one: bool) -> DataFrame:
+    """Links of the classes, by the index while its audit holds. ``one``: each dimension is a cluster, else there is one dimension."""
+    overlap = p.overlap
+    while overlap <= 8 * p.overlap:
+        near = in_cells(points.select("cid", "h", "v", "n", F.array(F.col("dim").cast("long")).alias("shards")), p) if one else shards(points, p, overlap)
+        cells = materialize(near, "cells")
+        found = materialize(links(cells, threshold, p), "links")
+        forget(cells)
+        seen = audit(points, found, threshold, p)
+        if seen is None or seen >= recall:
+            return found
+        forget(found)
+        if one:
+            break
+        overlap *= 2
+    return materialize(all_links(points, threshold, p), "links")
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.9, p: Index = Index(), recall: float = 0.95) -> DataFrame:
     """``vectors(vec_id, embedding, ...)`` -> ``(vec_id, n_links, component_id, kept)``, a row a row.
 
-    Vectors of different lengths don't link. Unusable vectors (null, zero, or with null or non-finite
-    components) link with nothing. A null vec_id is no component's name. The index is built again with twice the
-    overlap while the audit finds less than ``recall``, four times at most.
+    Vectors of different lengths don't link. Unusable vectors (null, empty, zero, or with null or non-finite
+    components) link with nothing. A null vec_id is no component's name. Repeated rows are vectors that link. The index is built
+    again with twice the overlap while the audit finds less than ``recall``, then all pairs are compared. Other columns are not read.
     """
-    known = materialize(classes(vectors), "classes")
-    parts = []
-    for d in sorted(r[0] for r in known.select("dim").distinct().collect()):
-        points, overlap = known.where(F.col("dim") == d), p.overlap
-        while True:
-            found = materialize(links(points, threshold, p, overlap), "links")
-            if overlap >= 8 * p.overlap or audit(points, found, threshold, p) >= recall:
-                break
-            overlap *= 2
-        parts.append(found)
-    if not parts:
-        return vectors.select(F.col("vec_id").cast("long"), F.lit(0).cast("long").alias("n_links"), F.col("vec_id").cast("long").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
+    known = classes(vectors)
+    sizes = known.groupBy("dim").count()
+    # As many lengths as one likes that have a shard's classes or fewer; the driver sees those with more.
+    large = [r[0] for r in sizes.where(F.col("count") > p.shard).select("dim").orderBy("dim").collect()]
+    parts = [found_links(known.where(F.col("dim") == d), threshold, p, recall, False) for d in large]
+    rest = known.where(~F.col("dim").isin(large))
+    parts.append(found_links(rest, threshold, p, recall, True))
     found = parts[0]
     for f in parts[1:]:
         found = found.unionByName(f)
@@ -325,6 +446,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, p: Index = Index
     named = named.withColumn("component", F.coalesce("component", "cid"))
     least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     done = named.join(least, "component").select("cid", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("links"), "component_id")
-    rows = vectors.select(F.col("vec_id").cast("long"), F.xxhash64(F.col("embedding").cast("array<double>")).alias("cid"))
-    out = rows.join(done, "cid", "left").withColumn("component_id", F.coalesce("component_id", "vec_id"))
+    done = known.select("cid", "h", "v").join(done, "cid").drop("cid")
+    every = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("e"))
+    every = every.select("vec_id", F.transform("e", lambda x: x + F.lit(0.0)).alias("v")).withColumn("h", F.xxhash64("v"))
+    out = every.join(done, ["h", "v"], "left").withColumn("component_id", F.coalesce("component_id", "vec_id"))
     return out.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"))

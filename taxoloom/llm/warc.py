@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from taxoloom.llm.common import scratch_path
+from taxoloom.llm.common import materialize, scratch_path
 
 #: Fixed values of the seekable format.
 SKIPPABLE_SEEK, SKIPPABLE_INDEX, SEEKABLE = 0x184D2A5E, 0x184D2A50, 0x8F92EAB1
@@ -150,8 +150,9 @@ def write_bundles(pages: DataFrame, folder: str, min_bytes: int = 0, frame_bytes
 
     The manifest ``(bundle, record, page_id, frame, offset, length, frame_at, frame_packed, frame_bytes)`` is a
     table in ``folder``, written when all bundles are. A task that is tried again writes bundles of other
-    names, so the manifest names whole ones only. Null html is an empty payload. Repeated rows are repeated
-    records; a null page_id is written as ``none``.
+    names, so the manifest names whole ones only. Null html is an empty payload; a payload of any length is one record in a frame
+    of its own. Repeated rows are repeated records; a null page_id is written as ``none``. Other columns are not read. An empty
+    table writes an empty manifest.
     """
     spark = pages.sparkSession
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary").alias("payload"))
@@ -190,21 +191,27 @@ def write_bundles(pages: DataFrame, folder: str, min_bytes: int = 0, frame_bytes
 MANIFEST = "bundle string, record long, page_id long, frame long, offset long, length long, frame_at long, frame_packed long, frame_bytes long"
 
 
-def read_bundles(manifest: DataFrame, folder: str) -> DataFrame:
+def read_bundles(manifest: DataFrame, folder: str, part_bytes: int = 32 << 20) -> DataFrame:
     """Read records by frames: ``(page_id, url, record_type, refers_to, payload_digest, payload_bytes, payload)``.
 
-    A row of work is a frame, read by its place in the bundle. A response's digest is checked against
+    A row of work is a frame, read by its place in the bundle; frames are dealt out by their bytes. A response's digest is checked against
     its payload; a revisit's ``payload`` is null and its length is that of its HTTP head.
     """
-    work = manifest.groupBy("bundle", "frame", "frame_at", "frame_packed", "frame_bytes").agg(F.count("*").alias("records"))
+    work = materialize(manifest.groupBy("bundle", "frame", "frame_at", "frame_packed", "frame_bytes").agg(F.count("*").alias("records")), "frames")
+    # The rows are small whatever they stand for: by their own size all would go to one task.
+    spark = manifest.sparkSession
+    parts = max(-(-(work.agg(F.sum("frame_bytes")).first()[0] or 0) // part_bytes), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    work = work.repartition(parts, "bundle", "frame").sortWithinPartitions("bundle", "frame")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = pafs.FileSystem.from_uri(folder)
+        name, f = None, None
         for b in batches:
             for x in b.to_pylist():
-                with fs.open_input_file(f"{base}/{x['bundle']}") as f:
-                    f.seek(x["frame_at"])
-                    data = zstandard.ZstdDecompressor().decompress(f.read(x["frame_packed"]), max_output_size=x["frame_bytes"])
+                if name != x["bundle"]:
+                    name, f = x["bundle"], fs.open_input_file(f"{base}/{x['bundle']}")
+                f.seek(x["frame_at"])
+                data = zstandard.ZstdDecompressor().decompress(f.read(x["frame_packed"]), max_output_size=x["frame_bytes"])
                 out, at = [], 0
                 while at < len(data):
                     head, block, at = parse(data, at)

@@ -219,38 +219,89 @@ def test_exponent(spark):
     assert mixing.fit_exponent(shares, max_repeats=1000.0) == 0.0 and mixing.fit_exponent(shares, entropy=0.1) == 1.0
 
 
-def test_mix(spark):
+def md5_key(*parts):
+    return int(hashlib.md5(":".join(map(str, parts)).encode()).hexdigest()[:8], 16)
+
+
+def slow_mix(rows, exponent, cells, size=None, seed=0):
+    """Brute force: each source's rows in the order of blocks and rows of an epoch, as many epochs and as much of the next as its tokens allow.
+    ``rows``: (source, h, copy, tokens). Returns how often each row is taken, and each source's weight and repeats."""
+    tokens = Counter()
+    for s, _, _, n in rows:
+        tokens[s] += n
+    total = sum(tokens.values())
+    share = {s: n / total for s, n in tokens.items() if n}
+    norm = sum(p**exponent for p in share.values())
+    level = max(p ** (1 - exponent) for p in share.values()) if size is None else size / total / norm
+    repeats = {s: round(share[s] ** (exponent - 1) * level, 9) if s in share else 1.0 for s in tokens}
+    taken = Counter()
+    for s in tokens:
+        key = "" if s is None else f"={s}"
+        whole = math.floor(repeats[s])
+        room = math.floor((repeats[s] - whole) * tokens[s])
+        cell = lambda h, c: md5_key(seed, "cell", h, c) % cells
+        order = sorted((md5_key(seed, "block", whole, key, cell(h, c)), cell(h, c), md5_key(seed, "row", whole, h, c), h, c, n) for x, h, c, n in rows if x == s)
+        used, open_ = 0, room > 0 or s in share
+        for i, (_, k, _, h, c, n) in enumerate(order):
+            # Past the last row that fits, whole blocks without room end the epoch.
+            taken[h, c] += whole
+            if open_ and used + n <= room and not (used == room and all(x[5] for x in order[i:] if x[1] == k)):
+                taken[h, c] += 1
+                used += n
+            else:
+                open_ = False
+    return taken, {s: share[s] ** exponent / norm if s in share else 0.0 for s in tokens}, repeats
+
+
+@pytest.mark.parametrize("rule", [{"max_repeats": 2.0}, {"max_repeats": None, "entropy": 1.2, "epochs": 1.0}, {"max_repeats": 3.0, "budget": 3000}])
+def test_mix(spark, rule):
     rng = random.Random(2)
-    rows = [(i, " ".join(["w"] * rng.randint(0, 40)), rng.choice(["big"] * 12 + ["mid"] * 4 + ["low", None]), i) for i in range(900)]
-    rows += [(900, None, "void", 0), (901, "", "void", 0), (None, "a b", "big", 0), (5, rows[5][1], rows[5][2], 5)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, weight int")
-    out = mixing.mix(docs, max_repeats=2.0)
-    assert out.columns[:4] == docs.columns
-    got = out.collect()
-    tokens = defaultdict(int)
-    for _, t, s, _ in rows:
-        tokens[s] += len((t or "").split())
-    copies = Counter((r.doc_id, r.source) for r in got)
-    assert all(copies[i, s] >= 1 for i, _, s, _ in rows)
-    assert copies[5, rows[5][2]] % 2 == 0
-    taken = defaultdict(int)
+    rows = [(i, " ".join(["w"] * rng.randint(1, 40)), rng.choice(["big"] * 12 + ["mid"] * 4 + ["low", None]), i, "x", i) for i in range(900)]
+    rows += [(None, "a b", "big", 0, "x", 0), (None, "a b c", "big", 0, "x", 0), rows[5], (5, "other", "mid", 1, "y", 1)] + [(None, "same", "low", 0, "x", 0)] * 1200
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _epoch int, own string, h int")
+    got = mixing.mix(docs, **rule).collect()
+    assert all(tuple(r.own) in set(rows) for r in got)
+    known = [(r.own.source, r.h, r.copy, r.n) for r in mixing.keyed(docs).collect()]
+    assert len(known) == len(rows) and Counter(tuple(r.own) for r in mixing.keyed(docs).collect()) == Counter(rows)
+    tokens = Counter()
+    for s, _, _, n in known:
+        tokens[s] += n
+    p = np.array([n / sum(tokens.values()) for n in tokens.values()])
+    shares = spark.createDataFrame([(float(x),) for x in p], "p double")
+    exponent = mixing.fit_exponent(shares, rule["max_repeats"], rule.get("entropy"))
+    size = rule.get("budget") or (sum(tokens.values()) if rule.get("epochs") else None)
+    taken, weights, repeats = slow_mix(known, exponent, -(-len(rows) // mixing.CELL_ROWS), size)
+    spelled = {(r.h, r.copy): tuple(r.own) for r in mixing.keyed(docs).collect()}
+    want = Counter()
+    for k, n in taken.items():
+        want[spelled[k]] += n
+    assert Counter(tuple(r.own) for r in got) == +want
     for r in got:
-        taken[r.source] += len((r.text or "").split())
-    rate = {r.source: r._repeats for r in got}
-    assert min(rate[s] for s in tokens if tokens[s]) == 1 and max(rate.values()) <= 2 + 1e-9
-    for s, n in tokens.items():
-        assert taken[s] <= rate[s] * n + 1e-6 and (n == 0 or taken[s] > rate[s] * n - 41)
-    weights = {r.source: r._weight for r in got if tokens[r.source]}
-    assert sum(weights.values()) == pytest.approx(1)
-    # A partial epoch takes whole blocks, and a beginning of one more.
-    last = [r for r in got if r.source == "mid" and r._epoch == 1]
-    every = {(r._block, r._row) for r in got if r.source == "mid" and r._epoch == 0}
-    assert 0 < len(last) < len(every)
-    again = mixing.mix(docs.repartition(7), max_repeats=2.0).collect()
+        assert r.weight == pytest.approx(weights[r.own.source]) and r.repeats == pytest.approx(repeats[r.own.source])
+    if "max_repeats" in rule and not size:
+        assert min(repeats.values()) == 1 and max(repeats.values()) <= 2 + 1e-9 and set(want) == set(rows)
+    again = mixing.mix(docs.repartition(7), **rule).collect()
     assert Counter(map(str, again)) == Counter(map(str, got))
+
+
+def test_mix_without_tokens(spark):
+    docs = spark.createDataFrame([(900, None, "void"), (901, "", "void"), (None, " ", None), (1, "a b", "s")], "doc_id long, text string, source string")
+    assert Counter(r.own.doc_id for r in mixing.mix(docs).collect()) == Counter([900, 901, None, 1])
+    assert Counter(r.own.doc_id for r in mixing.mix(docs.where("doc_id > 899")).collect()) == Counter([900, 901])
     assert mixing.mix(docs.limit(0)).count() == 0
-    less = Counter(r.source for r in mixing.mix(docs, max_repeats=2.0, budget=3000).collect())
-    assert 0 < sum(less.values()) < len(rows)
+
+
+def test_equal_rows_spread(spark):
+    """Rows that recur are numbered, the same in each run, and none is lost."""
+    from taxoloom.llm.common import spread
+
+    rows = [(i % 7, None) for i in range(50)] + [(None, "x")] * 2345 + [(1, "y")] * 1000
+    df = spark.createDataFrame(rows, "a int, b string").repartition(5)
+    got = [tuple(r) for r in spread(df).collect()]
+    assert Counter(r[:2] for r in got) == Counter(rows)
+    assert sorted(r[3] for r in got if r[:2] == (None, "x")) == list(range(2345))
+    assert {r[3] for r in got if r[:2] != (None, "x")} == {0}
+    assert spread(df.limit(0)).count() == 0
 
 
 # --- packing ---
@@ -283,7 +334,7 @@ def test_pack_documents(spark):
     rng = random.Random(3)
     rows = [(i, " ".join(rng.choice(["alpha", "Beta,", "gamma3", "Ω"]) for _ in range(rng.choice([0, 3, 40, 200, 700])))) for i in range(150)] + [(150, None), (None, "null id"), (7, rng.choice(["same id", "x"])), (8, None), (8, None)]
     docs = spark.createDataFrame([(d, t, 0) for d, t in rows], "doc_id long, text string, start int")
-    got = packing.pack_documents(docs, tokenizer_path(), capacity=128, group_docs=40).collect()
+    got = packing.pack_documents(docs, tokenizer_path(), capacity=128, group_bytes=40_000).collect()
     tok = Tokenizer.from_file(tokenizer_path())
     ids = {}
     want = Counter()
@@ -302,12 +353,15 @@ def test_pack_documents(spark):
         p.sort()
         assert [o for o, _ in p] == [sum(n for _, n in p[:i]) for i in range(len(p))]
         fill.append(sum(n for _, n in p))
-    assert max(fill) <= 128 and sum(128 - f for f in fill) < 128 * -(-len(rows) // 40)
+    assert max(fill) <= 128 and sum(128 - f for f in fill) < 128 * -(-sum(len((t or '').encode()) + 64 for _, t in rows) // 40_000)
     for d, x in want:
         if len(ids[d]) == 1:
             own = sorted((r.start, r.length) for r in got if r.doc_id == d)
             assert own[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(own, own[1:])) and sum(n for _, n in own) == len(x)
     assert packing.pack_documents(docs.limit(0), tokenizer_path()).count() == 0
+    many = packing.pack_documents(spark.createDataFrame([(None, "same text")] * 20_000, "doc_id long, text string"), tokenizer_path(), group_bytes=200_000)
+    sizes = Counter(r.sequence_id >> 32 for r in many.collect())
+    assert len(sizes) > 4 and max(sizes.values()) < 2 * 20_000 / len(sizes)
 
 
 def test_shared_dir_is_needed_on_a_cluster(spark):

@@ -1,11 +1,14 @@
 """Embedding and chat operators, the pipeline, and the registered queries on tiny tables."""
 
+import hashlib
+import itertools
 import random
 from collections import Counter
 
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from taxoloom.llm import chat, mixing, queries, vectors
@@ -27,7 +30,7 @@ def slow_links(v, threshold=0.9):
         label = new
 
 
-@pytest.mark.parametrize("p", [vectors.Index(), vectors.Index(shard=60, most=90, overlap=3)])
+@pytest.mark.parametrize("p", [vectors.Index(), vectors.Index(shard=60, most=90, overlap=3), vectors.Index(shard=40, most=300, overlap=4, centres=8)])
 def test_near_duplicates(spark, p):
     rng = np.random.default_rng(0)
     base = rng.normal(size=(200, 16))
@@ -51,6 +54,24 @@ def test_near_duplicates(spark, p):
     assert by[None].component_id == label[3] and not by[None].kept
 
 
+def test_rare_links_are_audited(spark):
+    """A few links among many vectors: the audit asks until it has seen one, and counts what a poor result misses."""
+    rng = np.random.default_rng(1)
+    v = rng.normal(size=(3000, 24))
+    v[:10] = v[100:110] + 0.01 * rng.normal(size=(10, 24))
+    df = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(v)], "vec_id long, embedding array<double>")
+    known = vectors.classes(df)
+    p = vectors.Index()
+    none = spark.createDataFrame([], "cid long, links long, root long")
+    assert vectors.audit(known, none, 0.9, p) == 0
+    assert vectors.audit(known.where("rep between 200 and 260"), none, 0.9, p) is None
+    every = vectors.all_links(known, 0.9, vectors.Index(most=400))
+    assert vectors.audit(known, every, 0.9, p) == 1
+    count, label = slow_links(v)
+    got = {r.vec_id: r for r in vectors.near_duplicates(df, p=vectors.Index(degree=1, near=1, far=1, beam=1, medoids=1, overlap=1)).collect()}
+    assert [got[i].n_links for i in range(3000)] == count.tolist() and [got[i].component_id for i in range(3000)] == label.tolist()
+
+
 def test_no_vectors(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert vectors.near_duplicates(df).count() == 0
@@ -80,41 +101,82 @@ def speak(seed, n):
     return rows
 
 
+COLS = "conv_id long, turn long, role string, text string"
+
+
 def test_chat_held_out(spark):
-    train = spark.createDataFrame(speak(1, 300), "conv_id long, turn long, role string, text string")
-    model = chat.fit_on(chat.segments(train), sample=300)
-    rows = speak(2, 150) + [(900, None, "user", "no number"), (901, 0, None, None), (902, 0, "user", ""), (903, 0, "tool", "x")]
-    test = spark.createDataFrame([(*r, 1) for r in rows + rows[:5]], "conv_id long, turn long, role string, text string, segment int")
-    grouped = chat.segments(test)
-    got = chat.parse_transcripts(chat.transcripts(grouped), model).collect()
+    """Roles of conversations other than those the model is fitted on, two fifths of them in styles that it hasn't seen."""
+    seen = [x for x in speak(1, 600) if hashlib.md5(str(x[0]).encode()).digest()[0] % len(chat.STYLES) not in (1, 3)]
+    model = chat.fit_on(spark.createDataFrame(seen, COLS))
+    rows = [(c + 1000, *r) for c, *r in speak(2, 150)]
+    got = chat.parse_transcripts(chat.transcripts(spark.createDataFrame([(*r, 1, "x") for r in rows], COLS + ", part int, transcript string")), model).collect()
     said = {}
-    for c, t, role, text in sorted((r for r in rows if r[0] < 900)):
+    for c, t, role, text in rows:
         said.setdefault(c, []).append((role, text.strip()))
     heard = {}
-    for r in sorted(got, key=lambda r: (r.conv_id, r.segment, r.turn)):
+    for r in sorted(got, key=lambda r: (r.conv_id, r.turn)):
         heard.setdefault(r.conv_id, []).append((r.role, r.text))
     turns = sum(map(len, said.values()))
     right = sum((Counter(said[c]) & Counter(heard.get(c, []))).total() for c in said)
     assert right / turns > 0.8, right / turns
     marked = [c for c in said if len(said[c]) == len(heard.get(c, []))]
     assert len(marked) > 0.6 * len(said)
-    assert all(r.rendered.startswith(f"<|im_start|>{r.role}\n") and r.rendered.endswith("<|im_end|>") for r in got)
-    assert chat.parse_transcripts(chat.transcripts(chat.segments(test.limit(0))), model).count() == 0
-
-
-def test_segments_are_bounded(spark):
-    rows = [(1, 0, "user", f"t{i}") for i in range(100)] + [(1, 70, "user", "x"), (None, 0, "user", "y"), (2, None, "user", "z")]
-    got = chat.segments(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), most=20).collect()
-    assert max(len(r.turns) for r in got) <= 30 and sum(len(r.turns) for r in got) == len(rows)
-    assert {(r.conv_id, r.segment) for r in got} >= {(1, 1), (None, 0)} and len({(r.conv_id, r.segment) for r in got}) == len(got)
-
-
-def test_chat_edges():
-    model = chat.fit([chat.render_raw(str(i), [("user", "hi there?"), ("assistant", "well\nyes")])[:2] for i in range(60)])
+    assert all(r.rendered == chat.canonical(r.role, r.text) for r in got)
+
+
+def test_viterbi_finds_the_best_of_all_paths():
+    """Brute force over all paths of states; and the parts of a run sum up to the same."""
+    rng = np.random.default_rng(3)
+    lines = ["User: hi", "", "A: yes?", "- no", "x " * 60]
+    for _ in range(5):
+        model = chat.fit(rng.integers(0, 9, len(chat.counts([], []))).astype(float))
+        for n in (1, 2, 4):
+            some = [lines[i] for i in rng.integers(0, len(lines), n)]
+            score = model.scores(some, chat.START)
+            worth = lambda p: model.first[p[0]] + score[p[0], 0] + sum(model.step[a, b] + score[b, t + 1] for t, (a, b) in enumerate(zip(p, p[1:])))
+            best = max(map(worth, itertools.product(range(chat.K), repeat=n)))
+            assert worth(model.viterbi(some)) == best
+            assert model.span(some, chat.START)[0].max() == best
+        whole = model.span(lines, chat.PLAIN)
+        first, second = model.span(lines[:2], chat.PLAIN), model.span(lines[2:], chat.BLANK)
+        assert (whole == (first[:, :, None] + second[None]).max(axis=1)).all()
+
+
+def test_where_a_conversation_is_cut_does_not_matter(spark):
+    """Long conversations over many partitions, equal rows in quantity, and cuts within a turn: the same turns as in one piece."""
+    rng = random.Random(4)
+    long = speak(5, 40)
+    rows = [(1, i, r, x) for i, (_, _, r, x) in enumerate(long)] + [(2, 0, "user", "yes")] * 2500 + [(None, None, None, None), (None, 2, "tool", ""), (3, None, "user", "no number"), (3, None, "assistant", "so\nwhat"), (4, 0, "user", "hi")]
+    df = spark.createDataFrame(rows, COLS)
+    model = chat.fit_on(df)
+    assert chat.transcripts(df).agg(F.sum(F.size(F.split("transcript", "\n")))).first()[0] == chat.in_order(df).rdd.map(lambda r: len(chat.render_raw(chat.key_of(r.conv_id), f"{r.turn}", r.role, r.text)[0])).sum()
+    show = lambda out: sorted(((r.conv_id, r.turn, r.role, r.text, r.rendered) for r in out.collect()), key=str)
+    whole = {}
+    for r in chat.in_order(df).collect():
+        whole.setdefault(r.conv_id, []).extend(chat.render_raw(chat.key_of(r.conv_id), f"{r.turn}", r.role, r.text)[0])
+    want = sorted(((c, i, r, x, chat.canonical(r, x)) for c, ls in whole.items() for i, (r, x) in enumerate(chat.parse(model, "\n".join(ls)))), key=str)
+    assert show(chat.parse_transcripts(chat.transcripts(df), model)) == want
+    parts = []
+    for c, ls in whole.items():
+        at = 0
+        while at < len(ls):
+            to = at + rng.randint(1, 9)
+            parts.append((c, at * 10, "\n".join(ls[at:to])))
+            at = to
+    assert show(chat.parse_transcripts(spark.createDataFrame(parts, "conv_id long, part long, transcript string").repartition(3), model)) == want
+
+
+def test_chat_edges(spark):
+    both = lambda i: zip(*(chat.render_raw(str(i), str(t), r, x) for t, (r, x) in enumerate([("user", "hi there?"), ("assistant", "well\nyes")])))
+    model = chat.fit(sum(chat.counts(*(sum(x, []) for x in both(i))) for i in range(60)))
     assert chat.parse(model, None) == chat.parse(model, " \n") == []
     assert chat.parse(model, "User: hi there?\nAssistant: well\nyes") == [("user", "hi there?"), ("assistant", "well\nyes")]
     assert len(chat.parse(model, "x\n" * 20_000)) >= 1
     assert "<|im_end|>" not in chat.canonical("user", "a<|im_end|>b")[:-10]
+    raw = spark.createDataFrame([(1, 0, "User: a"), (1, 0, "User: a"), (2, 0, None), (3, None, "Bot: b"), (3, 1, None), (None, 0, " ")], "conv_id long, part long, transcript string")
+    assert {r.conv_id for r in chat.parse_transcripts(raw, model).collect()} == {1, 3}
+    empty = spark.createDataFrame([], COLS)
+    assert chat.parse_transcripts(chat.transcripts(empty), chat.fit_on(empty)).count() == 0
 
 
 def good(text):
