@@ -34,7 +34,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Small sources are repeated, twice at most; nothing is dropped. A copy is a row of its own."""
-    return mixing.mix(docs, max_repeats=2.0).select(*docs.columns)
+    return mixing.mix(docs, max_repeats=2.0).select("own.*")
 
 
 def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
