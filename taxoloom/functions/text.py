@@ -112,7 +112,7 @@ GROUP_BASE = r"(?s)^(?:[IVX]+\.\d+\.(?U)\s+)?(.+?)(?U)\s+—\s+[\d.]+\s+tín ch
 
 def parse_group_name(c: Column | str) -> Column:
     """``struct(section, base, credits, sub)``; a name of another form is ``('?', name, 0, null)``. ``sub`` is
-    upper-cased and without a leading ``Nhóm``; where it isn't an identifier it is left for ``unicode.slug_upper``."""
+    upper-cased and without a leading ``Nhóm``; where it isn't an identifier, :func:`reshape.group_ids` makes it one."""
     s = F.trim(col(c))
     part = lambda i: F.regexp_extract(s, GROUP_NAME, i)
     fits = s.rlike(GROUP_NAME)
@@ -200,6 +200,12 @@ def sigmoid(c: Column | str) -> Column:
     return 1 / (1 + F.exp(-col(c)))
 
 
+def softmax_last(scores: Column | str) -> Column:
+    """The probability of the last class of an array of scores; a scorer's output where it has more than one."""
+    last = F.element_at(col(scores), -1)
+    return 1 / F.aggregate(col(scores), F.lit(0.0), lambda a, x: a + F.exp(x.cast("double") - last.cast("double")))
+
+
 def outcome_class(c: Column | str) -> Column:
     return F.when(contains_any(c, config.OUTCOME_ATTITUDE), "TU_CHU_TRACH_NHIEM").when(contains_any(c, config.OUTCOME_KNOWLEDGE), "KIEN_THUC").otherwise("KY_NANG")
 

@@ -37,7 +37,8 @@ def consecutive_dedup(df: DataFrame, by: Sequence[str], order: Sequence[str], va
 
 
 def suffix_duplicates(df: DataFrame, by: Sequence[str], key: str, order: Sequence[str], into: str) -> DataFrame:
-    """A key that occurs once in its group stays; else its occurrences get ``_A``, ``_B`` and so on."""
+    """A key that occurs once in its group stays; else its occurrences get ``_A``, ``_B`` and so on, as characters from ``A`` up:
+    past the 26th they are no letters, as in the flow that others read."""
     same = Window.partitionBy(*by, key)
     n = F.count("*").over(same)
     at = F.row_number().over(same.orderBy(*order))
@@ -121,4 +122,4 @@ def origin_sentences(sims: DataFrame) -> DataFrame:
 
 def sample_rows(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
     """``n`` rows chosen by a seeded hash of a key: the same rows however the table is partitioned."""
-    return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(n)
+    return df.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), key).limit(n)

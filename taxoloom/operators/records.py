@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from taxoloom.functions import text as tx
-from taxoloom.operators.ranking import keep_first
 from taxoloom.operators.retrieval import ordered_distinct
 
 
@@ -57,11 +56,81 @@ def concept_tags(mentions: DataFrame) -> DataFrame:
     return rows.groupBy("course_code", "normalized").agg(F.min_by(F.trim("mention"), F.struct("pos", "mention")).alias("text"), ordered_distinct("evidence_id", "pos").alias("evidence_ids"))
 
 
-def concept_edges(tags: DataFrame, candidates: DataFrame) -> DataFrame:
-    """``candidates(course_code, uri, mentions array, confidence)`` -> tag to skill, one an edge, the best confidence."""
-    pairs = candidates.select("course_code", "uri", "confidence", F.explode("mentions").alias("m")).withColumn("normalized", F.lower(F.trim("m")))
-    joined = pairs.join(tags.select("course_code", "normalized"), ["course_code", "normalized"], "left_semi")
-    return keep_first(joined.select("normalized", "uri", F.round("confidence", 6).alias("confidence"), (-F.col("confidence")).alias("neg")), ["normalized", "uri"], ["neg"]).drop("neg")
+def concept_edges(candidates: DataFrame) -> DataFrame:
+    """``candidates(course_code, uri, pos, mentions array, confidence, ...)`` -> ``(course_code, normalized, uri, confidence)``: tag to skill,
+    one an edge and course, that of the candidate that comes first. Candidates in any number may name one skill."""
+    pairs = candidates.select("course_code", "uri", "confidence", "pos", F.explode("mentions").alias("m")).withColumn("normalized", F.lower(F.trim("m")))
+    first = F.min_by(F.col("confidence"), F.struct("pos", "confidence"))
+    return pairs.groupBy("course_code", "normalized", "uri").agg(F.round(first, 6).alias("confidence"))
+
+
+def support_tags(concepts: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Tags of support concepts, ``(course_code, normalized, text, evidence_ids, loai)``: classed by the skill type of the first candidate
+    (``candidates(course_code, pos, skill_type, mentions)``) that has the concept, and by the concept's words."""
+    said = candidates.select("course_code", "pos", "skill_type", F.explode("mentions").alias("m")).withColumn("normalized", F.lower(F.trim("m"))).where("normalized <> ''")
+    kinds = said.groupBy("course_code", "normalized").agg(F.min_by("skill_type", F.struct("pos", "skill_type")).alias("skill_type"))
+    tags = concept_tags(concepts).join(kinds, ["course_code", "normalized"], "left")
+    return tags.withColumn("loai", tx.concept_class("text", "skill_type")).drop("skill_type")
+
+
+def tag_documents(tags: DataFrame, edges: DataFrame, role: str) -> DataFrame:
+    """``(course_code, document)``: a course's tags, its edges to them, those from tags to skills, and their numbers, as one JSON text."""
+    a = tags.groupBy("course_code").agg(
+        F.sort_array(F.collect_list(F.struct("normalized", "text", *(["loai"] if "loai" in tags.columns else [])))).alias("concept_tags"),
+        F.sort_array(F.collect_list(F.struct(F.col("normalized").alias("concept_tag"), F.lit(role).alias("role"), F.col("evidence_ids").alias("source_evidence_ids")))).alias("has_concept_edges"),
+    )
+    source = "teaches_B" if role == "teach" else "supports_M5"
+    b = edges.groupBy("course_code").agg(F.sort_array(F.collect_list(F.struct(F.col("normalized").alias("concept_tag"), F.col("uri").alias("esco_uri"), "confidence", F.lit(source).alias("pipeline_source")))).alias("evidence_for_edges"))
+    out = a.join(b, "course_code", "full")
+    lists = ("concept_tags", "has_concept_edges", "evidence_for_edges")
+    for c in lists:
+        out = out.withColumn(c, F.coalesce(c, F.array().cast(out.schema[c].dataType)))
+    statistics = F.struct(*(F.size(c).alias(f"total_{c}") for c in lists)).alias("statistics")
+    return out.select("course_code", F.to_json(F.struct("course_code", *lists, statistics)).alias("document"))
+
+
+def teacher_records(candidates: DataFrame, links: DataFrame, units: DataFrame, meta: DataFrame) -> DataFrame:
+    """Records of linked skills with nested provenance.
+
+    ``candidates(course_code, uri, label, confidence, mismatch_penalty_applied, bm25_rank, dense_rank, esco_rank, ...)`` keep their columns.
+    ``links(course_code, uri, evidence_id, mention, pos, source, head_type)``; ``units(evidence_id, source_type, source_id, text, subtype,
+    evidence_weight, is_boilerplate)``; ``meta(uri, label, skill_type)``. Evidence keeps the order of first mention; links to missing
+    units have none, but count for the head types and sources. The head signal is the majority of heads; a record is flagged where it isn't
+    the concept's type, or a penalty was applied.
+    """
+    each = links.groupBy("course_code", "uri", "evidence_id").agg(F.min("pos").alias("pos"), F.array_join(ordered_distinct("mention", "pos"), "; ").alias("matched_mention"))
+    some = each.join(units, "evidence_id")
+    evidence = F.struct("pos", "evidence_id", "source_type", "source_id", "text", "subtype", F.nullif("matched_mention", F.lit("")).alias("matched_mention"), "evidence_weight", "is_boilerplate")
+    nested = some.groupBy("course_code", "uri").agg(F.array_sort(F.collect_list(evidence)).alias("evidence"))
+    heads = links.groupBy("course_code", "uri").agg(F.count_if(F.col("head_type") == "skill").alias("_s"), F.count_if(F.col("head_type") == "knowledge").alias("_k"), F.count("head_type").alias("_h"), F.array_join(F.array_sort(F.collect_set("source")), ",").alias("_sources"))
+    known = meta.select("uri", F.col("label").alias("_label"), F.col("skill_type").alias("_type"))
+    out = candidates.join(nested, ["course_code", "uri"], "left").join(heads, ["course_code", "uri"], "left").join(known, "uri", "left")
+    skill_type = F.coalesce("_type", F.lit("skill/competence"))
+    concept = tx.concept_kind(skill_type)
+    signal = F.when(F.col("_h") > 0, F.when(F.col("_s") >= F.col("_k"), "skill").otherwise("knowledge"))
+    agrees = F.coalesce(signal == concept, F.lit(True))
+    own = [c for c in candidates.columns if c not in ("label", "mismatch_flagged", "esco_type_agrees", "concept_type", "skill_type")]
+    return out.select(
+        *own, F.coalesce("_label", "label").alias("preferred_label"), skill_type.alias("skill_type"), concept.alias("concept_type"),
+        F.when(concept == "knowledge", "TEACHES_KNOWLEDGE").otherwise("TEACHES_SKILL").alias("relation_type"), tx.uri_tail(F.col("uri").cast("string")).alias("skill_id"),
+        F.coalesce("evidence", F.array().cast(out.schema["evidence"].dataType)).alias("evidence"),
+        F.struct(F.coalesce(F.nullif("_sources", F.lit("")), F.lit("unknown")).alias("source"), signal.alias("matched_head_type"), agrees.alias("esco_type_agrees")).alias("extraction"),
+        F.struct("bm25_rank", "dense_rank", F.col("esco_rank").alias("esco_extract_skill_rank")).alias("retrieval"),
+        (~agrees | F.coalesce("mismatch_penalty_applied", F.lit(False))).alias("mismatch_flagged"), agrees.alias("esco_type_agrees"),
+    )
+
+
+TIERS = ("PRIMARY", "SECONDARY", "OPTIONAL", "low_confidence")
+
+
+def summary_documents(rows: DataFrame) -> DataFrame:
+    """``rows(course_code, uri, preferred_label, concept_type, tier, decision, confidence)`` -> a course's summary ``(course_code, total_records,
+    skill_count, knowledge_count, tier_distribution, skills, knowledges)``: counts by tier, zero where there is none, and entries by uri."""
+    entry = F.struct("uri", "preferred_label", "confidence", "tier", "decision")
+    listed = lambda kind: F.sort_array(F.collect_list(F.when(F.col("concept_type") == kind, entry)))
+    tiers = F.create_map(*(x for k in TIERS for x in (F.lit(k), F.count_if(F.col("tier") == k))))
+    out = rows.groupBy("course_code").agg(F.count("*").alias("total_records"), listed("skill").alias("skills"), listed("knowledge").alias("knowledges"), tiers.alias("tier_distribution"))
+    return out.select("course_code", "total_records", F.size("skills").cast("long").alias("skill_count"), F.size("knowledges").cast("long").alias("knowledge_count"), "tier_distribution", "skills", "knowledges")
 
 
 def summary(records: DataFrame, by: list[str]) -> DataFrame:

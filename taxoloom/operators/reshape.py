@@ -7,32 +7,53 @@ from pyspark.sql import functions as F
 
 from taxoloom import config
 from taxoloom.functions import text as tx
+from taxoloom.functions import unicode as un
 from taxoloom.operators.ranking import global_batches, keep_first, suffix_duplicates
 
 
 def group_ids(groups: DataFrame) -> DataFrame:
-    """``groups(ma_ctdt, pos, ten_nhom)`` -> section, base name, credits, and a group id that is unique in its programme."""
+    """``groups(ma_ctdt, pos, ten_nhom)`` -> section, base name, credits, and a group id that is unique in its programme.
+
+    Credits that a group declares (``so_tin_chi_yeu_cau``) come before those in its name. A sub-code that is no identifier becomes a slug.
+    """
     parsed = groups.withColumn("_p", tx.parse_group_name("ten_nhom")).select("*", "_p.*").drop("_p")
+    parsed = parsed.withColumn("sub", F.when(F.col("sub").rlike("^[A-Z0-9_]+$"), F.col("sub")).otherwise(un.slug_upper(F.col("sub"))))
+    if "so_tin_chi_yeu_cau" in groups.columns:
+        parsed = parsed.withColumn("credits", F.coalesce("so_tin_chi_yeu_cau", "credits")).drop("so_tin_chi_yeu_cau")
     raw = F.concat_ws("_", F.replace(F.col("section"), F.lit("."), F.lit("_")), F.nullif(F.col("sub"), F.lit("")))
     return suffix_duplicates(parsed.withColumn("raw_id", raw), ["ma_ctdt"], "raw_id", ["pos"], "nhom_id")
 
 
+def fields(df: DataFrame, column: str) -> list[str]:
+    """Names of the fields of an array of structs."""
+    return df.schema[column].dataType.elementType.fieldNames()
+
+
 def flatten(programmes: DataFrame) -> dict[str, DataFrame]:
-    """Nested programmes -> ``sections``, ``groups``, ``courses``, ``relations``.
+    """Nested programmes -> ``header``, ``sections``, ``groups``, ``courses``, ``relations``.
 
-    ``programmes(ma_ctdt, nhom_hoc_phan array<struct<ten_nhom, loai_nhom, hoc_phan array<struct<ma_hoc_phan, ten_hoc_phan,
-    so_tin_chi_tong, quan_he array<struct<loai, ma_hoc_phan>>>>>>)``. A relation's name is looked up in its own programme.
+    ``programmes(ma_ctdt, nhom_hoc_phan array<struct<ten_nhom, loai_nhom, [so_tin_chi_yeu_cau], hoc_phan array<struct<ma_hoc_phan, ten_hoc_phan,
+    so_tin_chi_tong, [hoc_ky_goi_y], quan_he array<struct<loai, ma_hoc_phan>>>>>>, [chuong_trinh_dao_tao struct<ten_ctdt, bac_dao_tao, phien_ban>],
+    [source_file])``. A section has the name and credits of its first group. A relation's name is looked up in its own programme.
     """
-    g = programmes.select("ma_ctdt", F.posexplode("nhom_hoc_phan").alias("pos", "g")).select("ma_ctdt", "pos", "g.ten_nhom", "g.loai_nhom", "g.hoc_phan")
+    own = fields(programmes, "nhom_hoc_phan")
+    declared = ["g.so_tin_chi_yeu_cau"] if "so_tin_chi_yeu_cau" in own else []
+    g = programmes.select("ma_ctdt", F.posexplode("nhom_hoc_phan").alias("pos", "g")).select("ma_ctdt", "pos", "g.ten_nhom", "g.loai_nhom", *declared, "g.hoc_phan")
     groups = group_ids(g)
-    courses = groups.select("ma_ctdt", "nhom_id", "loai_nhom", F.col("pos").alias("group_pos"), F.posexplode("hoc_phan").alias("pos", "c")).select("ma_ctdt", "nhom_id", "loai_nhom", "group_pos", "pos", "c.*")
+    kept = ["ma_ctdt", "nhom_id", F.col("section").alias("ma_phan"), "loai_nhom", F.col("pos").alias("group_pos")]
+    courses = groups.select(*kept, F.posexplode("hoc_phan").alias("pos", "c")).select("ma_ctdt", "nhom_id", "ma_phan", "loai_nhom", "group_pos", "pos", "c.*")
+    if "hoc_ky_goi_y" not in courses.columns:
+        courses = courses.withColumn("hoc_ky_goi_y", F.lit(None).cast("string"))
+    courses = courses.withColumn("so_quan_he", F.coalesce(F.size("quan_he"), F.lit(0)))
     sections = groups.groupBy("ma_ctdt", "section").agg(
         F.min_by("base", "pos").alias("base"), F.min_by("credits", "pos").alias("credits"), F.count("*").alias("n_groups"),
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "nhom_id"))), lambda x: x["nhom_id"]).alias("nhom_ids"),
     )
-    rel = courses.select("ma_ctdt", "ma_hoc_phan", F.posexplode("quan_he").alias("rel_pos", "r")).select("ma_ctdt", "ma_hoc_phan", "rel_pos", "r.loai", F.col("r.ma_hoc_phan").alias("target"))
+    rel = courses.select("ma_ctdt", "nhom_id", "ma_hoc_phan", "ten_hoc_phan", F.posexplode("quan_he").alias("rel_pos", "r")).select("ma_ctdt", "nhom_id", "ma_hoc_phan", "ten_hoc_phan", "rel_pos", "r.loai", F.col("r.ma_hoc_phan").alias("target"))
     names = courses.select("ma_ctdt", "ma_hoc_phan", "ten_hoc_phan", F.struct("group_pos", "pos").alias("at"))
-    return {"sections": sections, "groups": groups.drop("hoc_phan"), "courses": courses.drop("quan_he"), "relations": backfill(rel, names, ["ma_ctdt"])}
+    info = [f"chuong_trinh_dao_tao.{c}" if "chuong_trinh_dao_tao" in programmes.columns else F.lit(None).cast("string").alias(c) for c in ("ten_ctdt", "bac_dao_tao", "phien_ban")]
+    header = programmes.select("ma_ctdt", *info, F.col("source_file") if "source_file" in programmes.columns else F.lit(None).cast("string").alias("source_file"))
+    return {"header": header, "sections": sections, "groups": groups.drop("hoc_phan"), "courses": courses.drop("quan_he"), "relations": backfill(rel, names, ["ma_ctdt"])}
 
 
 def backfill(relations: DataFrame, names: DataFrame, scope: list[str]) -> DataFrame:

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from taxoloom.functions import text as tx
 from taxoloom.operators.ranking import max_by_key, rank, top_k
+from taxoloom.sources.scratch import materialize
 
 
 def postings(docs: DataFrame, doc: str, text: Column) -> DataFrame:
@@ -22,35 +23,47 @@ def postings(docs: DataFrame, doc: str, text: Column) -> DataFrame:
     return terms.groupBy("doc", "dl", "term").agg(F.count("*").alias("tf"))
 
 
-def corpus_stats(docs: DataFrame, text: Column) -> DataFrame:
-    """One row: number of documents that have a term, and their mean length. No shuffle but that of partial sums."""
-    return docs.select(F.size(tx.tokenize(text)).alias("dl")).where("dl > 0").agg(F.count("*").alias("n_docs"), F.avg("dl").alias("avgdl"))
+def idf(post: DataFrame, n_docs: int, epsilon: float = 0.25) -> DataFrame:
+    """``(term, df, idf)``; negative values become ``epsilon`` times the mean of the raw ones."""
+    raw = post.groupBy("term").agg(F.count("*").alias("df")).withColumn("raw", F.log((n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5)))
+    raw = materialize(raw, "terms")
+    mean = raw.agg(F.avg("raw")).first()[0] or 0.0
+    return raw.select("term", "df", F.when(F.col("raw") < 0, F.lit(epsilon * mean)).otherwise(F.col("raw")).alias("idf"))
 
 
-def idf(post: DataFrame, stats: DataFrame, epsilon: float = 0.25) -> DataFrame:
-    """``(term, df, idf)``; negative values become ``epsilon`` times the mean of the raw ones."""
-    n = stats.select("n_docs").scalar()
-    raw = post.groupBy("term").agg(F.count("*").alias("df")).withColumn("raw", F.log((n - F.col("df") + 0.5) / (F.col("df") + 0.5)))
-    mean = raw.agg(F.avg("raw")).scalar()
-    return raw.select("term", "df", F.when(F.col("raw") < 0, epsilon * mean).otherwise(F.col("raw")).alias("idf"))
+@dataclass(frozen=True)
+class Index:
+    """Postings ``(doc, dl, term, tf)`` and ``(term, df, idf)`` as tables, the number of documents that have a term, and their mean length."""
+
+    post: DataFrame
+    idf: DataFrame
+    n_docs: int
+    avgdl: float
+
 
+def build_index(docs: DataFrame, doc: str, text: Column, epsilon: float = 0.25) -> Index:
+    """Tokenises ``docs`` once. Texts without a term, empty tables too, leave no trace."""
+    post = materialize(postings(docs, doc, text), "postings")
+    # A document's terms add up to its length.
+    n, total = post.agg(F.count_distinct("doc"), F.sum("tf")).first()
+    return Index(post, idf(post, n, epsilon), n, total / n if n else 0.0)
 
-def bm25(queries: DataFrame, post: DataFrame, stats: DataFrame, k1: float = 1.5, b: float = 0.75, epsilon: float = 0.25) -> DataFrame:
+
+def bm25(queries: DataFrame, index: Index, k1: float = 1.5, b: float = 0.75) -> DataFrame:
     """``queries(query, text)`` against an index -> ``(query, doc, score)`` for pairs that share a term.
 
-    Only postings of the queries' terms are scored (an equi join). Repeated query tokens count again.
-    The one-row statistics are scalar subqueries; nothing that grows with the corpus is broadcast.
+    Only postings of the queries' terms are scored (equi joins, which adaptive execution splits at hot terms). Repeated query tokens
+    count again.
     """
     asked = queries.select("query", F.explode(tx.tokenize("text")).alias("term")).groupBy("query", "term").agg(F.count("*").alias("qtf"))
-    weight = F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / stats.select("avgdl").scalar()))
-    scored = post.join(asked.select("term").distinct(), "term", "left_semi").join(idf(post, stats, epsilon), "term")
-    scored = scored.select("doc", "term", weight.alias("w"))
-    return asked.join(scored, "term").groupBy("query", "doc").agg(F.sum(F.col("qtf") * F.col("w")).alias("score"))
+    weight = F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / (index.avgdl or 1.0)))
+    terms = asked.join(index.idf.select("term", "idf"), "term")
+    return terms.join(index.post, "term").groupBy("query", "doc").agg(F.sum(F.col("qtf") * weight).alias("score"))
 
 
-def bm25_top(queries: DataFrame, post: DataFrame, stats: DataFrame, k: int) -> DataFrame:
+def bm25_top(queries: DataFrame, index: Index, k: int) -> DataFrame:
     """The first ``k`` documents of each query; non-positive scores go after the cut."""
-    scored = bm25(queries, post, stats).withColumn("score", F.round("score", 6))
+    scored = bm25(queries, index).withColumn("score", F.round("score", 6))
     return top_k(scored, ["query"], [F.col("score").desc(), F.col("doc")], k).where("score > 0")
 
 
@@ -63,8 +76,8 @@ def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0).cast("double"), lambda s, x: s + x)
 
 
-#: Bytes of query vectors that may go to every task.
-QUERY_BYTES = 64 << 20
+#: Bytes of query vectors that may go to every task, and scores that a task holds at once.
+QUERY_BYTES, SCORES = 64 << 20, 1 << 22
 
 
 def dense_top(queries: DataFrame, corpus: DataFrame, k: int, exclude_self: bool = False) -> DataFrame:
@@ -96,13 +109,22 @@ def dense_block(rows: pa.Table, corpus: DataFrame, k: int, exclude_self: bool) -
             if not len(doc) or not len(ids):
                 continue
             x = b.column("vector").flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(doc), -1)
-            s = np.round(np.einsum("qd,nd->qn", q, x, optimize=True), 6) + 0.0
-            if exclude_self:
-                s = np.where(ids[:, None] == doc[None, :], -np.inf, s)
-            by = np.lexsort((np.broadcast_to(doc, s.shape), -s), axis=1)[:, :k]
-            top = np.take_along_axis(s, by, 1)
-            fine = np.isfinite(top)
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, fine.sum(1))), pa.array(doc[by][fine]), pa.array(top[fine])], ["query", "doc", "score"])
+            some = max(1, SCORES // len(doc))
+            for lo in range(0, len(ids), some):
+                yield best(ids[lo : lo + some], q[lo : lo + some], doc, x)
+
+    def best(own: np.ndarray, q: np.ndarray, doc: np.ndarray, x: np.ndarray) -> pa.RecordBatch:
+        s = np.round(np.einsum("qd,nd->qn", q, x, optimize=True), 6) + 0.0
+        if exclude_self:
+            s[own[:, None] == doc[None, :]] = -np.inf
+        least = np.partition(s, -k, axis=1)[:, -k] if k < len(doc) else np.full(len(own), -np.inf)
+        row, at = np.nonzero((s >= least[:, None]) & np.isfinite(s))
+        by = np.lexsort((doc[at], -s[row, at], row))
+        row, at = row[by], at[by]
+        first = np.searchsorted(row, row)
+        kept = np.arange(len(row)) - first < k
+        row, at = row[kept], at[kept]
+        return pa.RecordBatch.from_arrays([pa.array(own[row]), pa.array(doc[at]), pa.array(s[row, at])], ["query", "doc", "score"])
 
     return corpus.select(F.col("doc").cast("long"), "vector").mapInArrow(run, "query long, doc long, score double")
 
@@ -156,12 +178,34 @@ def mention_map(df: DataFrame, by: list[str]) -> DataFrame:
     return lists.groupBy(*by).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("evidence_id", "mentions")))).alias("evidence_mentions"))
 
 
-def hybrid(queries: DataFrame, post: DataFrame, stats: DataFrame, vectors: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
-    """Both channels' hits in one table ``(query, channel, uri, score, rank)``."""
-    a = bm25_top(queries, post, stats, k).select("query", F.lit("bm25").alias("channel"), F.col("doc").alias("uri"), "score", "rank")
-    b = dense_top(vectors, corpus, k).select("query", F.lit("dense").alias("channel"), F.col("doc").alias("uri"), "score", "rank")
-    return a.unionByName(b)
-
+def hybrid(queries: DataFrame, index: Index, vectors: DataFrame, corpus: DataFrame, k: int, context_vectors: DataFrame | None = None, direct: DataFrame | None = None) -> DataFrame:
+    """All channels' hits in one table ``(query, channel, uri, score, rank)``.
 
-def group_window(by: list[str]) -> Window:
-    return Window.partitionBy(*by)
+    ``context_vectors(query, vector)``: a second dense pass, over queries with their source text (:func:`with_context`); its hits join
+    the ``dense`` channel, a document's better score and rank counting. ``direct(query, uri, score)``: candidates that an extractor
+    names itself, as the channel ``esco_extract``.
+    """
+    hits = lambda df, channel: df.select("query", F.lit(channel).alias("channel"), F.col("doc").alias("uri"), "score", "rank")
+    dense = hits(dense_top(vectors, corpus, k), "dense")
+    if context_vectors is not None:
+        both = dense.unionByName(hits(dense_top(context_vectors, corpus, k), "dense"))
+        dense = both.groupBy("query", "channel", "uri").agg(F.max("score").alias("score"), F.min("rank").alias("rank"))
+    out = hits(bm25_top(queries, index, k), "bm25").unionByName(dense)
+    if direct is not None:
+        named = rank(direct, ["query"], [F.col("score").desc(), F.col("uri")])
+        out = out.unionByName(named.select("query", F.lit("esco_extract").alias("channel"), "uri", "score", "rank"))
+    return out
+
+
+def with_context(text: Column, source: Column) -> Column:
+    """The text of a context pass; null where there is no source text, so that no second pass is made."""
+    return F.when(F.coalesce(source, F.lit("")) != "", F.concat(text, F.lit(". Context: "), source))
+
+
+def rerank_texts(candidates: DataFrame) -> DataFrame:
+    """``candidates(course_title, label, description, mentions, source_texts, ...)`` with what a cross scorer compares: ``context``, the
+    title and the first mention (without one, the first source text), and ``candidate``, label and description."""
+    one = lambda c: F.get(F.col(c), F.lit(0))
+    said = F.when(F.size("mentions") > 0, one("mentions")).otherwise(F.coalesce(one("source_texts"), F.lit("")))
+    joined = lambda a, b: F.trim(F.concat(F.coalesce(a, F.lit("")), F.lit(". "), F.coalesce(b, F.lit(""))))
+    return candidates.withColumn("context", joined(F.col("course_title"), said)).withColumn("candidate", joined(F.col("label"), F.col("description")))

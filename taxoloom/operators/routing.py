@@ -64,30 +64,32 @@ def course_type(sections: Column) -> Column:
     return F.get(types, F.lit(0))
 
 
-DEFAULTS = {"mismatch_flagged": False, "esco_type_agrees": True, "sparse": False, "capstone": False}
+DEFAULTS = {"mismatch_flagged": False, "esco_type_agrees": True, "sparse": False, "capstone": False, "low_evidence_quality": False}
 
 
 def route(candidates: DataFrame, p: config.Profile = config.CODE_DEFAULTS) -> DataFrame:
-    """Adds ``tier, confidence, decision, reject_reason, priority, cap_rank``.
+    """Adds ``tier, confidence, decision, reject_reason, priority, cap_rank, low_evidence_quality, mismatch_penalty_applied, final_combined``.
 
     Columns: ``course_code, course_type, concept_type, uri, label, rrf, rerank (nullable), combined, avg_weight, agreement,
     bm25_rank, dense_rank, domain_signal, offensive_signal, framework_signal`` and, with defaults, ``mismatch_flagged,
-    esco_type_agrees, sparse, capstone``. The first guard that hits rejects. Ties in priority: the least uri.
+    esco_type_agrees, sparse, capstone, low_evidence_quality``. A low mean weight (0.30 where there is no evidence) only sets a flag. The
+    first guard that hits rejects; it and a score below ``SECONDARY`` give ``low_confidence`` and ``LOW``, no priority and no place.
+    Ties in priority: the least uri.
     """
     df = candidates
     for c, v in DEFAULTS.items():
         df = df.withColumn(c, F.coalesce(F.col(c), F.lit(v)) if c in df.columns else F.lit(v))
-    low, cap, bad = F.col("avg_weight") < p.low_quality, F.col("capstone"), F.col("mismatch_flagged")
+    weight = F.coalesce("avg_weight", F.lit(config.DEFAULT_WEIGHT))
+    low, cap, bad = F.col("low_evidence_quality") | (weight < p.low_quality), F.col("capstone"), F.col("mismatch_flagged")
     weak, strong = F.col("agreement") == "WEAK", F.col("agreement") == "STRONG"
     penalty = F.when(bad, p.mismatch_penalty).otherwise(0.0)
     df = df.withColumn("_score", F.coalesce("rerank", "combined") - penalty)
     df = df.withColumn("_combined", F.when(bad, F.greatest(F.lit(0.0), F.col("combined") - penalty)).otherwise(F.col("combined")))
     guard = (
-        F.when(low, "low_evidence_quality")
-        .when(blocked_uri(F.col("uri"), p.blocked_uris) | domain_blocked(F.col("label"), F.col("domain_signal")), "DOMAIN_BLOCK")
+        F.when(blocked_uri(F.col("uri"), p.blocked_uris) | domain_blocked(F.col("label"), F.col("domain_signal")), "DOMAIN_BLOCK")
         .when(security_drift(F.col("uri"), F.col("label"), F.col("offensive_signal")), "SECURITY_DRIFT")
         .when(framework_guard(F.col("label"), F.col("framework_signal")), "FRAMEWORK_WITHOUT_EXPLICIT_TEACHING")
-        .when(cap & (F.col("avg_weight") < p.capstone_min_weight), "CAPSTONE_LOW_EVIDENCE_WEIGHT")
+        .when(cap & (weight < p.capstone_min_weight), "CAPSTONE_LOW_EVIDENCE_WEIGHT")
         .when(cap & F.col("sparse") & bad, "CAPSTONE_SPARSE_MISMATCH")
         .when(bad & ~F.col("esco_type_agrees") & low, "TRIPLE_FAIL_MISMATCH")
         .when(weak & bad, "WEAK_RETRIEVAL_MISMATCH")
@@ -97,7 +99,9 @@ def route(candidates: DataFrame, p: config.Profile = config.CODE_DEFAULTS) -> Da
     step = lambda i: F.when(cap, p.capstone_threshold).when(knowledge, p.knowledge[i]).otherwise(p.skill[i]) - F.when(strong, p.strong_bonus).otherwise(0.0)
     s = F.col("_score")
     tier = F.when(s >= step(0), "PRIMARY").when(s >= step(1), "SECONDARY").when((s >= step(2)) | (s >= step(3)), "OPTIONAL").otherwise("low_confidence")
-    df = df.withColumn("_guard", guard).withColumn("_tier", tier)
+    before_penalty = ("DOMAIN_BLOCK", "SECURITY_DRIFT", "FRAMEWORK_WITHOUT_EXPLICIT_TEACHING", "CAPSTONE_LOW_EVIDENCE_WEIGHT", "CAPSTONE_SPARSE_MISMATCH")
+    df = df.withColumn("_guard", guard).withColumn("_tier", tier).withColumn("_low", low)
+    df = df.withColumn("_fined", bad & ~F.coalesce(F.col("_guard").isin(*before_penalty), F.lit(False)))
     # A high cross score with a tiny fused score steps down to SECONDARY and REJECT, but still takes a place under the cap.
     step_down = (F.col("_tier") == "PRIMARY") & F.coalesce(F.col("rerank") >= step(0), F.lit(False)) & (F.col("rrf") < 0.005)
     df = df.withColumn("_down", step_down)
@@ -126,17 +130,18 @@ def route(candidates: DataFrame, p: config.Profile = config.CODE_DEFAULTS) -> Da
     )
     df = df.withColumn("reject_reason", reason)
     return df.select(
-        *candidates.columns,
-        F.when(F.col("_guard").isNotNull(), F.lit(None)).when(F.col("_down"), "SECONDARY").otherwise(F.col("_tier")).alias("tier"),
-        F.when(F.col("_guard").isNotNull(), F.lit(None)).when(F.col("_down"), "MED").when(F.col("_tier") == "PRIMARY", "HIGH").when(F.col("_tier") == "SECONDARY", "MED").otherwise("LOW").alias("confidence"),
+        *(c for c in candidates.columns if c != "low_evidence_quality"),
+        F.when(~F.col("_in"), "low_confidence").when(F.col("_down"), "SECONDARY").otherwise(F.col("_tier")).alias("tier"),
+        F.when(~F.col("_in"), "LOW").when(F.col("_down") | (F.col("_tier") == "SECONDARY"), "MED").otherwise("HIGH").alias("confidence"),
         F.when(F.col("reject_reason").isNull() & ~F.col("_down"), "ACCEPT").otherwise("REJECT").alias("decision"),
-        "reject_reason", "priority", "cap_rank",
+        "reject_reason", F.when(F.col("_in"), F.col("priority")).alias("priority"), "cap_rank", F.col("_low").alias("low_evidence_quality"),
+        F.col("_fined").alias("mismatch_penalty_applied"), F.when(F.col("_fined"), F.col("_combined")).otherwise(F.col("combined")).alias("final_combined"),
     )
 
 
 def tier_summary(routed: DataFrame, by: list[str]) -> DataFrame:
     """Counts by tier, zero where a tier has none, and by decision."""
-    tiers = ("PRIMARY", "SECONDARY", "OPTIONAL")
+    tiers = ("PRIMARY", "SECONDARY", "OPTIONAL", "low_confidence")
     return routed.groupBy(*by).agg(
         *(F.count_if(F.col("tier") == t).alias(f"n_{t.lower()}") for t in tiers),
         F.count_if(F.col("decision") == "ACCEPT").alias("n_accept"),

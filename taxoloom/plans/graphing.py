@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from taxoloom.functions import text as tx
-from taxoloom.operators import evidence, graph, incremental, ranking, records, reshape, taxonomy
+from taxoloom.operators import evidence, graph, incremental, ranking, records, reshape, routing, taxonomy
+from taxoloom.plans import linking
 from taxoloom.plans.registry import query
 from taxoloom.plans.scalars import LINES, lines_of
 from taxoloom.sources import readers
@@ -17,30 +18,37 @@ def programmes_of(t):
     l = t.lineitem.groupBy("l_orderkey", "l_partkey").agg(F.min("l_suppkey").alias("supp"))
     courses = l.join(t.part.select(F.col("p_partkey").alias("l_partkey"), "p_name"), "l_partkey")
     course = F.struct(
-        F.col("l_partkey").cast("string").alias("ma_hoc_phan"), F.col("p_name").alias("ten_hoc_phan"), F.lit(1.0).alias("so_tin_chi_tong"),
+        F.col("l_partkey").cast("string").alias("ma_hoc_phan"), F.col("p_name").alias("ten_hoc_phan"), F.lit(1.0).alias("so_tin_chi_tong"), (F.col("l_partkey") % 8).cast("string").alias("hoc_ky_goi_y"),
         F.array(F.struct(F.lit("TIEN_QUYET").alias("loai"), (F.col("l_partkey") + 1).cast("string").alias("ma_hoc_phan"))).alias("quan_he"),
     )
     per = courses.groupBy("l_orderkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("l_partkey", course.alias("c")))), lambda x: x["c"]).alias("hoc_phan"))
     o = t.orders.join(per, F.col("o_orderkey") == F.col("l_orderkey"))
     name = F.concat(F.lit("I."), (F.col("o_orderkey") % 2).cast("string"), F.lit(". "), F.col("o_orderstatus"), F.lit(" — 3.0 tín chỉ"))
-    g = F.struct(name.alias("ten_nhom"), F.col("o_orderpriority").alias("loai_nhom"), "hoc_phan")
+    declared = F.when(F.col("o_orderkey") % 3 != 0, (F.col("o_orderkey") % 5).cast("double"))
+    g = F.struct(name.alias("ten_nhom"), F.col("o_orderpriority").alias("loai_nhom"), declared.alias("so_tin_chi_yeu_cau"), "hoc_phan")
     return o.groupBy(F.col("o_custkey").alias("ma_ctdt")).agg(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", g.alias("g")))), lambda x: x["g"]).alias("nhom_hoc_phan"))
 
 
-PROG = """o AS (SELECT o_custkey AS ma_ctdt, o_orderkey, 'I_' || (o_orderkey % 2) AS raw, o_orderstatus AS base FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)),
+PROG = """o AS (SELECT o_custkey AS ma_ctdt, o_orderkey, 'I_' || (o_orderkey % 2) AS raw, o_orderstatus AS base, o_orderpriority AS loai, CASE WHEN o_orderkey % 3 <> 0 THEN (o_orderkey % 5)::DOUBLE ELSE 3.0 END AS credits FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)),
 g AS (SELECT *, CASE WHEN count(*) OVER (PARTITION BY ma_ctdt, raw) = 1 THEN raw ELSE raw || '_' || chr((64 + row_number() OVER (PARTITION BY ma_ctdt, raw ORDER BY o_orderkey))::INT) END AS nhom_id FROM o),
 c AS (SELECT DISTINCT g.ma_ctdt, g.o_orderkey, nhom_id, l_partkey FROM g JOIN lineitem ON l_orderkey = o_orderkey)"""
 
 
-@query(f"""WITH {PROG}, r AS (SELECT ma_ctdt, l_partkey + 1 AS target FROM c), have AS (SELECT DISTINCT ma_ctdt, l_partkey FROM c)
-SELECT 'section' AS kind, ma_ctdt, replace(raw, '_', '.') AS k, count(*) AS n FROM g GROUP BY ALL
-UNION ALL SELECT 'group', ma_ctdt, nhom_id, count(*) FROM g GROUP BY ALL UNION ALL SELECT 'course', ma_ctdt, nhom_id, count(*) FROM c GROUP BY ALL
-UNION ALL SELECT 'relation', r.ma_ctdt, CASE WHEN h.l_partkey IS NULL THEN 'not_found' ELSE 'same_ctdt' END, count(*) FROM r LEFT JOIN have h ON h.ma_ctdt = r.ma_ctdt AND h.l_partkey = r.target GROUP BY ALL""")
+@query(f"""WITH {PROG}, r AS (SELECT c.*, l_partkey + 1 AS target FROM c), have AS (SELECT DISTINCT ma_ctdt, l_partkey FROM c)
+SELECT 'section' AS kind, ma_ctdt, replace(raw, '_', '.') AS k, arg_min(base, o_orderkey) || '|' || arg_min(credits, o_orderkey) || '|' || array_to_string(list(nhom_id ORDER BY o_orderkey), ',') AS detail FROM g GROUP BY ma_ctdt, raw
+UNION ALL SELECT 'group', ma_ctdt, nhom_id, replace(raw, '_', '.') || '|' || base || '|' || loai || '|' || credits FROM g
+UNION ALL SELECT 'course', c.ma_ctdt, c.nhom_id, replace(raw, '_', '.') || '|' || l_partkey || '|' || (l_partkey % 8) || '|1' FROM c JOIN g USING (ma_ctdt, o_orderkey)
+UNION ALL SELECT 'relation', r.ma_ctdt, r.nhom_id, r.l_partkey || '|' || target || '|' || CASE WHEN h.l_partkey IS NULL THEN 'not_found' ELSE 'same_ctdt|' || p_name END FROM r LEFT JOIN have h ON h.ma_ctdt = r.ma_ctdt AND h.l_partkey = r.target LEFT JOIN part ON p_partkey = h.l_partkey
+UNION ALL SELECT 'header', ma_ctdt, NULL, NULL FROM (SELECT DISTINCT ma_ctdt FROM g)""")
 def programme_flatten(t):
     f = reshape.flatten(programmes_of(t))
-    count = lambda df, kind, k: df.groupBy("ma_ctdt", F.col(k).alias("k")).agg(F.count("*").alias("n")).select(F.lit(kind).alias("kind"), "ma_ctdt", "k", "n")
-    sections = f["sections"].select(F.lit("section").alias("kind"), "ma_ctdt", F.col("section").alias("k"), F.col("n_groups").alias("n"))
-    return graph.union([sections, count(f["groups"], "group", "nhom_id"), count(f["courses"], "course", "nhom_id"), count(f["relations"], "relation", "resolution")])
+    show = lambda df, kind, k, *cols: df.select(F.lit(kind).alias("kind"), "ma_ctdt", k.alias("k"), F.concat_ws("|", *(c if not isinstance(c, str) else F.col(c).cast("string") for c in cols)).alias("detail"))
+    none = F.lit(None).cast("string")
+    return graph.union([
+        show(f["sections"], "section", F.col("section"), "base", "credits", F.array_join("nhom_ids", ",")), show(f["groups"], "group", F.col("nhom_id"), "section", "base", "loai_nhom", "credits"),
+        show(f["courses"], "course", F.col("nhom_id"), "ma_phan", "ma_hoc_phan", "hoc_ky_goi_y", "so_quan_he"), show(f["relations"], "relation", F.col("nhom_id"), "ma_hoc_phan", "target", "resolution", "target_name"),
+        f["header"].select(F.lit("header").alias("kind"), "ma_ctdt", none.alias("k"), none.alias("detail")),
+    ])
 
 
 @query("""SELECT p_partkey, CASE WHEN count(*) OVER w = 1 THEN k ELSE k || '_' || chr((64 + row_number() OVER (PARTITION BY p_brand, k ORDER BY p_partkey))::INT) END AS id
@@ -290,6 +298,69 @@ def missing_report(t):
     return reshape.missing_report(rows, "ma_ctdt", "code", "name")
 
 
+# --- extraction of graphs ---
+CONTRACT = """cu AS (SELECT c_custkey AS k, 'C' || c_custkey AS code, CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment ELSE 'en ' || c_custkey END AS en, (c_custkey % 4)::DOUBLE AS credits FROM customer),
+mem AS (SELECT 'P' || c_nationkey AS p, 'C' || (c_custkey + CASE WHEN c_custkey % 50 = 0 THEN 1000000 ELSE 0 END) AS code, 'P' || c_nationkey || '_G' || (c_custkey % 4) AS g, (c_custkey % 9)::DOUBLE AS credits FROM customer),
+od AS (SELECT 'C' || o_custkey AS code, 'C' || o_custkey || '_G' || (o_orderkey % 3) AS goal, 'C' || o_custkey || '_O' || (o_orderkey % 2) AS clo, 'C' || o_custkey || '_L' || (o_orderkey % 3 + 1) AS lesson, o_orderkey % 10 = 0 AS nogoal FROM orders)"""
+
+
+def contract_of(t):
+    code = F.concat(F.lit("C"), "c_custkey", F.when(F.col("c_custkey") % 7 == 0, "_BS").otherwise(""))
+    ask = F.when(F.col("c_custkey") % 5 == 0, F.array(F.concat(F.lit("C"), F.col("c_custkey") + 1, F.lit("_BS")))).otherwise(F.array().cast("array<string>"))
+    en = F.when(F.col("c_custkey") % 3 == 0, "").otherwise(F.concat(F.lit("en "), "c_custkey"))
+    courses = t.customer.select(code.alias("code"), F.col("c_name").alias("ten_vi"), en.alias("ten_en"), F.col("c_mktsegment").alias("ten_vi_en"), (F.col("c_custkey") % 4).alias("so_tin_chi_tong"), ask.alias("prerequisites"), F.array().cast("array<string>").alias("previous"))
+    own, n = F.concat(F.lit("C"), "o_custkey"), F.col("o_orderkey")
+    text = F.col("o_orderstatus").alias("noi_dung")
+    goals = t.orders.select(own.alias("code"), F.when(n % 10 == 0, "").otherwise(F.concat(F.lit("G"), n % 3)).alias("ma_muc_tieu"), text)
+    outs = t.orders.select(own.alias("code"), F.concat(F.lit("O"), n % 2).alias("ma_clo"), text)
+    lessons = t.orders.select(own.alias("code"), (n % 3 + 1).alias("pos"), F.col("o_orderstatus").alias("ten_bai"), F.lit(None).cast("array<string>").alias("dap_ung_cdr"), F.array(F.concat(F.lit("O"), n % 2)).alias("ma_clo"))
+    far = F.col("c_custkey") + F.when(F.col("c_custkey") % 50 == 0, 1000000).otherwise(0)
+    members = t.customer.select(F.concat(F.lit("P"), "c_nationkey").alias("ma_ctdt"), F.concat(F.lit("C"), far).alias("code"), F.concat(F.lit("G"), F.col("c_custkey") % 4).alias("nhom_id"), F.col("c_mktsegment").alias("loai_nhom"), (F.col("c_custkey") % 9).cast("double").alias("so_tin_chi"))
+    return graph.contract(courses, goals, outs, lessons, members)
+
+
+@query(f"""WITH {CONTRACT} SELECT 'HocPhan' AS type, cu.code AS a, NULL AS b, en || '|' || CASE WHEN cu.credits = 0 THEN coalesce(mem.credits, 0) ELSE cu.credits END AS detail FROM cu LEFT JOIN mem USING (code)
+UNION ALL SELECT 'HocPhan', code, NULL, '|' || credits FROM mem WHERE code NOT IN (SELECT code FROM cu) UNION ALL SELECT DISTINCT 'ChuongTrinhDaoTao', p, NULL, NULL FROM mem UNION ALL SELECT DISTINCT 'NhomHocPhan', g, NULL, NULL FROM mem
+UNION ALL SELECT DISTINCT 'MucTieuHocPhan', goal, NULL, NULL FROM od WHERE NOT nogoal UNION ALL SELECT DISTINCT 'CLO', clo, NULL, NULL FROM od UNION ALL SELECT DISTINCT 'Bai', lesson, NULL, NULL FROM od
+UNION ALL SELECT DISTINCT 'HAS_COURSE', p, code, NULL FROM mem UNION ALL SELECT DISTINCT 'BELONGS_TO', code, g, NULL FROM mem UNION ALL SELECT DISTINCT 'HAS_OBJECTIVE', code, goal, NULL FROM od WHERE NOT nogoal
+UNION ALL SELECT DISTINCT 'HAS_CLO', code, clo, NULL FROM od UNION ALL SELECT DISTINCT 'HAS_LESSON', code, lesson, NULL FROM od UNION ALL SELECT DISTINCT 'SUPPORTS_CLO', lesson, clo, NULL FROM od UNION ALL SELECT 'PREREQUISITE', code, 'C' || (k + 1), NULL FROM cu WHERE k % 5 = 0""")
+def graph_contract(t):
+    nodes, edges = contract_of(t)
+    none = F.lit(None).cast("string")
+    shown = F.when(F.col("label") == "HocPhan", F.concat_ws("|", F.coalesce(F.col("properties")["ten_en"], F.lit("")), F.col("properties")["so_tin_chi_tong"]))
+    return nodes.select(F.col("label").alias("type"), F.col("node_key").alias("a"), none.alias("b"), shown.alias("detail")).unionByName(edges.select("type", F.col("source_id").alias("a"), F.col("target_id").alias("b"), none.alias("detail")))
+
+
+@query("""SELECT 'KyNangESCO' AS type, p_partkey::VARCHAR AS a, NULL AS b, p_type || ';' || p_brand AS detail FROM part UNION ALL SELECT 'NgheNghiepESCO', c_custkey::VARCHAR, NULL, NULL FROM customer
+UNION ALL SELECT 'REQUIRES_SKILL', o_custkey::VARCHAR, l_partkey::VARCHAR, min(CASE WHEN l_returnflag = 'R' THEN 'essential' ELSE 'optional' END) FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_custkey, l_partkey""")
+def graph_taxonomy(t):
+    occ, rel, _ = taxonomy_of(t)
+    skills = t.part.select(F.col("p_partkey").cast("string").alias("conceptUri"), "p_name", F.concat_ws("\n", F.col("p_type"), F.lit(" "), F.col("p_brand")).alias("altLabels"))
+    nodes, edges = graph.taxonomy(skills, occ, rel)
+    return nodes.select(F.col("label").alias("type"), F.col("node_key").alias("a"), F.lit(None).cast("string").alias("b"), F.col("properties")["altLabels"].alias("detail")).unionByName(
+        edges.select("type", F.col("source_id").alias("a"), F.col("target_id").alias("b"), F.col("properties")["importance_type"].alias("detail"))
+    )
+
+
+@query(f"""WITH {linking.ROUTE}, {linking.CANDS}, tg AS (SELECT DISTINCT course_code, lower(mention) AS normalized FROM tm), e AS (SELECT course_code, normalized, uri, round(1 / (2 + min(place)), 6) AS confidence FROM pairs GROUP BY ALL)
+SELECT 'TEACHES_' || upper(concept_type) AS type, course_code AS a, uri AS b, NULL AS detail FROM final WHERE decision = 'ACCEPT' UNION ALL SELECT 'HAS_CONCEPT', course_code::VARCHAR, normalized, 'teach' FROM tg
+UNION ALL SELECT 'EVIDENCE_FOR', normalized, uri::VARCHAR, min(confidence::VARCHAR) FROM e GROUP BY normalized, uri UNION ALL SELECT DISTINCT 'ConceptTag', normalized, NULL, 'direct_extraction' FROM tg""")
+def graph_mapping(t):
+    found = routing.route(linking.candidates_of(t)).withColumn("confidence", F.col("final_combined"))
+    nodes, edges = graph.mapping(found, records.concept_tags(linking.mentions_of(t)), records.concept_edges(linking.tag_candidates(t)), "teach")
+    detail = F.coalesce(F.col("properties")["role"], F.when(F.col("type") == "EVIDENCE_FOR", F.col("properties")["confidence"]))
+    return edges.select("type", F.col("source_id").alias("a"), F.col("target_id").alias("b"), detail.alias("detail")).unionByName(
+        nodes.select(F.col("label").alias("type"), F.col("node_key").alias("a"), F.lit(None).cast("string").alias("b"), F.col("properties")["loai"].alias("detail"))
+    )
+
+
+@query("""SELECT l_partkey::VARCHAR AS ma_hoc_phan, count(*) AS n, md5(string_agg(p || '|' || g || '|' || k, ';' ORDER BY p, g, k)) AS members FROM (SELECT DISTINCT l_partkey, o_custkey::VARCHAR AS p, o_orderpriority AS g, l_returnflag AS k FROM orders JOIN lineitem ON l_orderkey = o_orderkey) GROUP BY l_partkey""")
+def membership_lists(t):
+    j = t.orders.join(t.lineitem, F.col("l_orderkey") == F.col("o_orderkey")).select(F.col("l_partkey").cast("string").alias("ma_hoc_phan"), F.col("o_custkey").cast("string").alias("ma_ctdt"), F.col("o_orderpriority").alias("nhom_id"), F.col("l_returnflag").alias("loai_nhom"))
+    shown = F.array_join(F.transform("ctdt_memberships", lambda m: F.concat_ws("|", m["ma_ctdt"], m["nhom_id"], m["loai_nhom"])), ";")
+    return reshape.membership_lists(j).select("ma_hoc_phan", F.size("ctdt_memberships").cast("long").alias("n"), F.md5(shown).alias("members"))
+
+
 # --- taxonomy: nations give codes, customers occupations, orders relations, parts skills ---
 def taxonomy_of(t):
     occ = t.customer.select(F.col("c_custkey").cast("string").alias("conceptUri"), F.col("c_nationkey").cast("string").alias("code"), F.col("c_name").alias("label"))
@@ -392,7 +463,7 @@ def global_sort_limit(t):
     return t.orders.select("o_orderkey", "o_totalprice").orderBy(F.col("o_totalprice").desc(), "o_orderkey").limit(100)
 
 
-@query()
+@query("SELECT p_partkey, p_name FROM part ORDER BY md5('42:' || p_partkey), p_partkey LIMIT 5")
 def seeded_sample(t):
     return ranking.sample_rows(t.part.select("p_partkey", "p_name"), 5, "p_partkey")
 

@@ -45,21 +45,22 @@ def evidence_weight(t):
 NORM = r"trim(regexp_replace({}, '\s+', ' ', 'g'))"
 
 
-@query(f"""WITH {LINES}, d AS (SELECT doc_id, {NORM.format('text[1:300]')} AS s FROM documents), n AS (SELECT doc_id, line_no, {NORM.format('line')} AS s FROM lines),
-o AS (SELECT doc_id, line_no, s FROM n WHERE line_no % 2 = 0 AND s <> ''),
+@query(f"""WITH {LINES}, d AS (SELECT doc_id, {NORM.format('text')} AS s FROM documents), n AS (SELECT doc_id, line_no, {NORM.format('line')} AS s FROM lines),
+k AS (SELECT doc_id, line_no, s FROM n WHERE s <> '' AND NOT {sql_any('s', config.GRADING)}), o AS (SELECT * FROM k WHERE line_no % 2 = 0),
 le AS (SELECT doc_id, line_no + 1 AS pos, CASE WHEN line_no % 3 = 1 THEN '' ELSE s END AS body, trim(s[1:40]) AS title FROM n)
 SELECT doc_id || '_MOTA_MAIN' AS evidence_id, 'MO_TA' AS source_type, md5(s) AS text_md5, 0.25::DOUBLE AS weight FROM d WHERE s <> ''
 UNION ALL SELECT doc_id || '_MUCTIEU_MT' || row_number() OVER (PARTITION BY doc_id ORDER BY line_no), 'MUC_TIEU', md5(s), 0.30::DOUBLE FROM o
+UNION ALL SELECT doc_id || '_CLO_' || line_no, 'CLO', md5(s), CASE WHEN {sql_any('s', config.OUTCOME_ATTITUDE)} THEN 0.2::DOUBLE WHEN {sql_any('s', config.OUTCOME_KNOWLEDGE)} THEN 0.9 ELSE 0.85 END FROM k WHERE line_no % 2 = 1
 UNION ALL SELECT doc_id || '_BAIHOC_L' || CASE WHEN pos < 100 THEN lpad(pos::VARCHAR, 2, '0') ELSE pos::VARCHAR END, 'BAI_HOC',
-  md5(CASE WHEN body <> '' AND title <> '' THEN title || '. ' || body ELSE title || body END), CASE WHEN body <> '' THEN 1.0::DOUBLE ELSE 0.3 END FROM le WHERE title || body <> ''""")
+  md5(CASE WHEN body <> '' AND title <> '' THEN title || '. ' || body ELSE title || body END), CASE WHEN body <> '' THEN 1.0::DOUBLE ELSE 0.3 END FROM le WHERE title || body <> '' AND NOT {sql_any("title || '. ' || body", config.GRADING)}""")
 def evidence_build(t):
     code = F.col("doc_id").cast("string").alias("code")
     none = F.lit(None).cast("string")
     lists = F.lit(None).cast("array<string>")
-    courses = t.documents.select(code, F.substring("text", 1, 300).alias("mo_ta_en"), none.alias("mo_ta_vi"))
+    courses = t.documents.select(code, F.col("text").alias("mo_ta_en"), none.alias("mo_ta_vi"))
     rows = lines_of(t)
     goals = rows.where("line_no % 2 = 0").select(code, F.col("line_no").alias("pos"), none.alias("ma_muc_tieu"), none.alias("loai_muc_tieu"), F.col("line").alias("noi_dung_en"), none.alias("noi_dung"))
-    outs = rows.where("false").select(code, none.alias("ma_cdr_goc"), none.alias("noi_dung_en"), none.alias("noi_dung"), lists.alias("pi_so"))
+    outs = rows.where("line_no % 2 = 1").select(code, F.col("line_no").cast("string").alias("ma_cdr_goc"), F.col("line").alias("noi_dung_en"), none.alias("noi_dung"), lists.alias("pi_so"))
     s = tx.normalize_whitespace("line")
     lessons = rows.select(code, (F.col("line_no") + 1).alias("pos"), F.substring(s, 1, 40).alias("ten_bai_en"), none.alias("ten_bai"), F.when(F.col("line_no") % 3 == 1, "").otherwise(s).alias("noi_dung_en"), lists.alias("ma_clo"))
     u = evidence.build(courses, goals, outs, lessons)
@@ -68,10 +69,10 @@ def evidence_build(t):
 
 @query("""WITH c AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: x <> '') AS ls, source, lang FROM documents)
 SELECT doc_id, md5(concat_ws(chr(10), 'Course: ' || source || '.', CASE WHEN lang <> 'en' THEN 'Description: ' || lang END,
-  CASE WHEN len(ls[1:2]) > 0 THEN 'Objectives: ' || array_to_string(ls[1:2], ' ') END, CASE WHEN len(ls[3:4]) > 0 THEN 'CLO: ' || array_to_string(ls[3:4], ' ') END)) AS context_md5 FROM c""")
+  CASE WHEN len(ls) > 0 THEN 'Objectives: ' || array_to_string(list_filter(ls, lambda x, i: i % 2 = 1), ' ') END, CASE WHEN len(ls) > 1 THEN 'CLO: ' || array_to_string(list_filter(ls, lambda x, i: i % 2 = 0), ' ') END)) AS context_md5 FROM c""")
 def course_context(t):
     ls = F.filter(F.split("text", "\n"), lambda x: x != "")
-    text = evidence.course_context(F.col("source"), F.when(F.col("lang") != "en", F.col("lang")).otherwise(""), F.slice(ls, 1, 2), F.slice(ls, 3, 2))
+    text = evidence.course_context(F.col("source"), F.when(F.col("lang") != "en", F.col("lang")).otherwise(""), F.filter(ls, lambda x, i: i % 2 == 0), F.filter(ls, lambda x, i: i % 2 == 1))
     return t.documents.select("doc_id", F.md5(text).alias("context_md5"))
 
 
@@ -153,21 +154,17 @@ def course_type(t):
 
 # --- retrieval ---
 TOK = r"SELECT {id} AS {name}, unnest(regexp_split_to_array(lower({text}), '\s+')) AS term FROM {table}"
-POST = f"tok AS ({TOK.format(id='doc_id', name='doc', text='text', table='documents')}), post AS (SELECT doc, term, count(*) AS tf FROM tok WHERE term <> '' GROUP BY ALL)"
+POST = f"tok AS MATERIALIZED ({TOK.format(id='doc_id', name='doc', text='text', table='documents')}), post AS MATERIALIZED (SELECT doc, term, count(*) AS tf FROM tok WHERE term <> '' GROUP BY ALL)"
 STAT = """dl AS (SELECT doc, sum(tf) AS dl FROM post GROUP BY doc), st AS (SELECT count(*) AS n, avg(dl) AS avgdl FROM dl),
-rawidf AS (SELECT term, count(*) AS df, ln((n - count(*) + 0.5) / (count(*) + 0.5)) AS raw FROM post, st GROUP BY term, n),
-idf AS (SELECT term, df, CASE WHEN raw < 0 THEN 0.25 * (SELECT avg(raw) FROM rawidf) ELSE raw END AS idf FROM rawidf)"""
+rawidf AS MATERIALIZED (SELECT term, df, ln((n - df + 0.5) / (df + 0.5)) AS raw FROM (SELECT term, count(*) AS df FROM post GROUP BY term), st),
+mean AS (SELECT avg(raw) AS m FROM rawidf), idf AS (SELECT term, df, CASE WHEN raw < 0 THEN 0.25 * m ELSE raw END AS idf FROM rawidf, mean)"""
 BM25 = f"""qt AS ({TOK.format(id='item_id', name='query', text='text', table='benchmark')}), q AS (SELECT query, term, count(*) AS qtf FROM qt WHERE term <> '' GROUP BY ALL),
 sc AS (SELECT query, doc, round(sum(qtf * idf * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * dl / avgdl))), 6) AS score FROM q JOIN post USING (term) JOIN idf USING (term) JOIN dl USING (doc), st GROUP BY ALL),
 lex AS (SELECT * FROM (SELECT query, doc, score, row_number() OVER (PARTITION BY query ORDER BY score DESC, doc) AS rank FROM sc) WHERE rank <= 10 AND score > 0)"""
 
 
-def post_of(t):
-    return retrieval.postings(t.documents, "doc_id", F.col("text"))
-
-
-def stats_of(t):
-    return retrieval.corpus_stats(t.documents, F.col("text"))
+def index_of(t):
+    return retrieval.build_index(t.documents, "doc_id", F.col("text"))
 
 
 def asked(t):
@@ -176,17 +173,17 @@ def asked(t):
 
 @query(f"WITH {POST} SELECT doc, term, tf FROM post")
 def bm25_postings(t):
-    return post_of(t).drop("dl")
+    return retrieval.postings(t.documents, "doc_id", F.col("text")).drop("dl")
 
 
 @query(f"WITH {POST}, {STAT} SELECT term, df, round(idf, 6) AS idf FROM idf")
 def bm25_idf(t):
-    return retrieval.idf(post_of(t), stats_of(t)).select("term", "df", F.round("idf", 6).alias("idf"))
+    return index_of(t).idf.select("term", "df", F.round("idf", 6).alias("idf"))
 
 
 @query(f"WITH {POST}, {STAT}, {BM25} SELECT query, doc, score, rank::INT AS rank FROM lex")
 def bm25_topk(t):
-    return retrieval.bm25_top(asked(t), post_of(t), stats_of(t), 10)
+    return retrieval.bm25_top(asked(t), index_of(t), 10)
 
 
 ALT = r"""tok AS (SELECT p_partkey AS doc, unnest(regexp_split_to_array(lower(CASE WHEN p_partkey % 10 = 0 THEN '' ELSE p_name || ' ' || p_brand || ' ' || p_type END), '\s+')) AS term FROM part), post AS (SELECT doc, term, count(*) AS tf FROM tok WHERE term <> '' GROUP BY ALL)"""
@@ -195,19 +192,18 @@ ALT = r"""tok AS (SELECT p_partkey AS doc, unnest(regexp_split_to_array(lower(CA
 @query(f"WITH {ALT}, {STAT} SELECT term, df, round(idf, 6) AS idf, (SELECT n FROM st) AS n_docs FROM idf")
 def bm25_alt_labels(t):
     text = F.when(F.col("p_partkey") % 10 == 0, "").otherwise(F.concat_ws(" ", "p_name", "p_brand", "p_type"))
-    p = retrieval.postings(t.part, "p_partkey", text)
-    stats = retrieval.corpus_stats(t.part, text)
-    return retrieval.idf(p, stats).select("term", "df", F.round("idf", 6).alias("idf"), stats.select("n_docs").scalar().alias("n_docs"))
+    index = retrieval.build_index(t.part, "p_partkey", text)
+    return index.idf.select("term", "df", F.round("idf", 6).alias("idf"), F.lit(index.n_docs).alias("n_docs"))
 
 
-DENSE = """dots AS (SELECT q.vec_id AS query, d.vec_id AS doc, round(list_sum(list_transform(list_zip(q.embedding, d.embedding), lambda x: x[1]::DOUBLE * x[2]::DOUBLE)), 6) AS score FROM embeddings q, embeddings d WHERE q.vec_id < 20),
+DENSE = """dots AS (SELECT q.vec_id AS query, d.vec_id AS doc, round(list_sum(list_transform(list_zip(q.embedding, d.embedding), lambda x: x[1]::DOUBLE * x[2]::DOUBLE)), 6) AS score FROM embeddings q, embeddings d WHERE q.vec_id % 50 = 0),
 den AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, doc) AS rank FROM dots) WHERE rank <= 10)"""
 
 
 def dense_of(t, k=10):
     corpus = t.embeddings.select(F.col("vec_id").alias("doc"), F.col("embedding").alias("vector"))
-    # The query vectors of the catalogue: the first twenty.
-    return retrieval.dense_top(t.embeddings.where("vec_id < 20").select(F.col("vec_id").alias("query"), F.col("embedding").alias("vector")), corpus, k)
+    # The query set: all rows whose id is divisible by 50.
+    return retrieval.dense_top(t.embeddings.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query"), F.col("embedding").alias("vector")), corpus, k)
 
 
 @query(f"WITH {DENSE} SELECT query, doc, score, rank::INT AS rank FROM den")
@@ -227,8 +223,8 @@ BOTH = f"{POST}, {STAT}, {BM25}, {DENSE}, hits AS (SELECT query, 'bm25' AS chann
 
 def hits_of(t):
     corpus = t.embeddings.select(F.col("vec_id").alias("doc"), F.col("embedding").alias("vector"))
-    vectors = t.embeddings.where("vec_id < 20").select(F.col("vec_id").alias("query"), F.col("embedding").alias("vector"))
-    return retrieval.hybrid(asked(t), post_of(t), stats_of(t), vectors, corpus, 10)
+    vectors = t.embeddings.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query"), F.col("embedding").alias("vector"))
+    return retrieval.hybrid(asked(t), index_of(t), vectors, corpus, 10)
 
 
 @query(f"WITH {BOTH} SELECT query, channel, uri, score, rank::INT AS rank FROM hits")
@@ -290,15 +286,12 @@ def multi_signal_rank(t):
     return ranking.multi_signal(g, "course", "uri", 0.4, 0.4, 0.2, 15).select("course", "uri", F.round("final_score", 6).alias("final_score"), "final_rank")
 
 
-SIMS = "sims AS (SELECT query AS course, doc % 7 AS uri, label AS origin, doc AS sentence, score AS sim FROM dots JOIN embeddings ON doc = vec_id)"
+SIMS = "near AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, doc) AS n FROM dots) WHERE n <= 50), sims AS (SELECT query AS course, doc % 7 AS uri, label AS origin, doc AS sentence, score AS sim FROM near JOIN embeddings ON doc = vec_id)"
 
 
 def sims_of(t):
-    corpus = t.embeddings.select(F.col("vec_id").alias("doc"), F.col("embedding").alias("vector"), "label")
-    q = F.broadcast(t.embeddings.where("vec_id < 20").select(F.col("vec_id").alias("course"), F.col("embedding").alias("q")))
-    # Twenty query vectors: a bounded set against all rows.
-    s = corpus.join(q).select("course", (F.col("doc") % 7).alias("uri"), F.col("label").alias("origin"), F.col("doc").alias("sentence"), F.round(retrieval.dot(F.col("q"), F.col("vector")), 6).alias("sim"))
-    return s
+    near = dense_of(t, 50).join(t.embeddings.select(F.col("vec_id").alias("doc"), "label"), "doc")
+    return near.select(F.col("query").alias("course"), (F.col("doc") % 7).alias("uri"), F.col("label").alias("origin"), F.col("doc").alias("sentence"), F.col("score").alias("sim"))
 
 
 @query(f"""WITH {DENSE}, {SIMS}, o AS (SELECT course, uri, origin, max(sim) AS top, arg_min(sentence, (-sim, sentence)) AS sentence FROM sims GROUP BY ALL)
@@ -336,7 +329,7 @@ def candidates_of(t):
     )
     kind = F.when(F.col("uri") % 2 == 0, "knowledge").otherwise("skill")
     g = g.withColumn("concept_type", kind).withColumn("course_type", F.when(F.col("course_code") == "1-URGENT", "FOUNDATIONAL").otherwise("CORE")).withColumn("capstone", F.col("course_code") == "5-LOW")
-    g = g.withColumn("agreement", retrieval.agreement(F.col("bm25_rank"), F.col("dense_rank"))).withColumn("mismatch_flagged", F.col("uri") % 11 == 0)
+    g = g.withColumn("agreement", retrieval.agreement(F.col("bm25_rank"), F.col("dense_rank"))).withColumn("mismatch_flagged", F.col("uri") % 11 == 0).withColumn("esco_type_agrees", F.col("uri") % 22 != 0)
     units = t.orders.select(F.col("o_orderpriority").alias("course_code"), F.lit("CLO").alias("source_type"), F.lit("full").alias("subtype"), F.when(F.col("o_orderpriority") == "2-HIGH", "clinical itil exploit").otherwise("none").alias("text"), F.lit(False).alias("is_boilerplate"))
     return g.join(routing.signals(units), "course_code", "left").withColumn("uri", F.concat(F.lit("u"), F.lpad(F.col("uri").cast("string"), 9, "0")))
 
@@ -349,8 +342,8 @@ HIGH = "course_code = '2-HIGH'"
 GUARD_FRAME = "CASE " + " ".join(f"WHEN {words_sql((*a, n))} THEN NOT ({HIGH} AND {str(any('itil' == x for x in (*a, n)) ).lower()})" for n, a in config.FRAMEWORKS) + " ELSE false END"
 GUARD_DOMAIN = " OR ".join(f"({words_sql(g)} AND NOT ({HIGH} AND {str('clinical' in g).lower()}))" for g in config.BLOCKED_KEYWORDS)
 ROUTE = f"""cand AS ({CAND}), b AS (SELECT *, CASE WHEN uri % 2 = 0 THEN 'knowledge' ELSE 'skill' END AS concept_type, CASE WHEN course_code = '1-URGENT' THEN 'FOUNDATIONAL' ELSE 'CORE' END AS course_type, course_code = '5-LOW' AS cap, uri % 11 = 0 AS bad, {AGREE} AS agreement FROM cand),
-g AS (SELECT *, CASE WHEN avg_weight < 0.35 THEN 'low_evidence_quality' WHEN {GUARD_DOMAIN} THEN 'DOMAIN_BLOCK' WHEN {words_sql(config.OFFENSIVE_KEYWORDS)} AND NOT {HIGH} THEN 'SECURITY_DRIFT' WHEN {GUARD_FRAME} THEN 'FRAMEWORK_WITHOUT_EXPLICIT_TEACHING'
-  WHEN cap AND avg_weight < 0.4 THEN 'CAPSTONE_LOW_EVIDENCE_WEIGHT' WHEN agreement = 'WEAK' AND bad THEN 'WEAK_RETRIEVAL_MISMATCH' WHEN agreement = 'WEAK' AND cap THEN 'WEAK_RETRIEVAL_CAPSTONE' END AS guard,
+g AS (SELECT *, avg_weight < 0.35 AS low, CASE WHEN {GUARD_DOMAIN} THEN 'DOMAIN_BLOCK' WHEN {words_sql(config.OFFENSIVE_KEYWORDS)} AND NOT {HIGH} THEN 'SECURITY_DRIFT' WHEN {GUARD_FRAME} THEN 'FRAMEWORK_WITHOUT_EXPLICIT_TEACHING'
+  WHEN cap AND avg_weight < 0.4 THEN 'CAPSTONE_LOW_EVIDENCE_WEIGHT' WHEN bad AND uri % 22 = 0 AND avg_weight < 0.35 THEN 'TRIPLE_FAIL_MISMATCH' WHEN agreement = 'WEAK' AND bad THEN 'WEAK_RETRIEVAL_MISMATCH' WHEN agreement = 'WEAK' AND cap THEN 'WEAK_RETRIEVAL_CAPSTONE' END AS guard,
   coalesce(rerank, combined) - CASE WHEN bad THEN 0.025 ELSE 0 END AS s, CASE WHEN bad THEN greatest(0, combined - 0.025) ELSE combined END AS c2, CASE WHEN agreement = 'STRONG' THEN 0.01 ELSE 0 END AS bonus FROM b),
 h AS (SELECT *, CASE WHEN cap THEN 0.74 WHEN concept_type = 'knowledge' THEN 0.8 ELSE 0.85 END - bonus AS t1, CASE WHEN cap THEN 0.74 WHEN concept_type = 'knowledge' THEN 0.65 ELSE 0.75 END - bonus AS t2, CASE WHEN cap THEN 0.74 WHEN concept_type = 'knowledge' THEN 0.35 ELSE 0.4 END - bonus AS t4 FROM g),
 i AS (SELECT *, CASE WHEN s >= t1 THEN 'PRIMARY' WHEN s >= t2 THEN 'SECONDARY' WHEN s >= t4 THEN 'OPTIONAL' ELSE 'low_confidence' END AS tr FROM h),
@@ -359,17 +352,18 @@ j AS (SELECT *, tr = 'PRIMARY' AND rerank >= t1 AND rrf < 0.005 AS down, guard I
   CASE WHEN cap AND contains(label, 'design') THEN 'design' WHEN cap AND {words_sql(('legal', 'compliance', 'regulation'))} THEN 'law' END AS cluster FROM i),
 k AS (SELECT *, qual AND coalesce(row_number() OVER (PARTITION BY course_code, concept_type, qual, cluster ORDER BY round(priority, 9) DESC, uri) > CASE cluster WHEN 'design' THEN 3 WHEN 'law' THEN 2 END, false) AS skipped FROM j),
 m AS (SELECT *, CASE WHEN qual AND NOT skipped THEN row_number() OVER (PARTITION BY course_code, concept_type, qual, skipped ORDER BY round(priority, 9) DESC, uri) END AS cap_rank FROM k),
-routed AS (SELECT course_code, 'u' || lpad(uri::VARCHAR, 9, '0') AS uri, uri AS part, concept_type, label, round(priority, 6) AS priority, cap_rank::INT AS cap_rank, CASE WHEN guard IS NOT NULL THEN NULL WHEN down THEN 'SECONDARY' ELSE tr END AS tier,
+routed AS (SELECT course_code, 'u' || lpad(uri::VARCHAR, 9, '0') AS uri, uri AS part, concept_type, label, low, CASE WHEN qual THEN round(priority, 6) END AS priority, cap_rank::INT AS cap_rank, CASE WHEN NOT qual THEN 'low_confidence' WHEN down THEN 'SECONDARY' ELSE tr END AS tier,
+  CASE WHEN NOT qual THEN 'LOW' WHEN down OR tr = 'SECONDARY' THEN 'MED' ELSE 'HIGH' END AS confidence,
   coalesce(guard, CASE WHEN NOT qual THEN 'below_overflow_threshold' END, CASE WHEN skipped OR cap_rank > lim THEN 'exceeds_hard_cap_' || lim END) AS reject_reason, down FROM m),
 final AS (SELECT *, CASE WHEN reject_reason IS NULL AND NOT down THEN 'ACCEPT' ELSE 'REJECT' END AS decision FROM routed)"""
 
 
-@query(f"WITH {ROUTE} SELECT course_code, uri, tier, decision, reject_reason, priority, cap_rank FROM final")
+@query(f"WITH {ROUTE} SELECT course_code, uri, tier, confidence, decision, reject_reason, priority, cap_rank, low AS low_evidence_quality FROM final")
 def route_tiers(t):
-    return routing.route(candidates_of(t)).select("course_code", "uri", "tier", "decision", "reject_reason", F.round("priority", 6).alias("priority"), "cap_rank")
+    return routing.route(candidates_of(t)).select("course_code", "uri", "tier", "confidence", "decision", "reject_reason", F.round("priority", 6).alias("priority"), "cap_rank", "low_evidence_quality")
 
 
-@query(f"WITH {ROUTE} SELECT course_code, concept_type, count_if(tier = 'PRIMARY')::BIGINT AS n_primary, count_if(tier = 'SECONDARY')::BIGINT AS n_secondary, count_if(tier = 'OPTIONAL')::BIGINT AS n_optional, count_if(decision = 'ACCEPT')::BIGINT AS n_accept, count(*) AS n_all FROM final GROUP BY ALL")
+@query(f"WITH {ROUTE} SELECT course_code, concept_type, count_if(tier = 'PRIMARY')::BIGINT AS n_primary, count_if(tier = 'SECONDARY')::BIGINT AS n_secondary, count_if(tier = 'OPTIONAL')::BIGINT AS n_optional, count_if(tier = 'low_confidence')::BIGINT AS n_low_confidence, count_if(decision = 'ACCEPT')::BIGINT AS n_accept, count(*) AS n_all FROM final GROUP BY ALL")
 def tier_summary(t):
     return routing.tier_summary(routing.route(candidates_of(t)), ["course_code", "concept_type"])
 
@@ -400,20 +394,92 @@ def overlap_anti(t):
     return kept.withColumn("status", F.lit("kept")).unionByName(gone.withColumn("status", F.lit("removed"))).select("l_partkey", "status", "n")
 
 
-@query("""WITH x AS (SELECT o_orderpriority AS course_code, l_partkey AS uri, l_returnflag AS src, l_linenumber || '' AS eid, l_linestatus AS mention, l_linenumber AS pos FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linenumber <= 5),
+@query("""WITH x AS (SELECT o_orderpriority AS course_code, l_partkey AS uri, l_returnflag AS src, l_linenumber || '' AS eid, l_linestatus AS mention, l_linenumber AS pos FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
 m AS (SELECT course_code, uri, mention, min(pos) AS pos FROM x GROUP BY ALL)
 SELECT course_code, uri, array_to_string(list_sort(list(DISTINCT eid)), ',') AS evidence, array_to_string(list_sort(list(DISTINCT src)), ',') AS sources, any_value(mm.s) AS matched_mention, any_value(p_name) AS label, 'skill' AS concept_type
 FROM x JOIN (SELECT course_code, uri, array_to_string(list(mention ORDER BY pos, mention), '; ') AS s FROM m GROUP BY ALL) AS mm USING (course_code, uri) LEFT JOIN part ON uri = p_partkey GROUP BY course_code, uri""")
 def record_provenance(t):
     j = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(F.col("o_orderpriority").alias("course_code"), F.col("l_partkey").alias("uri"), F.col("l_linenumber").cast("string").alias("line"), "l_returnflag", F.col("l_linestatus").alias("mention"), F.col("l_linenumber").alias("pos"))
     j = j.withColumn("evidence_id", F.concat_ws("/", "line", "l_returnflag"))
-    units = j.where("pos <= 5").select("evidence_id", F.col("l_returnflag").alias("source_type"), F.lit("").alias("text")).distinct()
+    units = j.select("evidence_id", F.col("l_returnflag").alias("source_type"), F.lit("").alias("text")).distinct()
     meta = t.part.select(F.col("p_partkey").alias("uri"), F.col("p_name").alias("label"), F.lit(None).cast("string").alias("skill_type"))
-    out = records.build(j.where("pos <= 5").select("course_code", "uri").distinct(), j, units, meta)
+    out = records.build(j.select("course_code", "uri").distinct(), j, units, meta)
     ids = F.array_join(F.array_sort(F.array_distinct(F.transform("evidence_ids", lambda x: F.split(x, "/")[0]))), ",")
     return out.select("course_code", "uri", ids.alias("evidence"), "sources", "matched_mention", "label", "concept_type")
 
 
+LINKED = """x AS (SELECT o_orderpriority AS course_code, l_partkey AS uri, l_linenumber || '/' || l_returnflag AS eid, l_linestatus AS mention, l_linenumber AS pos, l_returnflag AS src, CASE l_returnflag WHEN 'A' THEN 'skill' WHEN 'R' THEN 'knowledge' END AS head, l_discount FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+m AS (SELECT course_code, uri, eid, mention, min(pos) AS pos FROM x GROUP BY ALL), e AS (SELECT course_code, uri, eid, min(pos) AS pos, array_to_string(list(mention ORDER BY pos, mention), '; ') AS mm FROM m GROUP BY ALL),
+ev AS (SELECT course_code, uri, count(*) AS n, md5(array_to_string(list(eid || '|' || split_part(eid, '/', 2) || '|' || mm ORDER BY pos, eid), ';')) AS h FROM e WHERE NOT starts_with(eid, '7/') GROUP BY ALL),
+hd AS (SELECT course_code, uri, CASE WHEN count(head) > 0 THEN CASE WHEN count_if(head = 'skill') >= count_if(head = 'knowledge') THEN 'skill' ELSE 'knowledge' END END AS signal, string_agg(DISTINCT src, ',' ORDER BY src) AS sources, round(avg(l_discount), 6) AS confidence FROM x GROUP BY ALL),
+k AS (SELECT hd.*, uri % 3 <> 0 AS known, CASE WHEN uri % 3 <> 0 AND uri % 2 = 0 THEN 'knowledge' ELSE 'skill' END AS concept FROM hd)"""
+
+
+@query(f"""WITH {LINKED} SELECT k.course_code, k.uri, CASE WHEN known THEN p_name ELSE 'c' || k.uri END AS preferred_label, concept AS concept_type, CASE WHEN concept = 'knowledge' THEN 'TEACHES_KNOWLEDGE' ELSE 'TEACHES_SKILL' END AS relation_type,
+coalesce(n, 0) AS n_evidence, coalesce(h, md5('')) AS evidence_md5, sources, signal AS head, coalesce(signal = concept, true) AS agrees, coalesce(signal <> concept, false) OR k.uri % 11 = 0 AS flagged, confidence FROM k JOIN part ON p_partkey = k.uri LEFT JOIN ev USING (course_code, uri)""")
+def teacher_records(t):
+    j = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(F.col("o_orderpriority").alias("course_code"), F.col("l_partkey").alias("uri"), F.concat_ws("/", F.col("l_linenumber").cast("string"), "l_returnflag").alias("evidence_id"), F.col("l_linestatus").alias("mention"), F.col("l_linenumber").alias("pos"), F.col("l_returnflag").alias("source"), F.when(F.col("l_returnflag") == "A", "skill").when(F.col("l_returnflag") == "R", "knowledge").alias("head_type"), "l_discount")
+    units = j.where("pos <> 7").select("evidence_id").distinct().withColumn("p", F.split("evidence_id", "/"))
+    units = units.select("evidence_id", F.col("p")[1].alias("source_type"), F.col("p")[0].alias("source_id"), F.lit("").alias("text"), F.lit(None).cast("string").alias("subtype"), F.lit(0.5).alias("evidence_weight"), F.lit(False).alias("is_boilerplate"))
+    none = F.lit(None).cast("int")
+    cand = j.groupBy("course_code", "uri").agg(F.round(F.avg("l_discount"), 6).alias("confidence")).select("*", F.concat(F.lit("c"), "uri").alias("label"), (F.col("uri") % 11 == 0).alias("mismatch_penalty_applied"), none.alias("bm25_rank"), none.alias("dense_rank"), none.alias("esco_rank"))
+    meta = t.part.where("p_partkey % 3 <> 0").select(F.col("p_partkey").alias("uri"), F.col("p_name").alias("label"), F.when(F.col("p_partkey") % 2 == 0, "Knowledge").otherwise("skill/competence").alias("skill_type"))
+    shown = F.md5(F.array_join(F.transform("evidence", lambda e: F.concat_ws("|", e["evidence_id"], e["source_type"], e["matched_mention"])), ";"))
+    return records.teacher_records(cand, j, units, meta).select("course_code", "uri", "preferred_label", "concept_type", "relation_type", F.size("evidence").cast("long").alias("n_evidence"), shown.alias("evidence_md5"), F.col("extraction.source").alias("sources"), F.col("extraction.matched_head_type").alias("head"), F.col("esco_type_agrees").alias("agrees"), F.col("mismatch_flagged").alias("flagged"), "confidence")
+
+
+@query(f"""WITH {ROUTE} SELECT course_code, count(*) AS total_records, count_if(concept_type = 'skill')::BIGINT AS skill_count, count_if(concept_type = 'knowledge')::BIGINT AS knowledge_count, count_if(tier = 'PRIMARY')::BIGINT AS n_primary, count_if(tier = 'low_confidence')::BIGINT AS n_low,
+md5(coalesce(array_to_string(list(uri ORDER BY uri) FILTER (concept_type = 'skill'), ','), '')) AS skills, md5(coalesce(array_to_string(list(uri ORDER BY uri) FILTER (concept_type = 'knowledge'), ','), '')) AS knowledges FROM final GROUP BY course_code""")
+def summary_documents(t):
+    rows = routing.route(candidates_of(t)).withColumn("preferred_label", F.col("label")).withColumn("confidence", F.col("final_combined"))
+    uris = lambda c: F.md5(F.array_join(F.transform(c, lambda x: x["uri"]), ",")).alias(c)
+    d = F.col("tier_distribution")
+    return records.summary_documents(rows).select("course_code", "total_records", "skill_count", "knowledge_count", d["PRIMARY"].alias("n_primary"), d["low_confidence"].alias("n_low"), uris("skills"), uris("knowledges"))
+
+
+@query("""WITH m AS (SELECT l_orderkey, l_returnflag AS eid, l_linestatus AS mention, min(l_linenumber) AS pos FROM lineitem GROUP BY ALL), e AS (SELECT l_orderkey, eid, array_to_string(list(mention ORDER BY pos, mention), ',') AS ms FROM m GROUP BY ALL)
+SELECT l_orderkey, array_to_string(list(eid || '=' || ms ORDER BY eid), ';') AS mentions FROM e GROUP BY l_orderkey""")
+def mention_map(t):
+    out = retrieval.mention_map(t.lineitem.select("l_orderkey", F.col("l_returnflag").alias("evidence_id"), F.col("l_linestatus").alias("mention"), F.col("l_linenumber").alias("pos")), ["l_orderkey"])
+    each = F.transform(F.map_entries("evidence_mentions"), lambda x: F.concat_ws("=", x["key"], F.array_join(x["value"], ",")))
+    return out.select("l_orderkey", F.array_join(F.array_sort(each), ";").alias("mentions"))
+
+
+@query(f"""WITH {LINES}, {UNITS}, b AS (SELECT doc_id, avg(({' OR '.join(f"regexp_matches(trim(lower(line)), '{p}')" for p in config.BOILERPLATE)})::INT) AS r FROM units GROUP BY doc_id) SELECT d.doc_id, round(r, 6) AS ratio, coalesce(r > 0.6, true) AS is_sparse FROM documents d LEFT JOIN b USING (doc_id)""")
+def sparse_courses(t):
+    out = evidence.sparse_courses(t.documents.select(F.col("doc_id").alias("code")), units_of(t))
+    return out.select(F.col("code").alias("doc_id"), F.round("boilerplate_ratio", 6).alias("ratio"), "is_sparse")
+
+
+@query("""SELECT *, CASE WHEN cap_rank > 7 THEN 'exceeds_hard_cap_7' END AS reject_reason FROM (SELECT p_partkey, p_brand, row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice DESC, p_partkey)::INT AS cap_rank FROM part)""")
+def hard_cap(t):
+    return ranking.hard_cap(t.part, ["p_brand"], [F.col("p_retailprice").desc(), F.col("p_partkey")], 7).select("p_partkey", "p_brand", "cap_rank", "reject_reason")
+
+
+@query("""SELECT doc_id, md5(trim(source || '. ' || coalesce(nullif(ws[1], ''), lang))) AS context, md5(trim(lang || '. ' || text)) AS candidate FROM (SELECT *, CASE WHEN doc_id % 3 = 0 THEN [] ELSE string_split(text, ' ') END AS ws FROM documents) WHERE doc_id % 3 = 0 OR ws[1] <> ''""")
+def rerank_texts(t):
+    words = F.when(F.col("doc_id") % 3 == 0, F.array().cast("array<string>")).otherwise(F.split("text", " "))
+    rows = t.documents.select("doc_id", F.col("source").alias("course_title"), F.col("lang").alias("label"), F.col("text").alias("description"), words.alias("mentions"), F.array("lang").alias("source_texts"))
+    rows = rows.where((F.size("mentions") == 0) | (F.get("mentions", F.lit(0)) != ""))
+    return retrieval.rerank_texts(rows).select("doc_id", F.md5("context").alias("context"), F.md5("candidate").alias("candidate"))
+
+
+CONTEXT = """cdots AS (SELECT q.vec_id AS query, d.vec_id AS doc, round(list_sum(list_transform(list_zip(list_reverse(q.embedding), d.embedding), lambda x: x[1]::DOUBLE * x[2]::DOUBLE)), 6) AS score FROM embeddings q, embeddings d WHERE q.vec_id % 50 = 0),
+cden AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, doc) AS rank FROM cdots) WHERE rank <= 10),
+every AS (SELECT query, 'bm25' AS channel, doc AS uri, score, rank FROM lex UNION ALL SELECT query, 'dense', doc, max(score), min(rank) FROM (SELECT * FROM den UNION ALL SELECT * FROM cden) GROUP BY query, doc
+UNION ALL SELECT vec_id, 'esco_extract', vec_id + 1, label::DOUBLE, 1 FROM embeddings WHERE vec_id % 50 = 0)"""
+
+
+@query(f"WITH {POST}, {STAT}, {BM25}, {DENSE}, {CONTEXT} SELECT query, channel, uri, score, rank::INT AS rank FROM every")
+def hybrid_context(t):
+    corpus = t.embeddings.select(F.col("vec_id").alias("doc"), F.col("embedding").alias("vector"))
+    asked_for = t.embeddings.where("vec_id % 50 = 0")
+    vectors = asked_for.select(F.col("vec_id").alias("query"), F.col("embedding").alias("vector"))
+    context = asked_for.select(F.col("vec_id").alias("query"), F.reverse("embedding").alias("vector"))
+    direct = asked_for.select(F.col("vec_id").alias("query"), (F.col("vec_id") + 1).alias("uri"), F.col("label").cast("double").alias("score"))
+    return retrieval.hybrid(asked(t), index_of(t), vectors, corpus, 10, context, direct)
+
+
 @query("""SELECT l_orderkey, CASE WHEN count_if(l_returnflag = 'A') + count_if(l_returnflag = 'R') = 0 THEN NULL WHEN count_if(l_returnflag = 'A') >= count_if(l_returnflag = 'R') THEN 'skill' ELSE 'knowledge' END AS signal FROM lineitem GROUP BY l_orderkey""")
 def head_majority(t):
     heads = F.collect_list(F.when(F.col("l_returnflag") == "A", "skill").when(F.col("l_returnflag") == "R", "knowledge").otherwise("none"))
@@ -433,18 +499,43 @@ def concept_tags(t):
     return records.concept_tags(mentions_of(t)).select("course_code", "normalized", "text", F.array_join("evidence_ids", ",").alias("evidence"))
 
 
-@query(f"""WITH {TAGTOK} SELECT lower(mention) AS normalized, course_code % 5 AS uri, round(max(1 / (1 + course_code)), 6) AS confidence FROM tm WHERE pos <= 6 GROUP BY ALL""")
+# Candidates are the words of a course by place modulo 7; several of them name one skill.
+CANDS = f"""{TAGTOK}, aw AS (SELECT course_code, ws[i] AS mention, i AS pos FROM (SELECT *, unnest(generate_series(1, len(ws))) AS i FROM tt)),
+pairs AS (SELECT course_code, lower(trim(mention)) AS normalized, pos % 7 % 3 AS uri, pos % 7 AS place FROM aw)"""
+
+
+def tag_candidates(t):
+    every = t.benchmark.select(F.col("item_id").alias("course_code"), F.posexplode(F.split("text", r"\s+")).alias("at", "mention")).withColumn("place", (F.col("at") + 1) % 7)
+    cand = every.groupBy("course_code", F.col("place").cast("int").alias("pos")).agg(F.collect_set("mention").alias("mentions"))
+    return cand.select("course_code", "pos", (F.col("pos") % 3).alias("uri"), "mentions", (1 / (2 + F.col("pos"))).alias("confidence"))
+
+
+@query(f"""WITH {CANDS} SELECT course_code, normalized, uri::INT AS uri, round(1 / (2 + min(place)), 6) AS confidence FROM pairs GROUP BY ALL""")
 def concept_edges(t):
-    m = mentions_of(t)
-    cand = m.where("pos <= 6").groupBy("course_code").agg(F.collect_set("mention").alias("mentions")).select("course_code", (F.col("course_code") % 5).alias("uri"), "mentions", (1 / (1 + F.col("course_code"))).alias("confidence"))
-    return records.concept_edges(records.concept_tags(m), cand)
+    return records.concept_edges(tag_candidates(t)).select("course_code", "normalized", "uri", "confidence")
+
+
+@query(f"""WITH {CANDS}, k AS (SELECT course_code, normalized, min(place) AS place FROM pairs GROUP BY ALL), tg AS (SELECT course_code, lower(mention) AS normalized, arg_min(mention, (pos, mention)) AS text FROM tm GROUP BY ALL)
+SELECT course_code, tg.normalized, text, CASE WHEN place % 4 = 0 THEN 'foundational' WHEN {sql_any('text', config.CONCEPT_INTERPERSONAL)} THEN 'interpersonal' WHEN {sql_any('text', config.CONCEPT_COGNITIVE)} THEN 'cognitive' WHEN {sql_any('text', config.CONCEPT_METHODOLOGICAL)} THEN 'methodological' ELSE 'cognitive' END AS loai FROM tg LEFT JOIN k USING (course_code, normalized)""")
+def support_tags(t):
+    cand = tag_candidates(t).withColumn("skill_type", F.when(F.col("pos") % 4 == 0, "knowledge").otherwise("skill/competence"))
+    return records.support_tags(mentions_of(t), cand).select("course_code", "normalized", "text", "loai")
+
+
+@query(f"""WITH {CANDS}, tg AS (SELECT DISTINCT course_code, lower(mention) AS normalized FROM tm), e AS (SELECT DISTINCT course_code, normalized, uri FROM pairs), a AS (SELECT course_code, count(*) AS n FROM tg GROUP BY ALL), b AS (SELECT course_code, count(*) AS n FROM e GROUP BY ALL)
+SELECT coalesce(a.course_code, b.course_code) AS course_code, coalesce(a.n, 0) AS total_concept_tags, coalesce(a.n, 0) AS total_has_concept_edges, coalesce(b.n, 0) AS total_evidence_for_edges FROM a FULL JOIN b USING (course_code)""")
+def tag_documents(t):
+    docs = records.tag_documents(records.concept_tags(mentions_of(t)), records.concept_edges(tag_candidates(t)), "teach")
+    back = F.from_json("document", "concept_tags array<string>, has_concept_edges array<string>, evidence_for_edges array<string>")
+    n = lambda c: F.size(F.col("d")[c]).cast("long")
+    return docs.withColumn("d", back).select("course_code", n("concept_tags").alias("total_concept_tags"), n("has_concept_edges").alias("total_has_concept_edges"), n("evidence_for_edges").alias("total_evidence_for_edges"))
 
 
 @query(f"""WITH {POST}, {STAT}, {BM25}, gold AS (SELECT item_id AS query, doc_id AS doc FROM benchmark b JOIN documents d ON contains(d.text, b.text)), hit AS (SELECT l.query, l.doc, rank FROM lex l JOIN gold USING (query, doc)),
 c AS (SELECT (SELECT count(*) FROM hit) AS tp, (SELECT count(*) FROM lex) AS n_pred, (SELECT count(*) FROM gold) AS n_gold), f AS (SELECT query, min(rank) AS r FROM hit GROUP BY query)
 SELECT tp, n_pred, n_gold, round(tp / n_pred, 6) AS precision, round(tp / n_gold, 6) AS recall, round(2 * tp / (n_pred + n_gold), 6) AS f1, round((SELECT avg(coalesce(1 / r, 0)) FROM (SELECT DISTINCT query FROM gold) LEFT JOIN f USING (query)), 6) AS mrr FROM c""")
 def eval_metrics(t):
-    found = retrieval.bm25_top(asked(t), post_of(t), stats_of(t), 10)
+    found = retrieval.bm25_top(asked(t), index_of(t), 10)
     # The benchmark has a fixed number of short items; they are matched against all documents.
     gold = t.documents.join(t.benchmark.select("item_id", F.col("text").alias("needle")).hint("broadcast"), F.col("text").contains(F.col("needle"))).select(F.col("item_id").alias("query"), F.col("doc_id").alias("doc"))
     out = records.evaluate(found, gold, "query", "doc")

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from taxoloom.sources.scratch import dealt_out
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
@@ -21,10 +23,7 @@ class Tables:
 
     @property
     def documents(self) -> DataFrame:
-        """Long texts in fewer parts than there are cores are dealt out first: a row group is the least a scan can split."""
-        df = self.spark.read.parquet(f"{self.sf_dir}/documents.parquet")
-        cores = self.spark.sparkContext.defaultParallelism
-        return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+        return dealt_out(self.spark.read.parquet(f"{self.sf_dir}/documents.parquet"))
 
 
 def query(sql: str | None = None):

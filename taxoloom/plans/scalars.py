@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from taxoloom import config
 from taxoloom.functions import text as tx
 from taxoloom.functions import unicode as un
 from taxoloom.operators import ranking
@@ -43,12 +44,12 @@ def slug_label(t):
     return t.part.select("p_partkey", tx.slugify_label("p_name").alias("slug"), tx.safe_label(F.concat_ws(" ", "p_name", "p_type")).alias("safe"))
 
 
-@query()
+@query("""SELECT doc_id, md5(upper(regexp_replace(regexp_replace(strip_accents(text), '[^A-Za-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g'))) AS slug_md5 FROM documents""")
 def slug_ascii_upper(t):
     return t.documents.select("doc_id", F.md5(un.slug_upper(F.col("text"))).alias("slug_md5"))
 
 
-@query()
+@query(f"""WITH {LINES}, n AS (SELECT doc_id, line_no, replace(lower(trim(regexp_replace(nfc_normalize(line), '\\s+', ' ', 'g'))), 'ß', 'ss') AS name FROM lines) SELECT doc_id, min(line_no) AS line_no, md5(name) AS name_md5 FROM n WHERE name <> '' GROUP BY doc_id, name""")
 def name_casefold_dedup(t):
     keyed = lines_of(t).withColumn("name", un.name_key(F.col("line"))).where("name <> ''")
     return ranking.keep_first(keyed.select("doc_id", "name", "line_no"), ["doc_id", "name"], ["line_no"]).select("doc_id", "line_no", F.md5("name").alias("name_md5"))
@@ -164,6 +165,20 @@ def sigmoid_score(t):
     return t.lineitem.groupBy("l_orderkey", "l_partkey").agg(F.count("*").alias("n"), F.round(F.sum(tx.sigmoid(F.col("l_discount") * 10 - 0.5)), 6).alias("s"))
 
 
+@query("SELECT p_partkey, round(1 / (exp(p_size / 10.0 - p_retailprice / 1000) + 1), 6) AS last FROM part")
+def softmax_score(t):
+    return t.part.select("p_partkey", F.round(tx.softmax_last(F.array(F.col("p_size") / 10, F.col("p_retailprice") / 1000)), 6).alias("last"))
+
+
+CONCEPT = "p_name || ' ' || CASE p_partkey % 6 WHEN 0 THEN 'Teamwork' WHEN 1 THEN 'debugging' WHEN 2 THEN 'Research' WHEN 3 THEN 'giao tiếp nhóm' ELSE '' END"
+
+
+@query(f"""SELECT p_partkey, CASE WHEN contains(lower(p_type), 'steel') THEN 'foundational' WHEN {sql_any('c', config.CONCEPT_INTERPERSONAL)} THEN 'interpersonal' WHEN {sql_any('c', config.CONCEPT_COGNITIVE)} THEN 'cognitive' WHEN {sql_any('c', config.CONCEPT_METHODOLOGICAL)} THEN 'methodological' ELSE 'cognitive' END AS loai FROM (SELECT *, {CONCEPT} AS c FROM part)""")
+def concept_class(t):
+    kind = F.when(tx.contains_any("p_type", ("steel",)), "knowledge").otherwise("skill/competence")
+    return t.part.select("p_partkey", tx.concept_class(F.expr(CONCEPT), kind).alias("loai"))
+
+
 @query("SELECT item_id, replace(text, '''', '\\''') AS escaped FROM benchmark")
 def cypher_escape(t):
     return t.benchmark.select("item_id", tx.cypher_escape("text").alias("escaped"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import email
 import email.policy
 from collections.abc import Iterator
+from functools import reduce
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -42,7 +43,8 @@ def struct_of(schema: str) -> str:
 def contract_table(spark: SparkSession, root: str, kind: str) -> DataFrame:
     """One of a contract's four tables ``(code, pos, ...)``, over all courses below ``root``.
 
-    A file is ``<code>/<code>__<kind>.json``; folders that begin with ``_`` are left out; files that don't parse give no rows.
+    A file is ``<code>/<code>__<kind>.json``; folders that begin with ``_`` are left out; files that don't parse give no rows here, and
+    are named by :func:`unreadable`.
     """
     schema = schemas.CONTRACT[kind]
     files = whole_files(spark, root, f"*__{kind}.json")
@@ -51,13 +53,23 @@ def contract_table(spark: SparkSession, root: str, kind: str) -> DataFrame:
     return rows.select("code", F.posexplode("r").alias("pos", "r")).select("code", (F.col("pos") + 1).alias("pos"), "r.*")
 
 
+def unreadable(spark: SparkSession, root: str) -> DataFrame:
+    """``(code, kind, path)`` of contract files that aren't JSON of one of the known forms."""
+    parts = []
+    for kind, schema in schemas.CONTRACT.items():
+        files = whole_files(spark, root, f"*__{kind}.json").where(unwrap(F.col("content"), schema).isNull())
+        parts.append(files.select(F.regexp_extract("path", r"([^/]+)__[a-z_]+\.json$", 1).alias("code"), F.lit(kind).alias("kind"), "path"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def contracts(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The four tables of the courses that have all four files; ``incomplete`` names what the others lack."""
     files = whole_files(spark, root, "*__*.json").select(F.regexp_extract("path", r"([^/]+)__[a-z_]+\.json$", 1).alias("code"), F.regexp_extract("path", r"__([a-z_]+)\.json$", 1).alias("kind"))
     kinds = files.groupBy("code").agg(F.array_sort(F.collect_set("kind")).alias("kinds"))
     lacking = kinds.withColumn("missing", F.array_except(F.array(*(F.lit(k) for k in schemas.CONTRACT)), "kinds"))
     whole = lacking.where(F.size("missing") == 0).select("code")
-    return {k: contract_table(spark, root, k).join(whole, "code", "left_semi") for k in schemas.CONTRACT} | {"incomplete": lacking.where(F.size("missing") > 0).select("code", "missing")}
+    out = {k: contract_table(spark, root, k).join(whole, "code", "left_semi") for k in schemas.CONTRACT}
+    return out | {"incomplete": lacking.where(F.size("missing") > 0).select("code", "missing"), "unreadable": unreadable(spark, root)}
 
 
 def merged_courses(spark: SparkSession, root: str) -> DataFrame:

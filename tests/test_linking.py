@@ -1,5 +1,6 @@
 """Retrieval, fusion, ranking, evidence, routing and records on literal rows."""
 
+import json
 import math
 
 import pytest
@@ -11,22 +12,22 @@ from taxoloom.operators import evidence, ranking, records, retrieval, routing
 
 def test_bm25_formula(spark):
     docs = spark.createDataFrame([(1, "cat dog"), (2, "cat cat fish fish"), (3, "bird sky sea"), (4, ""), (5, "sun moon")], "d long, t string")
-    post, stats = retrieval.postings(docs, "d", F.col("t")), retrieval.corpus_stats(docs, F.col("t"))
-    got = {(r.query, r.doc): r.score for r in retrieval.bm25(spark.createDataFrame([(9, "Cat cat fish")], "query long, text string"), post, stats).collect()}
+    index = retrieval.build_index(docs, "d", F.col("t"))
+    assert (index.n_docs, index.avgdl) == (4, 11 / 4)
+    got = {(r.query, r.doc): r.score for r in retrieval.bm25(spark.createDataFrame([(9, "Cat cat fish")], "query long, text string"), index).collect()}
     n, avg = 4, (2 + 4 + 3 + 2) / 4
     idf = lambda df: math.log((n - df + 0.5) / (df + 0.5))
     w = lambda i, tf, dl: i * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * dl / avg))
     cat = idf(2) if idf(2) >= 0 else None
     assert cat == 0 and got[9, 2] == pytest.approx(2 * w(cat, 2, 4) + w(idf(1), 2, 4))
     assert got[9, 1] == pytest.approx(0)
-    top = retrieval.bm25_top(spark.createDataFrame([(9, "cat fish")], "query long, text string"), post, stats, 5).collect()
+    top = retrieval.bm25_top(spark.createDataFrame([(9, "cat fish")], "query long, text string"), index, 5).collect()
     assert [(r.doc, r["rank"]) for r in top] == [(2, 1)]
 
 
 def test_negative_idf_floor(spark):
     docs = spark.createDataFrame([(i, "the x" + str(i)) for i in range(4)], "d long, t string")
-    p = retrieval.postings(docs, "d", F.col("t"))
-    got = {r.term: r.idf for r in retrieval.idf(p, retrieval.corpus_stats(docs, F.col("t"))).collect()}
+    got = {r.term: r.idf for r in retrieval.build_index(docs, "d", F.col("t")).idf.collect()}
     raw = [math.log(0.5 / 4.5)] + [math.log(3.5 / 1.5)] * 4
     assert got["the"] == pytest.approx(0.25 * sum(raw) / 5)
 
@@ -57,6 +58,7 @@ def test_dense_blocks_agree(spark, monkeypatch):
     q, d = v.where("id < 9").withColumnRenamed("id", "query"), v.withColumnRenamed("id", "doc").repartition(5)
     one = sorted(map(tuple, retrieval.dense_top(q, d, 4, exclude_self=True).collect()))
     monkeypatch.setattr(retrieval, "QUERY_BYTES", 8 * 4 * 2)
+    monkeypatch.setattr(retrieval, "SCORES", 7)
     assert sorted(map(tuple, retrieval.dense_top(q, d, 4, exclude_self=True).collect())) == one
     vec = dict(rows)
     for qid in range(9):
@@ -108,7 +110,16 @@ def routed(spark, rows, evidence_rows=(), p=config.CODE_DEFAULTS):
     "change, reason",
     [
         ({}, None),
-        ({"avg_weight": 0.34}, "low_evidence_quality"),
+        ({"avg_weight": 0.34}, None),
+        ({"avg_weight": None, "rerank": 0.95}, None),
+        ({"avg_weight": 0.34, "mismatch_flagged": True, "esco_type_agrees": False}, "TRIPLE_FAIL_MISMATCH"),
+        ({"avg_weight": 0.35, "mismatch_flagged": True, "esco_type_agrees": False}, None),
+        ({"avg_weight": 0.34, "mismatch_flagged": True}, None),
+        ({"avg_weight": 0.34, "capstone": True}, "CAPSTONE_LOW_EVIDENCE_WEIGHT"),
+        ({"avg_weight": 0.34, "mismatch_flagged": True, "esco_type_agrees": False, "agreement": "WEAK"}, "TRIPLE_FAIL_MISMATCH"),
+        ({"label": "malware", "uri": config.BLOCKED_URIS[0]}, "DOMAIN_BLOCK"),
+        ({"label": "malware with ITIL"}, "SECURITY_DRIFT"),
+        ({"label": "use ITIL", "capstone": True, "avg_weight": 0.1}, "FRAMEWORK_WITHOUT_EXPLICIT_TEACHING"),
         ({"uri": config.BLOCKED_URIS[0]}, "DOMAIN_BLOCK"),
         ({"uri": config.BLOCKED_URIS[1]}, None),
         ({"label": "a Microprocessor"}, "DOMAIN_BLOCK"),
@@ -127,6 +138,17 @@ def routed(spark, rows, evidence_rows=(), p=config.CODE_DEFAULTS):
 def test_guards(spark, change, reason):
     r = routed(spark, [change])[0]
     assert r.reject_reason == reason and r.decision == ("ACCEPT" if reason is None else "REJECT")
+    assert r.low_evidence_quality == ((BASE | change)["avg_weight"] is None or (BASE | change)["avg_weight"] < 0.35)
+    # All that is rejected before the cap is of low confidence, and has neither priority nor place.
+    assert (r.tier, r.confidence) == (("PRIMARY", "HIGH") if reason is None else ("low_confidence", "LOW"))
+    assert (r.priority is None) == (r.cap_rank is None) == (reason is not None)
+
+
+def test_penalties(spark):
+    """A mismatch lowers the combined score, at zero at the least, but not before the first five guards."""
+    rows = [{"uri": "1", "mismatch_flagged": True}, {"uri": "2", "mismatch_flagged": True, "combined": 0.01}, {"uri": "3", "mismatch_flagged": True, "label": "malware"}, {"uri": "4", "mismatch_flagged": True, "agreement": "WEAK"}, {"uri": "5"}]
+    got = {r.uri: (r.mismatch_penalty_applied, round(r.final_combined, 6)) for r in routed(spark, rows)}
+    assert got == {"1": (True, 0.475), "2": (True, 0.0), "3": (False, 0.5), "4": (True, 0.475), "5": (False, 0.5)}
 
 
 def test_signals_lift_guards(spark):
@@ -210,6 +232,47 @@ def test_records_and_tags(spark):
     assert [(t.normalized, t.text, t.evidence_ids) for t in tags] == [("sql", "sql", ["e2", "e1"])]
 
 
+def test_nested_records(spark):
+    links = spark.createDataFrame([("c", "http://x/s1", "e1", "B", 2, "llm", "knowledge"), ("c", "http://x/s1", "e2", "A", 1, "rule", "skill"), ("c", "http://x/s1", "e1", "C", 3, "llm", "knowledge"), ("c", "http://x/s1", "lost", "Z", 0, "llm", None)], "course_code string, uri string, evidence_id string, mention string, pos int, source string, head_type string")
+    us = spark.createDataFrame([("e1", "CLO", "1", "t1", "KY_NANG", 0.85, False), ("e2", "BAI_HOC", "2", "t2", "full", 1.0, True)], "evidence_id string, source_type string, source_id string, text string, subtype string, evidence_weight double, is_boilerplate boolean")
+    meta = spark.createDataFrame([("http://x/s1", "known", "skill/competence")], "uri string, label string, skill_type string")
+    cand = spark.createDataFrame([("c", "http://x/s1", "l1", 0.5, False, 1, None, None), ("c", "s2", "l2", 0.4, True, None, 3, 4)], "course_code string, uri string, label string, confidence double, mismatch_penalty_applied boolean, bm25_rank int, dense_rank int, esco_rank int")
+    a, b = records.teacher_records(cand, links, us, meta).orderBy("uri").collect()
+    assert (a.preferred_label, a.concept_type, a.relation_type, a.skill_id) == ("known", "skill", "TEACHES_SKILL", "s1")
+    assert [(e.source_type, e.source_id, e.matched_mention, e.evidence_weight, e.is_boilerplate) for e in a.evidence] == [("BAI_HOC", "2", "A", 1.0, True), ("CLO", "1", "B; C", 0.85, False)]
+    assert tuple(a.extraction) == ("llm,rule", "knowledge", False) and a.mismatch_flagged and tuple(a.retrieval) == (1, None, None)
+    assert (b.preferred_label, b.evidence, tuple(b.extraction), b.mismatch_flagged, b.esco_type_agrees) == ("l2", [], ("unknown", None, True), True, True)
+    s = records.summary_documents(records.teacher_records(cand, links, us, meta).withColumn("tier", F.lit("PRIMARY")).withColumn("decision", F.lit("ACCEPT"))).first()
+    assert (s.total_records, s.skill_count, s.knowledge_count, s.tier_distribution) == (2, 2, 0, {"PRIMARY": 2, "SECONDARY": 0, "OPTIONAL": 0, "low_confidence": 0})
+
+
+def test_edges_stay_in_their_course(spark):
+    cand = spark.createDataFrame([("a", 1, "u", ["SQL "], 0.2), ("a", 0, "u", ["sql", "x"], 0.1), ("b", 0, "u", ["sql"], 0.9)], "course_code string, pos int, uri string, mentions array<string>, confidence double")
+    got = sorted(map(tuple, records.concept_edges(cand).collect()))
+    assert got == [("a", "sql", "u", 0.1), ("a", "x", "u", 0.1), ("b", "sql", "u", 0.9)]
+    said = spark.createDataFrame([("a", "SQL", "e1", 1), ("a", "Teamwork", "e1", 2), ("a", "else", "e2", 3)], "course_code string, mention string, evidence_id string, pos int")
+    kinds = cand.withColumn("skill_type", F.when(F.col("pos") == 0, "knowledge").otherwise("skill"))
+    tags = records.support_tags(said, kinds)
+    assert {r.normalized: r.loai for r in tags.collect()} == {"sql": "foundational", "teamwork": "interpersonal", "else": "cognitive"}
+    docs = {r.course_code: json.loads(r.document) for r in records.tag_documents(tags, records.concept_edges(cand), "support").collect()}
+    assert docs["a"]["statistics"] == {"total_concept_tags": 3, "total_has_concept_edges": 3, "total_evidence_for_edges": 2} and docs["b"]["concept_tags"] == []
+
+
+def test_context_pass_and_direct_candidates(spark):
+    q = spark.createDataFrame([(1, "alpha")], "query long, text string")
+    docs = spark.createDataFrame([(i, w) for i, w in enumerate(["alpha beta", "beta", "gamma"])], "id long, text string")
+    corpus = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [-1.0, 0.0])], "doc long, vector array<double>")
+    v = lambda x: spark.createDataFrame([(1, x)], "query long, vector array<double>")
+    index = retrieval.build_index(docs, "id", F.col("text"))
+    got = retrieval.hybrid(q, index, v([1.0, 0.0]), corpus, 1, v([0.0, 1.0]), spark.createDataFrame([(1, 7, 0.5), (1, 8, 0.6)], "query long, uri long, score double"))
+    assert sorted((r.channel, r.uri, r.rank) for r in got.collect()) == [("bm25", 0, 1), ("dense", 0, 1), ("dense", 1, 1), ("esco_extract", 7, 2), ("esco_extract", 8, 1)]
+    assert spark.range(1).select(retrieval.with_context(F.lit("a"), F.lit("b")).alias("x"), retrieval.with_context(F.lit("a"), F.lit("")).alias("y")).first() == ("a. Context: b", None)
+    empty = retrieval.build_index(docs.limit(0), "id", F.col("text"))
+    assert retrieval.bm25_top(q, empty, 3).count() == 0
+    rows = spark.createDataFrame([("T", "l", "d", ["m"], ["s"]), ("T", "l", None, [], ["s"]), ("T", "l", "d", None, None)], "course_title string, label string, description string, mentions array<string>, source_texts array<string>")
+    assert [(r.context, r.candidate) for r in retrieval.rerank_texts(rows).collect()] == [("T. m", "l. d"), ("T. s", "l."), ("T.", "l. d")]
+
+
 def test_evaluation_and_review(spark):
     pred = spark.createDataFrame([("q", "a", 1), ("q", "b", 2), ("p", "z", 1)], "q string, i string, rank int")
     gold = spark.createDataFrame([("q", "b"), ("p", "y"), ("q", "b")], "q string, i string")
