@@ -1,15 +1,17 @@
-"""Shared scratch space, table hand-over between jobs, and connected components."""
+"""What several operators share: slices of texts, equal rows spread, and connected components."""
 
 from __future__ import annotations
 
 import re
-import tempfile
-import uuid
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from taxoloom.sources.scratch import forget, materialize, scratch_path, shared_dir
+
+__all__ = ["SEED", "connected_components", "forget", "materialize", "pieces", "scratch_path", "shared_dir", "spread"]
+
 #: Of the hashes of shingles.
 SEED = 42
 BLANK = re.compile(rb"[\x20\x09-\x0D]")
@@ -28,42 +30,6 @@ def pieces(data: bytes, size: int = 4 << 20) -> Iterator[bytes]:
         at = to
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor sees: ``spark.checkpoint.dir``.
-
-    Only a local master may do without the setting; it then gets a temporary folder, which is
-    remembered in the session. On a cluster a missing setting is an error.
-    """
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        at = "file://" + tempfile.mkdtemp(prefix="taxoloom-")
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at.rstrip("/")
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/taxoloom-{name}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back: lineage is cut, and a lost
-    executor costs no more than its running tasks."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def forget(df: DataFrame) -> None:
-    """Delete the files of a table that :func:`materialize` wrote, once nothing reads it."""
-    spark = df.sparkSession
-    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if "/taxoloom-" in path:
-            hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-            hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
-
-
 def spread(rows: DataFrame, most: int = 1000) -> DataFrame:
     """Adds ``h``, a hash of the row, and ``copy``, which numbers equal rows where there are more than ``most``, so that ``(h, copy)`` deals
     out any table evenly. Both follow from the rows alone, so a task that is run again gives each row the same.

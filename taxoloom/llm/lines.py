@@ -124,7 +124,8 @@ def dedup_lines(docs: DataFrame, min_words: int = 3, fuzzy_words: int = 8) -> Da
     """All columns of ``docs`` with ``text`` less the lines that go, and ``n_lines``, ``n_removed``; a row a row.
 
     Lines of fewer than ``min_words`` words always stay. Texts keep their other lines as they were; a null text
-    stays null. Rows of equal id and text are one document. Clashing extra columns ``n_lines`` and ``n_removed`` are replaced.
+    stays null. Rows of equal id and text are one document. Ids may be null or repeat; a text of any length is split in its row; an empty
+    table gives no rows. Clashing extra columns ``n_lines`` and ``n_removed`` are replaced.
     """
     rows = materialize(split_lines(docs, fuzzy_words).where(F.col("n") >= min_words), "rows")
     first = materialize(rows.groupBy("h").agg(F.min(place()).alias("at")), "first")

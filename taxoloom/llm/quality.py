@@ -89,7 +89,12 @@ POLICIES = (BASE, Policy("v1", tuple(r.name for r in RULES)))
 
 
 def ledger(docs: DataFrame, rules: tuple[Rule, ...] = RULES, measured: Callable[[DataFrame], DataFrame] = measure) -> DataFrame:
-    """All columns and measurements, and ``failures``: bit i is set where rule i fails (null conditions pass)."""
+    """All columns and measurements, and ``failures``: bit i is set where rule i fails (null conditions pass). Written as a table, it
+    serves any later policy.
+
+    Null and empty texts have measurements of 0; a text of any length is measured in its row. A caller's column named like a
+    measurement is replaced. Ids are not read; repeated rows stay; an empty table gives no rows.
+    """
     clash = [c for c in docs.columns if c in MEASURES]
     docs = docs.drop(*clash)
     bits = [F.when(F.expr(r.fails), F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long")) for i, r in enumerate(rules)]
@@ -108,20 +113,25 @@ def apply_policy(rows: DataFrame, policy: Policy, rules: tuple[Rule, ...] = RULE
 
 
 def ablations(rows: DataFrame, policy: Policy, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """A row a rule of the policy: rows that fail it, that fail it alone, and that the policy keeps without it.
+    """A row a rule of the policy: rows that fail it, that fail it alone, and that the policy keeps without it; and the policy's other
+    rules that all (``always_with``) or some (``ever_with``) of the rows that fail it fail as well, as bits.
 
-    One pass over the bits with partial sums.
+    The ledger is summed up by the bits that are set, a row a pattern; the rest is bitwise aggregation of these.
     """
     mask = F.lit(policy.mask(rules)).cast("long")
-    hit = F.col("failures").bitwiseAND(mask)
+    patterns = rows.groupBy(F.col("failures").bitwiseAND(mask).alias("hit")).agg(F.count("*").alias("rows"))
+    hit, n = F.col("hit"), F.col("rows")
     which = [i for i, r in enumerate(rules) if r.name in policy.reject]
-    one = rows.agg(
-        F.count("*").alias("n"),
-        F.count_if(hit == 0).alias("kept"),
-        *(F.count_if(hit.bitwiseAND(F.lit(1 << i).cast("long")) != 0).alias(f"f{i}") for i in which),
-        *(F.count_if(hit == (1 << i)).alias(f"o{i}") for i in which),
+    bit = lambda i: F.lit(1 << i).cast("long")
+    has = lambda i: hit.bitwiseAND(bit(i)) != 0
+    of = lambda cond: F.coalesce(F.sum(F.when(cond, n)), F.lit(0))
+    others = lambda f, i: F.coalesce(f(F.when(has(i), hit)).bitwiseXOR(bit(i)), F.lit(0).cast("long"))
+    one = patterns.agg(
+        of(F.lit(True)).alias("n"),
+        of(hit == 0).alias("kept"),
+        *(x for i in which for x in (of(has(i)).alias(f"f{i}"), of(hit == bit(i)).alias(f"o{i}"), others(F.bit_and, i).alias(f"a{i}"), others(F.bit_or, i).alias(f"e{i}"))),
     )
-    each = F.array(*(F.struct(F.lit(rules[i].name).alias("rule"), F.col(f"f{i}").alias("failed"), F.col(f"o{i}").alias("failed_alone"), (F.col("kept") + F.col(f"o{i}")).alias("kept_without")) for i in which))
+    each = F.array(*(F.struct(F.lit(rules[i].name).alias("rule"), F.col(f"f{i}").alias("failed"), F.col(f"o{i}").alias("failed_alone"), (F.col("kept") + F.col(f"o{i}")).alias("kept_without"), F.col(f"a{i}").alias("always_with"), F.col(f"e{i}").alias("ever_with")) for i in which))
     return one.select(F.lit(policy.version).alias("policy"), "n", "kept", F.explode(each).alias("x")).select("policy", "n", "kept", "x.*")
 
 
@@ -131,7 +141,7 @@ def filter_quality(docs: DataFrame, policy: Policy = POLICIES[-1]) -> DataFrame:
     return apply_policy(rows, policy, into="_kept").where("_kept").select(*(F.col("_all")[c].alias(c) for c in docs.columns))
 
 
-ORACLE = r"""
+LEDGER = r"""
 WITH w AS (
   SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
     [s FOR s IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(s, '[^\x20\x09-\x0D]')] AS lines
@@ -150,5 +160,9 @@ b AS (
   SELECT *, (n_words < 50)::BIGINT + 2 * (100 * n_repeat_words > 50 * n_words)::BIGINT + 4 * (10 * n_symbols > 3 * n_words)::BIGINT
     + 8 * (word_chars < 2 * n_words)::BIGINT + 16 * (word_chars > 15 * n_words)::BIGINT + 32 * (2 * n_dup_lines > n_lines)::BIGINT AS failures
   FROM m)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failures, failures & 3 <> 0 AS base_failed, failures = 0 AS kept FROM b
 """
+ORACLE = LEDGER + "SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failures, failures & 3 <> 0 AS base_failed, failures = 0 AS kept FROM b"
+ABLATIONS = LEDGER + """SELECT 'v1' AS policy, (SELECT count(*) FROM b) AS n, (SELECT count(*) FROM b WHERE failures = 0) AS kept, rule,
+  count(*) FILTER (failures >> bit & 1 = 1) AS failed, count(*) FILTER (failures = 1 << bit) AS failed_alone, count(*) FILTER (failures = 0 OR failures = 1 << bit) AS kept_without,
+  coalesce(xor(bit_and(failures) FILTER (failures >> bit & 1 = 1), (1 << bit)::BIGINT), 0) AS always_with, coalesce(xor(bit_or(failures) FILTER (failures >> bit & 1 = 1), (1 << bit)::BIGINT), 0) AS ever_with
+FROM b, (VALUES """ + ", ".join(f"('{r.name}', {i})" for i, r in enumerate(RULES)) + ") AS t(rule, bit) GROUP BY rule, bit"

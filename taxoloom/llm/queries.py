@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from taxoloom.llm import chat, lines, mixing, packing, quality, simhash, suffix, urls, vectors, warc
+from taxoloom.sources.scratch import dealt_out
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return dealt_out(df) if name == "documents" else df
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -51,6 +53,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "failures", (~F.col("base_kept")).alias("base_failed"), "kept")
 
 
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of the current policy does, from the ledger of all documents."""
+    return quality.ablations(quality.ledger(table(spark, sf_dir, "documents").select("text")), quality.POLICIES[-1])
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return rows.select("doc_id", "n_lines", "n_removed", F.md5("text").alias("text_md5"))
@@ -80,10 +87,12 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_mixing": op9_mixing,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "quality_ablations": quality_ablations,
 }
 
 ORACLE_SQL = {
     "op4_url_filters": urls.ORACLE,
     "op7_quality_rules": quality.ORACLE,
     "op8_line_dedup": lines.ORACLE,
+    "quality_ablations": quality.ABLATIONS,
 }

@@ -204,7 +204,9 @@ def simhash_groups(docs: DataFrame, ngram: int = 3, radius: int = 3) -> DataFram
 
     ``component_id`` is the smallest doc_id that links reach. Equal fingerprints are one class from the
     start; only classes are compared. A null doc_id keeps its fingerprint and joins the component of
-    its class but never names one (null if no other id does). Repeated rows stay repeated.
+    its class but never names one (null if no other id does). Repeated rows stay repeated; rows of one id with different texts are
+    linked each for itself. Null, empty and blank texts have fingerprint 0 and are one class. A text of any length is hashed in slices.
+    Other columns are not read; an empty table gives no rows.
     """
     fps = materialize(fingerprints(docs, ngram), "fingerprints")
     reps = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")), "classes")

@@ -32,15 +32,33 @@ class HostRule:
 
 @dataclass(frozen=True)
 class PatternRule:
-    """Fits where the Java regular expression is found in the lower-cased URL. ``needs``: whole tokens
-    (``[a-z0-9]+``) that every such URL has; a rule must name one at least."""
+    """Fits where the Java regular expression is found in the lower-cased URL. It must have a whole token that all such URLs have."""
 
     verdict: str
     pattern: str
-    needs: tuple[str, ...]
 
     def literals(self) -> list[str]:
-        return list(self.needs)
+        """The whole tokens (``[a-z0-9]+``) of each URL that the pattern is found in, read off the pattern: runs of letters and digits
+        outside groups and classes, between elements that match none. A pattern with branches outside groups has none."""
+        parts = re.findall(r"\\.|\[\^?\]?(?:\\.|[^\]])*\]|[a-z0-9]+|.", self.pattern)
+        flat, depth, group = [], 0, ""
+        for x in parts:
+            if x == "(":
+                depth += 1
+            if depth:
+                group += x
+            else:
+                flat.append(x)
+            if x == ")" and depth:
+                depth -= 1
+                if not depth:
+                    flat.append(group)
+                    group = ""
+        if "|" in flat:
+            return []
+        # A border is the pattern's anchor, or an element with no letter, digit, wildcard or escape of its own.
+        border = lambda x: x in ("^", "$", r"\.", r"\-") or not re.search(r"[a-zA-Z0-9\\]|\.(?![^\[]*\])|\[\^|^[?*+{|]", x)
+        return [x for i, x in enumerate(flat) if re.fullmatch("[a-z0-9]+", x) and 0 < i < len(flat) - 1 and border(flat[i - 1]) and border(flat[i + 1])]
 
 
 CONTRACT = (
@@ -51,11 +69,11 @@ CONTRACT = (
     HostRule("block", "com", "/de/"),
 )
 PATTERNS = (
-    PatternRule("block", r"(^|[./-])casino([./-]|$)", ("casino",)),
-    PatternRule("block", r"(^|[./-])(cheap|buy)-pills([./-]|$)", ("pills",)),
-    PatternRule("block", r"(^|[./-])adult([./-]|$)", ("adult",)),
-    PatternRule("block", r"(^|[./-])xxx([./-]|$)", ("xxx",)),
-    PatternRule("block", r"[?&]phpsessid=", ("phpsessid",)),
+    PatternRule("block", r"(^|[./-])casino([./-]|$)"),
+    PatternRule("block", r"(^|[./-])(cheap|buy)-pills([./-]|$)"),
+    PatternRule("block", r"(^|[./-])adult([./-]|$)"),
+    PatternRule("block", r"(^|[./-])xxx([./-]|$)"),
+    PatternRule("block", r"[?&]phpsessid="),
 )
 
 
@@ -99,7 +117,8 @@ def judge(pages: DataFrame, host_rules: tuple[HostRule, ...] = CONTRACT, pattern
 
     The longest host rule that fits gives ``rule`` and the verdict (ties: the first in text order). Without
     one, ``rule`` is null; the verdict is ``block`` if a blocking pattern is found, else ``default``, and ``pattern`` is the
-    first such pattern. Each distinct URL is judged once. A null url, and one without ``://``, have an empty host and path.
+    first such pattern. Each distinct URL is judged once. A null url, and one without ``://``, have an empty host and path; a URL of any
+    length is judged whole. Repeated rows stay; other columns are not read; an empty table gives no rows.
     """
     rules = [*host_rules, *patterns]
     urls = pages.select("url").distinct()

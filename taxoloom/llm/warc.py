@@ -235,5 +235,6 @@ KINDS = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64
 
 
 def round_trip(spark: SparkSession, pages: DataFrame, min_bytes: int = 0) -> DataFrame:
+    """Write all pages as bundles and read them back. See :func:`write_bundles` for nulls, long payloads and repeated rows."""
     folder = scratch_path(spark, "warc")
     return read_bundles(write_bundles(pages, folder, min_bytes), folder)

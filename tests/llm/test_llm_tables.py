@@ -94,6 +94,14 @@ def test_judge(spark):
     assert urls.judge(spark.createDataFrame([], "page_id long, url string")).count() == 0
 
 
+@pytest.mark.parametrize(
+    "pattern, tokens",
+    [(r"(^|[./-])casino([./-]|$)", ["casino"]), (r"(^|[./-])(cheap|buy)-pills([./-]|$)", ["pills"]), (r"[?&]phpsessid=", ["phpsessid"]), (r"/a+b/", []), (r"/abc?/", []), (r"/abc*", []), (r"-xy(z)?-", []), (r"/x|/y/", []), (r"/\wfoo/", []), (r"/foo[a-z]/", []), (r"/foo.bar/", []), (r"/foo\.bar/", ["foo", "bar"]), (r"foo/", []), (r"/foo[^/]", []), (r"^foo/", ["foo"]), (r"/foo(?:[./]|$)", ["foo"])],
+)
+def test_tokens_of_patterns(pattern, tokens):
+    assert urls.PatternRule("block", pattern).literals() == tokens
+
+
 def test_rules_by_rarest_token(spark):
     seen = spark.createDataFrame([("example",)] * 9 + [("org",)] * 5 + [("es",)], "token string")
     index = {r.no: r.token for r in urls.rule_index(seen, list(urls.CONTRACT)).collect()}

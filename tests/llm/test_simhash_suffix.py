@@ -94,9 +94,6 @@ def test_simhash_groups(spark):
     for r in rows:
         i = 8 if r.doc_id is None else r.doc_id
         assert (r.fingerprint, r.component_id) == (f"{fps[i]:016x}", want[i])
-    kept = simhash.dedup(docs, ngram=3).select("doc_id").collect()
-    blank = [0, 1, 2]
-    assert sorted(r.doc_id for r in kept if r.doc_id is not None) == sorted({want[i] for i in range(len(texts)) if i not in blank and want[i] not in blank} | set(blank))
     assert simhash.simhash_groups(docs.limit(0)).count() == 0
 
 
