@@ -234,14 +234,15 @@ def similar_groups(docs: DataFrame, ngram: int = 5, similarity: float = 0.8) ->
     wide, most = shingles.radius(similarity, True), shingles.radius(similarity)
     rows = materialize(shingles.candidates(docs, ngram, similarity), "candidates")
     sets = materialize(rows.where("tokens is not null").groupBy("cls").agg(F.min_by(F.struct("n", "fp", "take", "tokens"), F.struct("doc_id", "th")).alias("s")).select("cls", "s.*"), "sets")
-    entries = sets.where("take > 0").select("cls", "n", "fp", F.explode(F.slice("tokens", F.lit(1), F.col("take"))).alias("token"))
+    entries = sets.where("take > 0").select("cls", "n", "fp", F.size("tokens").alias("own"), F.posexplode(F.slice("tokens", F.lit(1), F.col("take"))).alias("pos", "token"))
+    entries = entries.select("cls", "n", "fp", (F.col("own") - F.col("pos")).alias("rest"), "token")
     shared = entries.groupBy("token").agg(F.count("*").alias("c"), F.min_by(F.struct("cls", "n", "fp"), "cls").alias("m")).where("c > 1")
-    met = materialize(entries.join(shared, "token").select("token", "cls", "n", "fp", "m"), "entries")
+    met = materialize(entries.join(shared, "token").select("token", "cls", "n", "fp", "rest", "m"), "entries")
     sizes = F.least("n", "m.n") >= similarity * F.greatest("n", "m.n") - shingles.EPS
     star = met.where((F.col("cls") > F.col("m.cls")) & sizes & near(F.col("fp"), F.col("m.fp"), F.when(F.least("n", "m.n") < shingles.SMALL, wide).otherwise(most)))
     first = materialize(shingles.alike(star.select(F.col("cls").alias("a"), F.col("m.cls").alias("b")).distinct(), sets, similarity), "alike")
     joined = connected_components(first.toDF("src", "dst"))
-    named = met.join(joined, met.cls == joined.node, "left").select("token", "cls", "n", "fp", F.coalesce("component", "cls").alias("c"))
+    named = met.join(joined, met.cls == joined.node, "left").select("token", "cls", "n", "fp", "rest", F.coalesce("component", "cls").alias("c"))
     apart = named.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("token")
     # A pair with a small set meets among the small ones, whose sizes reach up to those of the sets that can be alike one.
     sorts = F.filter(F.array(F.when(F.col("n") < shingles.SMALL / similarity + 1, True), F.when(F.col("n") >= shingles.SMALL, False)), lambda x: x.isNotNull())
@@ -250,13 +251,18 @@ def similar_groups(docs: DataFrame, ngram: int = 5, similarity: float = 0.8) ->
     dealt = cut(apart, ["token", "small"], F.xxhash64("cls")).drop("part").repartition(*by).sortWithinPartitions(*by)
 
     def compare(t: pa.Table) -> pa.RecordBatch:
-        """A window's pairs, but for those of one component and of one cell with another."""
+        """A window's pairs, but for those of one component and of one cell with another.
+
+        ``rest``: a set's hashes from this one on, which in their common order come after it. At the first hash that two sets
+        share these are all that they can share; so a pair with too few is not alike, or has met before.
+        """
         t = t.combine_chunks()
         fp = t.column("fp").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(t.num_rows, -1)
-        n, small = t.column("n").to_numpy(), t.column("small").to_numpy(zero_copy_only=False)
+        n, rest, small = t.column("n").to_numpy(), t.column("rest").to_numpy(), t.column("small").to_numpy(zero_copy_only=False)
         a, b = close_pairs(fp, wide if small.any() else most)
         c, token = t.column("c").combine_chunks().dictionary_encode().indices.to_numpy(), t.column("token").to_numpy()
         good = (c[a] != c[b]) & (token[a] == token[b]) & (small[a] == small[b]) & (np.minimum(n[a], n[b]) >= similarity * np.maximum(n[a], n[b]) - shingles.EPS)
+        good &= np.minimum(rest[a], rest[b]) >= similarity / (1 + similarity) * (n[a] + n[b]) - shingles.EPS
         if small.any():
             far = np.bitwise_count(fp[a] ^ fp[b]).sum(axis=1)
             good &= np.where(small[a], np.minimum(n[a], n[b]) < shingles.SMALL, far <= most)
