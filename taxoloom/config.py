@@ -160,12 +160,19 @@ PROFILES = {"code_defaults": CODE_DEFAULTS, "yaml_defaults": YAML_DEFAULTS}
 
 
 def load_profile(path: str | None = None, base: str = "code_defaults") -> Profile:
-    """A profile with the values of a JSON file laid over it; lists become tuples."""
+    """A profile with the values of a JSON or YAML file (``.yaml``, ``.yml``; needs PyYAML) laid over it; lists become tuples."""
     import json
 
     if path is None:
         return PROFILES[base]
     with open(path, encoding="utf-8") as f:
-        raw = json.load(f)
+        if path.endswith((".yaml", ".yml")):
+            try:
+                import yaml
+            except ImportError as missing:
+                raise ImportError(f"{path}: reading YAML needs PyYAML") from missing
+            raw = yaml.safe_load(f) or {}
+        else:
+            raw = json.load(f)
     tuples = lambda x: tuple(map(tuples, x)) if isinstance(x, list) else x
     return replace(PROFILES[base], **{k: tuples(v) for k, v in raw.items()})

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +29,16 @@ def to_process(now: DataFrame, before: DataFrame, key: str, digest: str) -> Data
     return now.join(before.select(key, digest), [key, digest], "left_anti")
 
 
+def rebuild(now: DataFrame, before: DataFrame, existing: DataFrame, key: str, digest: str, work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``existing`` with the rows of keys that are new or changed worked out again by ``work``, and without those of keys that are gone.
+
+    ``now`` and ``before`` hold keys and their hashes; what ``work`` returns has ``key`` and the columns of ``existing``.
+    """
+    same = now.select(key, digest).join(before.select(key, digest), [key, digest], "left_semi").select(key)
+    kept = existing.join(same, key, "left_semi")
+    return kept.unionByName(work(to_process(now, before, key, digest)).select(*existing.columns))
+
+
 def cache_misses(rows: DataFrame, cache: DataFrame, evidence: str = "evidence_id", version: str = "v1") -> DataFrame:
     keyed = rows.withColumn("cache_key", tx.cache_key(evidence, version))
     return keyed.join(cache.select("cache_key"), "cache_key", "left_anti")

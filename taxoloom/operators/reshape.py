@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -170,11 +173,30 @@ def membership_lists(members: DataFrame) -> DataFrame:
     return members.groupBy("ma_hoc_phan").agg(F.array_sort(F.collect_set(F.struct("ma_ctdt", "nhom_id", "loai_nhom"))).alias("ctdt_memberships"))
 
 
-def export_codes(resolved: DataFrame) -> DataFrame:
-    """Contract codes: a course from the fallback source gets ``_BS``; ``conflict`` marks codes with more than one payload."""
+def impute(df: DataFrame, fields: list[str], prompt: Column, ask: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Fills the empty ones of ``fields`` (texts) from a model's JSON answers; what is there stays, and what has no usable answer.
+
+    ``ask`` adds ``answer`` to rows with ``prompt``; only rows that lack a field are asked about.
+    """
+    lacks = reduce(lambda a, b: a | b, (F.trim(F.coalesce(F.col(f), F.lit(""))) == "" for f in fields))
+    asked = ask(df.where(lacks).withColumn("prompt", prompt))
+    said = tx.parse_json_answer("answer", ", ".join(f"`{f}` string" for f in fields))
+    filled = asked.withColumn("_said", said)
+    for f in fields:
+        filled = filled.withColumn(f, F.coalesce(fill_if_empty(F.col(f), F.col("_said")[f]), F.col(f)))
+    return df.where(~lacks).unionByName(filled.select(*df.columns))
+
+
+def export_codes(resolved: DataFrame, strict: bool = False) -> DataFrame:
+    """Contract codes: a course from the fallback source gets ``_BS``; ``conflict`` marks codes with more than one payload. ``strict``: such
+    a code is an error when its row is read."""
     out = resolved.withColumn("export_code", F.when(F.col("status") == "fallback", tx.add_bs("ma_hoc_phan")).otherwise(F.col("ma_hoc_phan")))
     found = out.where("status <> 'unresolved'").groupBy("export_code").agg(F.count_distinct("payload").alias("k")).select("export_code", (F.col("k") > 1).alias("conflict"))
-    return out.join(found, "export_code", "left").withColumn("conflict", F.coalesce("conflict", F.lit(False)))
+    out = out.join(found, "export_code", "left").withColumn("conflict", F.coalesce("conflict", F.lit(False)))
+    if not strict:
+        return out
+    stop = F.raise_error(F.concat(F.lit("Conflicting course data for contract code "), "export_code")).cast("boolean")
+    return out.withColumn("conflict", F.when(F.col("conflict"), stop).otherwise(F.lit(False)))
 
 
 def missing_report(missing: DataFrame, by: str, item: str, name: str) -> DataFrame:

@@ -445,6 +445,25 @@ def incremental_skip(t):
     return incremental.changes(now, old, "doc_id", "h")
 
 
+@query("SELECT doc_id, source, CASE WHEN doc_id % 5 = 0 OR doc_id % 7 = 0 THEN 'new' ELSE 'old' END AS version FROM documents")
+def rebuild_changed(t):
+    now = t.documents.select("doc_id", "source", F.md5("text").alias("digest"))
+    before = now.where("doc_id % 5 <> 0").withColumn("digest", F.when(F.col("doc_id") % 7 == 0, "x").otherwise(F.col("digest")))
+    gone = now.where("doc_id % 11 = 0").withColumn("doc_id", F.col("doc_id") + 1_000_000_000)
+    before = before.unionByName(gone)
+    return incremental.rebuild(now, before, before.select("doc_id", "source", F.lit("old").alias("version")), "doc_id", "digest", lambda rows: rows.withColumn("version", F.lit("new")))
+
+
+@query("SELECT p_partkey, p_name, CASE WHEN p_partkey % 4 <> 0 THEN p_type WHEN p_partkey % 8 = 0 THEN lower(p_brand) ELSE '' END AS p_type FROM part")
+def impute_missing(t):
+    from taxoloom import providers
+
+    rows = t.part.select("p_partkey", "p_name", F.when(F.col("p_partkey") % 4 == 0, "").otherwise(F.col("p_type")).alias("p_type"))
+    fenced = F.concat(F.lit("```json\n"), F.to_json(F.struct(F.lower("p_brand").alias("p_type"), F.lit("never used").alias("p_name"))), F.lit("\n```"))
+    answers = providers.TableAnswers(t.part.where("p_partkey % 8 = 0").select(F.md5(F.col("p_partkey").cast("string")).alias("cache_key"), fenced.alias("answer")))
+    return reshape.impute(rows, ["p_name", "p_type"], F.col("p_name"), lambda df: answers.ask(df.withColumn("cache_key", F.md5(F.col("p_partkey").cast("string")))))
+
+
 @query("SELECT item_id, md5('llm_v2_' || item_id) AS cache_key FROM benchmark WHERE item_id % 3 <> 0")
 def cache_misses(t):
     cache = t.benchmark.where("item_id % 3 = 0").select(tx.cache_key(F.col("item_id").cast("string"), "v2").alias("cache_key"))

@@ -33,7 +33,8 @@ def unwrap(content: Column, schema: str) -> Column:
     single = F.from_json(s, schema)
     names = [f.name for f in T.StructType.fromDDL(schema)]
     hashed = F.transform(wrapper["records"], lambda r: F.struct(*((F.coalesce(r[n], wrapper["source_hash"]) if n == "source_hash" else r[n]).alias(n) for n in names)))
-    return F.when(s.startswith("["), listed).when(wrapper["records"].isNotNull(), hashed).when(s.startswith("{"), F.array(single))
+    # What isn't JSON would come as a row of nulls.
+    return F.when(F.try_parse_json(s).isNull(), F.lit(None)).when(s.startswith("["), listed).when(wrapper["records"].isNotNull(), hashed).when(s.startswith("{"), F.array(single))
 
 
 def struct_of(schema: str) -> str:

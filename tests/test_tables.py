@@ -130,6 +130,44 @@ def test_taxonomy(spark):
     assert [r.k for r in taxonomy.orphans(rel, "skillUri", skills.limit(0), "conceptUri").orderBy("k").collect()] == ["s1", "s2"]
 
 
+def test_conflicts_can_be_errors(spark):
+    df = spark.createDataFrame([("A", "resolved", "x"), ("A", "resolved", "y"), ("B", "fallback", "x")], "ma_hoc_phan string, status string, payload string")
+    assert sorted((r.export_code, r.conflict) for r in reshape.export_codes(df).collect()) == [("A", True), ("A", True), ("B_BS", False)]
+    assert reshape.export_codes(df.where("ma_hoc_phan = 'B'"), strict=True).count() == 1
+    with pytest.raises(Exception, match="contract code A"):
+        reshape.export_codes(df, strict=True).collect()
+
+
+def test_yaml_profile(tmp_path):
+    pytest.importorskip("yaml")
+    from taxoloom import config
+
+    path = tmp_path / "p.yaml"
+    path.write_text("skill: [0.9, 0.8, 0.7, 0.6]\ndefault_cap: 3\n")
+    p = config.load_profile(str(path))
+    assert (p.skill, p.default_cap, p.knowledge) == ((0.9, 0.8, 0.7, 0.6), 3, config.CODE_DEFAULTS.knowledge)
+
+
+def test_scratch_tables_go(spark):
+    from taxoloom.sources import scratch
+
+    df = scratch.materialize(spark.range(5), "gone")
+    path = df.inputFiles()[0].rsplit("/", 1)[0]
+    assert df.count() == 5 and any(p.endswith(path.rsplit("/", 1)[-1]) for p in scratch.WRITTEN)
+    scratch.clean(spark)
+    assert not scratch.WRITTEN
+    with pytest.raises(Exception):
+        spark.read.parquet(path).count()
+
+
+def test_unreadable_files_are_named(spark, tmp_path):
+    (tmp_path / "A").mkdir()
+    (tmp_path / "A" / "A__clo.json").write_text("{broken")
+    (tmp_path / "A" / "A__bai_hoc.json").write_text("[]")
+    got = readers.unreadable(spark, str(tmp_path)).collect()
+    assert [(r.code, r.kind) for r in got] == [("A", "clo")]
+
+
 def test_changes(spark):
     a, b = (spark.createDataFrame(x, "k int, h string") for x in ([(1, "a"), (2, "x"), (3, "c")], [(1, "a"), (2, "b"), (4, "d")]))
     assert rows(incremental.changes(a, b, "k", "h"), "k", "status") == [(1, "unchanged"), (2, "changed"), (3, "new"), (4, "gone")]
