@@ -129,6 +129,32 @@ def dense_block(rows: pa.Table, corpus: DataFrame, k: int, exclude_self: bool) -
     return corpus.select(F.col("doc").cast("long"), "vector").mapInArrow(run, "query long, doc long, score double")
 
 
+#: Bytes of texts without an inner word that may go to every task.
+SHORT_BYTES = 8 << 20
+
+
+def containing(queries: DataFrame, docs: DataFrame, index: Index) -> DataFrame:
+    """``queries(query, text)``, ``docs(doc, text)`` and their index -> ``(query, doc)`` for documents that hold the query's text as it is.
+
+    All words of a text but the first and the last are words of a document that holds it, so that only postings of the rarest of these are
+    compared. Texts of fewer words are tried on all documents, behind a check of their size. Null and empty texts are held by none.
+    """
+    asked = queries.select("query", "text").where("text <> ''").distinct()
+    tokens = tx.tokenize("text")
+    inner = F.slice(tokens, F.lit(2), F.greatest(F.size(tokens) - 2, F.lit(0)))
+    words = asked.select("query", "text", F.explode(inner).alias("term")).join(index.idf.select("term", "df"), "term", "left")
+    rarest = words.groupBy("query", "text").agg(F.min_by("term", F.struct(F.coalesce("df", F.lit(0)).alias("n"), "term")).alias("term"))
+    likely = rarest.join(index.post.select("doc", "term"), "term").join(docs.select("doc", F.col("text").alias("whole")), "doc")
+    found = likely.where(F.contains("whole", "text")).select("query", "doc")
+    few = asked.where(F.size(inner) == 0)
+    n, size = few.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    if size > SHORT_BYTES:
+        raise ValueError(f"{size} bytes of texts of fewer than three words: ask for them in parts of {SHORT_BYTES}")
+    if n:
+        found = found.unionByName(docs.join(few.select("query", F.col("text").alias("needle")).hint("broadcast"), F.contains("text", "needle")).select("query", "doc"))
+    return found.distinct()
+
+
 def channel_ranks(hits: DataFrame, by: list[str]) -> DataFrame:
     """``hits(*by, channel, uri, score)`` deduplicated by the best score, and ranked within each channel."""
     best = max_by_key(hits, [*by, "channel", "uri"], "score", ["channel"]) if "rank" not in hits.columns else hits.groupBy(*by, "channel", "uri").agg(F.max("score").alias("score"), F.min("rank").alias("query_rank"))

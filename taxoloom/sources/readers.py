@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import email
 import email.policy
+import io
+import posixpath
+import re
+import zipfile
 from collections.abc import Iterator
 from functools import reduce
 from html.parser import HTMLParser
+from xml.etree import ElementTree
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -203,6 +208,68 @@ def label_tables(pages: DataFrame) -> DataFrame:
     return pages.select("path", "html").mapInPandas(run, "path string, info map<string,string>, items array<string>")
 
 
+# Fixed names of the workbook format (ECMA-376).
+SHEET = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+RELATION = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
+
+
+def last_sheet(raw: bytes) -> tuple[str, list[list[str]]]:
+    """Name and cells of a workbook's last sheet; a missing cell is empty."""
+    with zipfile.ZipFile(io.BytesIO(raw)) as z:
+        part = lambda name: ElementTree.fromstring(z.read(name))
+        shown = lambda x: "".join(t.text or "" for t in x.iter(f"{SHEET}t"))
+        sheet = part("xl/workbook.xml").findall(f"{SHEET}sheets/{SHEET}sheet")[-1]
+        target = {r.get("Id"): r.get("Target") for r in part("xl/_rels/workbook.xml.rels")}[sheet.get(RELATION)]
+        strings = [shown(x) for x in part("xl/sharedStrings.xml").findall(f"{SHEET}si")] if "xl/sharedStrings.xml" in z.namelist() else []
+        table: list[list[str]] = []
+        for row in part(posixpath.normpath(posixpath.join("/xl", target))[1:]).iter(f"{SHEET}row"):
+            cells: list[str] = []
+            for c in row.findall(f"{SHEET}c"):
+                value = c.findtext(f"{SHEET}v") or ""
+                value = strings[int(value)] if c.get("t") == "s" else shown(c) if c.get("t") == "inlineStr" else value
+                at = column_number(c.get("r")) if c.get("r") else len(cells)
+                cells += [""] * (at - len(cells)) + [value]
+            number = int(row.get("r") or len(table) + 1)
+            table += [[] for _ in range(number - 1 - len(table))] + [cells]
+    width = max(map(len, table), default=0)
+    return sheet.get("name"), [r + [""] * (width - len(r)) for r in table]
+
+
+def column_number(reference: str) -> int:
+    """Column of a cell's reference, from 0: ``B7`` is 1."""
+    n = 0
+    for letter in re.match("[A-Z]*", reference)[0]:
+        n = 26 * n + ord(letter) - ord("A") + 1
+    return n - 1
+
+
+def markdown_table(cells: list[list[str]]) -> str:
+    """A pipe table: the first row is the heading, and rows are numbered from 0."""
+    line = lambda xs: "| " + " | ".join(x.replace("|", "\\|").replace("\n", " ") for x in xs) + " |"
+    if not cells:
+        return ""
+    return "\n".join([line(["", *cells[0]]), "|" + "---|" * (len(cells[0]) + 1), *(line([str(i), *r]) for i, r in enumerate(cells[1:]))])
+
+
+def workbooks(spark: SparkSession, path: str) -> DataFrame:
+    """Workbooks (``*.xlsx``) -> ``(path, sheet, markdown)`` of the last sheet of each; null for what isn't a workbook."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").option("recursiveFileLookup", True).load(path)
+
+    def read(raw: bytes) -> tuple[str | None, str | None]:
+        try:
+            name, cells = last_sheet(raw)
+        except (zipfile.BadZipFile, ElementTree.ParseError, KeyError, IndexError):
+            return None, None
+        return name, markdown_table(cells)
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for df in parts:
+            got = [read(bytes(x)) for x in df["content"]]
+            yield pd.DataFrame({"path": df["path"], "sheet": [a for a, _ in got], "markdown": [b for _, b in got]})
+
+    return files.select("path", "content").mapInPandas(run, "path string, sheet string, markdown string")
+
+
 def course_metadata(html: Column, path: Column) -> Column:
     """Title and code of a course page: the code in the page, else in the file's name."""
     title = tx.normalize_whitespace(tx.strip_html_tags(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1)))

@@ -301,3 +301,28 @@ def test_providers(spark):
     assert cached.ask(spark.createDataFrame([("k",), ("l",)], "cache_key string")).where("answer is null").count() == 1
     g = spark.createDataFrame([(1, 2, "X", None), (None, 2, "X", "S"), (0, 1, "X", "S")], "char_start int, char_end int, code string, source_code string")
     assert sorted(r.code for r in providers.grounded(g).collect()) == ["S", "X"]
+
+
+def test_containing(spark):
+    docs = spark.createDataFrame([(1, "The cat sat on the mat"), (2, "a cat sat, on"), (3, None), (4, ""), (5, "scat sat on thee")], "doc long, text string")
+    index = retrieval.build_index(docs, "doc", F.col("text"))
+    asked = spark.createDataFrame([(1, "cat sat on the"), (2, "at s"), (3, None), (4, ""), (5, "on zebra on"), (6, "Cat sat on"), (7, "sat"), (1, "cat sat on the")], "query long, text string")
+    got = sorted((r.query, r.doc) for r in retrieval.containing(asked, docs, index).collect())
+    assert got == [(1, 1), (1, 5), (2, 1), (2, 2), (2, 5), (7, 1), (7, 2), (7, 5)]
+
+
+def test_syllabi(spark):
+    from taxoloom.operators import extraction
+
+    schema = "source_file string, pos int, extraction_class string, extraction_text string, char_start int, char_end int, attributes map<string,string>"
+    e = spark.createDataFrame([
+        ("IT1_x", 2, "muc_tieu", "second", 0, 1, {"loai_muc_tieu": "OTHER", "so_ctdt": "1, ,2"}), ("IT1_x", 1, "muc_tieu", "first", 0, 1, {"loai_muc_tieu": "KY_NANG", "noi_dung": "said"}),
+        ("IT1_x", 3, "hoc_phan", "", 0, 1, {"ma_hoc_phan": "LLM", "ten_vi": "old"}), ("IT1_x", 4, "hoc_phan", "", 0, 1, {"ma_hoc_phan": "null", "ten_vi": "new", "so_tin_chi_tong": "2,5"}),
+        ("IT1_x", 5, "hoc_phan", "", None, None, {"ten_vi": "unplaced"}), ("IT2_y", 1, "clo", "c", None, 3, None), ("IT3", 1, "bai_hoc", "lesson", 0, 1, None),
+    ], schema)
+    own = spark.createDataFrame([("IT1_x", None, "src", "en"), ("IT3", "REAL", None, None), ("IT9", "X", None, None)], "source_file string, ma_hoc_phan string, ten_vi string, ten_en string")
+    a, b, c = sorted(extraction.syllabi(e, own).collect(), key=lambda r: r.source_file)
+    assert [tuple(x) for x in a.muc_tieu_hoc_phan] == [(None, "KY_NANG", "said", []), (None, None, "second", ["1", "2"])]
+    assert tuple(a.hoc_phan) == ("IT1", "new", "en", 2.5, None) and a.clo is None
+    assert (b.ma_hoc_phan, b.clo, b.source_course_code) == ("IT2", None, None)
+    assert (c.ma_hoc_phan, c.source_course_code, c.bai_hoc[0].ten_bai) == ("REAL", "REAL", "lesson")

@@ -302,3 +302,21 @@ def test_window_counts(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert spark.table("win").agg(F.sum("n")).first()[0] == ev.count()
+
+
+def test_workbooks(spark, tmp_path):
+    import zipfile
+
+    main = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    rel = 'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
+    with zipfile.ZipFile(tmp_path / "a.xlsx", "w") as z:
+        z.writestr("xl/workbook.xml", f'<workbook {main} {rel}><sheets><sheet name="one" r:id="r1"/><sheet name="two" r:id="r2"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels", '<Relationships><Relationship Id="r1" Target="worksheets/s1.xml"/><Relationship Id="r2" Target="/xl/worksheets/s2.xml"/></Relationships>')
+        z.writestr("xl/sharedStrings.xml", f"<sst {main}><si><t>Name</t></si><si><r><t>a</t></r><r><t>|b</t></r></si></sst>")
+        z.writestr("xl/worksheets/s1.xml", f"<worksheet {main}><sheetData/></worksheet>")
+        z.writestr("xl/worksheets/s2.xml", f'<worksheet {main}><sheetData><row r="1"><c r="A1" t="s"><v>0</v></c><c r="C1" t="inlineStr"><is><t>N</t></is></c></row><row r="3"><c r="A3" t="s"><v>1</v></c><c r="C3"><v>4.5</v></c></row></sheetData></worksheet>')
+    (tmp_path / "b.xlsx").write_bytes(b"no workbook")
+    a, b = sorted(readers.workbooks(spark, str(tmp_path)).collect(), key=lambda r: r.path)
+    assert (a.sheet, a.markdown) == ("two", "|  | Name |  | N |\n|---|---|---|---|\n| 0 |  |  |  |\n| 1 | a\\|b |  | 4.5 |")
+    assert (b.sheet, b.markdown) == (None, None)
+    assert readers.column_number("AB12") == 27
